@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from storelens import schemas
 from storelens.functions.text import comma_tokens, keyword_tokens
 from storelens.functions.time import epoch_ms, local_time, parse_ms, window_bounds
-from storelens.operators.clean import is_entry, page_displays
+from storelens.operators.clean import is_entry
 from storelens.operators.joins import lookup
 
 # Keyword sources and the good-comment appraisal code.
@@ -69,10 +69,14 @@ def product_events(pages: DataFrame | None = None, order_wide: DataFrame | None
     one = F.lit(1)
     parts: list[DataFrame] = []
     if pages is not None:
-        clicks = pages.where(F.col("page.page_id") == GOOD_DETAIL)
-        parts.append(clicks.select(*_product_row(F.col("page.item"), F.col("ts"), click_ct=one)))
-        shown = page_displays(pages).where(F.col("item_type") == SKU_ITEM)
-        parts.append(shown.select(*_product_row(F.col("item"), F.col("ts"), display_ct=one)))
+        # One pass over the page log: the click of a detail page and its product displays.
+        hit = F.struct(F.col("page.item").alias("sku"), F.lit(1).alias("click"), F.lit(0).alias("shown"))
+        shown = F.transform(F.filter(F.coalesce(F.col("displays"), F.array()), lambda d: d["item_type"] == SKU_ITEM),
+                            lambda d: F.struct(d["item"].alias("sku"), F.lit(0).alias("click"), F.lit(1).alias("shown")))
+        hits = F.concat(F.when(F.col("page.page_id") == GOOD_DETAIL, F.array(hit)).otherwise(F.array()), shown)
+        ex = pages.select(F.explode(hits).alias("_h"), "ts")
+        parts.append(ex.select(*_product_row(F.col("_h.sku"), F.col("ts"), click_ct=F.col("_h.click"),
+                                             display_ct=F.col("_h.shown"))))
     if order_wide is not None:
         parts.append(order_wide.select(*_product_row(
             F.col("sku_id"), parse_ms(F.col("create_time"), zone), "order", F.col("order_id"),
@@ -139,12 +143,13 @@ def visitor_events(pages: DataFrame, unique_visits: DataFrame | None = None, jum
         return df.select(
             F.col("common.vc").alias("vc"), F.col("common.ch").alias("ch"), F.col("common.ar").alias("ar"),
             F.col("common.is_new").alias("is_new"),
-            F.lit(uv).cast("long").alias("uv_ct"), F.lit(pv).cast("long").alias("pv_ct"),
-            F.lit(sv).cast("long").alias("sv_ct"), F.lit(uj).cast("long").alias("uj_ct"),
+            *[(v if isinstance(v, Column) else F.lit(v)).cast("long").alias(n)
+              for n, v in (("uv_ct", uv), ("pv_ct", pv), ("sv_ct", sv), ("uj_ct", uj))],
             (F.coalesce(dur, F.lit(0)) if dur is not None else F.lit(0)).cast("long").alias("dur_sum"),
             F.col("ts"))
-    parts = [row(pages, pv=1, dur=F.col("page.during_time")),
-             row(pages.where(is_entry("page.last_page_id", empty_is_entry=True)), sv=1)]
+    # A page view and its session entry are summed into the same groups, so one row carries both.
+    sv = F.when(is_entry("page.last_page_id", empty_is_entry=True), 1).otherwise(0)
+    parts = [row(pages, pv=1, sv=sv, dur=F.col("page.during_time"))]
     if unique_visits is not None:
         parts.append(row(unique_visits, uv=1))
     if jumps is not None:

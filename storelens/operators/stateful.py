@@ -32,9 +32,15 @@ def repair_is_new(log: DataFrame, key: str = "common.mid", order_by: Sequence[st
     """The first record (in ``order_by``) with is_new='1' fixes the device's day; a later is_new='1'
     on another day becomes '0'. Records with '0' neither read nor set the state."""
     day = day_of(F.col("ts"), zone)
-    flagged = log.where(F.col("common.is_new") == "1") \
-        .select(_mid(key).alias("_k"), F.struct(*[F.col(c) for c in order_by], day.alias("day")).alias("_o"))
-    first = flagged.groupBy("_k").agg(F.min("_o").alias("_o")).select("_k", F.col("_o.day").alias("_first_day"))
+    flagged = log.where(F.col("common.is_new") == "1")
+    if order_by[0] == "ts":
+        # Days never go back along time: the first record's day is the day of the smallest ts
+        # (a fixed-width min, so a hash aggregate).
+        first = flagged.groupBy(_mid(key).alias("_k")).agg(F.min("ts").alias("_t")) \
+            .select("_k", day_of(F.col("_t"), zone).alias("_first_day"))
+    else:
+        first = flagged.select(_mid(key).alias("_k"), F.struct(*[F.col(c) for c in order_by], day.alias("day")).alias("_o")) \
+            .groupBy("_k").agg(F.min("_o").alias("_o")).select("_k", F.col("_o.day").alias("_first_day"))
     j = log.join(first, _mid(key) == first["_k"], "left")
     fixed = F.when((F.col("common.is_new") == "1") & (day != F.col("_first_day")), F.lit("0")) \
         .otherwise(F.col("common.is_new"))

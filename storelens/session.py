@@ -29,6 +29,7 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "st
     conf = dict(CORE_CONF)
     conf.update({
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.driver.memory": os.environ.get("STORELENS_DRIVER_MEMORY", "8g"),
     })
@@ -58,3 +59,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # pragma: no cover - connect sessions have no SparkContext
         pass
     return d
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Used where one intermediate (the page log, the order lines) feeds several branches of a job: it
+    plays the part of the topic between the shop's jobs, cuts the lineage (an executor loss replays
+    from the files, not from the sources) and lets each branch read only its columns.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/storelens/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
