@@ -50,10 +50,17 @@ def parse_ms(text, zone: str = "UTC", fmt: str = TEXT_FORMAT) -> Column:
     return epoch_ms(F.to_timestamp_ntz(_c(text), F.lit(fmt)), zone)
 
 
-def window_bounds(window_col, fmt: str = TEXT_FORMAT) -> tuple[Column, Column]:
-    """``stt``/``edt`` text of a ``F.window`` struct."""
+def window_bounds(window_col, zone: str = "UTC", fmt: str = TEXT_FORMAT) -> tuple[Column, Column]:
+    """``stt``/``edt`` text of a ``F.window`` struct over an event-time instant, on the wall
+    clock of ``zone`` (the window itself is epoch-aligned, as the shop's tumbling windows are)."""
     w = _c(window_col)
-    return F.date_format(w["start"], fmt).alias("stt"), F.date_format(w["end"], fmt).alias("edt")
+    return (F.date_format(local_time(F.unix_millis(w["start"]), zone), fmt).alias("stt"),
+            F.date_format(local_time(F.unix_millis(w["end"]), zone), fmt).alias("edt"))
+
+
+def event_time(ms) -> Column:
+    """Epoch ms -> TIMESTAMP instant: the type watermarks and windows need."""
+    return F.timestamp_millis(_c(ms))
 
 
 def age_years(birthday, as_of) -> Column:

@@ -3,7 +3,8 @@ and the two table functions (U1 keyword tokens, U2 columns-to-rows).
 
 Every aggregate is a plain ``groupBy(window, keys)``: Catalyst plans a partial aggregate before the
 shuffle and a final one after, which is the incremental reduce of the stream jobs. Windows are
-tumbling, epoch-aligned and ``[start, end)`` on the wall clock of ``zone``.
+tumbling, epoch-aligned ``[start, end)`` over the event-time instant; ``stt``/``edt`` are printed on the
+wall clock of ``zone``. The same functions run on streams: pass the watermarked ``time_col``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from storelens import schemas
 from storelens.functions.text import comma_tokens, keyword_tokens
-from storelens.functions.time import epoch_ms, local_time, parse_ms, window_bounds
+from storelens.functions.time import epoch_ms, event_time, parse_ms, window_bounds
 from storelens.operators.clean import is_entry
 from storelens.operators.joins import lookup
 
@@ -32,10 +33,13 @@ def stamp_ms(as_of: str | None) -> Column:
     return epoch_ms(F.lit(as_of).cast("timestamp_ntz"))
 
 
-def tumble(ts_ms: str | Column, size: str, zone: str = "UTC") -> Column:
-    """The tumbling window of an epoch-ms column."""
+def tumble(ts_ms: str | Column, size: str, time_col: str | None = None) -> Column:
+    """Epoch-aligned tumbling window of an epoch-ms column. On a stream pass ``time_col``, the
+    watermarked event-time column (see ``storelens.streaming.jobs.watermarked``)."""
+    if time_col:
+        return F.window(F.col(time_col), size)
     c = F.col(ts_ms) if isinstance(ts_ms, str) else ts_ms
-    return F.window(local_time(c, zone), size)
+    return F.window(event_time(c), size)
 
 
 def _zero(name: str, dtype=None) -> Column:
@@ -106,24 +110,33 @@ def product_events(pages: DataFrame | None = None, order_wide: DataFrame | None
 
 
 def product_stats(events: DataFrame, window: str = "10 seconds", as_of: str | None = None,
-                  products: DataFrame | None = None, zone: str = "UTC") -> DataFrame:
+                  products: DataFrame | None = None, zone: str = "UTC", time_col: str | None = None,
+                  distinct: str = "two_level") -> DataFrame:
     """A1 (+ J5): per SKU and window, 10 sums and 3 distinct order counts, then product attributes.
 
-    The three distinct counts are done in two levels: first per (window, sku, kind, order id) - which
-    also pre-sums every measure - then per (window, sku), where counting the order ids of a kind is
-    the distinct count. That avoids the row expansion Spark uses for several distinct aggregates,
-    and both levels combine map-side. Attributes are looked up after the aggregate (fewer rows).
+    ``distinct='two_level'`` (batch): first per (window, sku, kind, order id) - which also pre-sums
+    every measure - then per (window, sku), where counting a kind's order ids is the distinct count.
+    That avoids the row expansion Spark plans for several distinct aggregates, and both levels
+    combine map-side. ``distinct='sets'`` (streams, where distinct aggregates are refused): one
+    aggregate with ``size(collect_set)`` per kind, held in the window's state.
+    Attributes are looked up after the aggregate (fewer rows to join).
     """
-    w = tumble("ts", window, zone).alias("window")
-    sums = [F.sum(m).alias(m) for m in _LONG_MEASURES + _MONEY_MEASURES]
-    level1 = events.groupBy(w, "sku_id", "id_kind", "id_value").agg(*sums)
-    counts = [F.count(F.when(F.col("id_kind") == k, F.col("id_value"))).alias(n) for n, k in _ID_KINDS.items()]
-    level2 = level1.groupBy("window", "sku_id").agg(
-        *[F.sum(m).cast("long").alias(m) for m in _LONG_MEASURES],
-        *[F.sum(m).cast(schemas.MONEY_SUM).alias(m) for m in _MONEY_MEASURES],
-        *counts)
-    stt, edt = window_bounds("window")
-    out = level2.select(stt, edt, "sku_id", *schemas.PRODUCT_MEASURES, stamp_ms(as_of).alias("ts"))
+    w = tumble("ts", window, time_col).alias("window")
+    if distinct == "two_level":
+        sums = [F.sum(m).alias(m) for m in _LONG_MEASURES + _MONEY_MEASURES]
+        level1 = events.groupBy(w, "sku_id", "id_kind", "id_value").agg(*sums)
+        counts = [F.count(F.when(F.col("id_kind") == k, F.col("id_value"))).alias(n) for n, k in _ID_KINDS.items()]
+        grouped = level1.groupBy("window", "sku_id")
+    elif distinct == "sets":
+        counts = [F.size(F.collect_set(F.when(F.col("id_kind") == k, F.col("id_value")))).cast("long").alias(n)
+                  for n, k in _ID_KINDS.items()]
+        grouped = events.groupBy(w, "sku_id")
+    else:
+        raise ValueError(distinct)
+    agg = grouped.agg(*[F.sum(m).cast("long").alias(m) for m in _LONG_MEASURES],
+                      *[F.sum(m).cast(schemas.MONEY_SUM).alias(m) for m in _MONEY_MEASURES], *counts)
+    stt, edt = window_bounds("window", zone)
+    out = agg.select(stt, edt, "sku_id", *schemas.PRODUCT_MEASURES, stamp_ms(as_of).alias("ts"))
     if products is None:
         return out
     out = lookup(out, products, {"sku_id": "id"},
@@ -160,30 +173,34 @@ def visitor_events(pages: DataFrame, unique_visits: DataFrame | None = None, jum
     return out
 
 
-def visitor_stats(events: DataFrame, window: str = "10 seconds", zone: str = "UTC") -> DataFrame:
+def visitor_stats(events: DataFrame, window: str = "10 seconds", zone: str = "UTC",
+                  time_col: str | None = None) -> DataFrame:
     """A2: per (ar, ch, vc, is_new) and window: uv, pv, sv, uj and duration sums.
 
     The shop's record keeps the ``ts`` of the first record reduced into the window; with arrival in
     time order that is the window's earliest ``ts``, so ``ts`` = min(ts) (deterministic)."""
-    w = tumble("ts", window, zone).alias("window")
+    w = tumble("ts", window, time_col).alias("window")
     agg = events.groupBy(w, "vc", "ch", "ar", "is_new").agg(
         *[F.sum(c).cast("long").alias(c) for c in ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")],
         F.min("ts").alias("ts"))
-    stt, edt = window_bounds("window")
+    stt, edt = window_bounds("window", zone)
     return agg.select(stt, edt, "vc", "ch", "ar", "is_new", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum", "ts")
 
 
 # ----------------------------------------------------------------------------- province statistics
 
 def province_stats(order_wide: DataFrame, window: str = "10 seconds", as_of: str | None = None,
-                   zone: str = "UTC", ts_col: str = "create_ts") -> DataFrame:
-    """A3: per province and window, distinct orders and the sum of line amounts."""
-    w = tumble(ts_col, window, zone).alias("window")
+                   zone: str = "UTC", ts_col: str = "create_ts", time_col: str | None = None,
+                   distinct: str = "exact") -> DataFrame:
+    """A3: per province and window, distinct orders and the sum of line amounts.
+
+    ``distinct='exact'``: ``count_distinct`` (batch); ``'sets'``: ``size(collect_set)`` (streams)."""
+    w = tumble(ts_col, window, time_col).alias("window")
+    n = F.count_distinct("order_id") if distinct == "exact" else F.size(F.collect_set("order_id")).cast("long")
     agg = order_wide.groupBy(w, "province_id", "province_name", "province_area_code", "province_iso_code",
                              "province_3166_2_code").agg(
-        F.count_distinct("order_id").alias("order_count"),
-        F.sum("split_total_amount").cast(schemas.MONEY_SUM).alias("order_amount"))
-    stt, edt = window_bounds("window")
+        n.alias("order_count"), F.sum("split_total_amount").cast(schemas.MONEY_SUM).alias("order_amount"))
+    stt, edt = window_bounds("window", zone)
     return agg.select(stt, edt, "province_id", "province_name", F.col("province_area_code").alias("area_code"),
                       F.col("province_iso_code").alias("iso_code"), F.col("province_3166_2_code").alias("iso_3166_2"),
                       "order_amount", "order_count", stamp_ms(as_of).alias("ts"))
@@ -197,11 +214,11 @@ def explode_keywords(df: DataFrame, text: str, out: str = "keyword") -> DataFram
 
 
 def keyword_stats(search: DataFrame, window: str = "10 seconds", source: str = KEYWORD_SEARCH,
-                  as_of: str | None = None, zone: str = "UTC") -> DataFrame:
+                  as_of: str | None = None, zone: str = "UTC", time_col: str | None = None) -> DataFrame:
     """A4 (+ P12): keyword counts per window from ``fullword, ts`` rows (see ``keyword_pages``)."""
     kw = explode_keywords(search, "fullword")
-    agg = kw.groupBy(tumble("ts", window, zone).alias("window"), "keyword").agg(F.count(F.lit(1)).alias("ct"))
-    stt, edt = window_bounds("window")
+    agg = kw.groupBy(tumble("ts", window, time_col).alias("window"), "keyword").agg(F.count(F.lit(1)).alias("ct"))
+    stt, edt = window_bounds("window", zone)
     return agg.select("keyword", "ct", F.lit(source).alias("source"), stt, edt, stamp_ms(as_of).alias("ts"))
 
 

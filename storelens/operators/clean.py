@@ -60,10 +60,10 @@ def is_entry(last_page_id: Column | str = "page.last_page_id", empty_is_entry: b
     return F.coalesce(flag, F.lit(False))
 
 
-def keyword_pages(page: DataFrame, page_id: str = "good_list") -> DataFrame:
-    """Search pages that carry a search text; returns ``fullword, ts``."""
+def keyword_pages(page: DataFrame, page_id: str = "good_list", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Search pages that carry a search text; returns ``fullword, ts`` (and ``keep``)."""
     return page.where((F.col("page.page_id") == page_id) & F.col("page.item").isNotNull()) \
-        .select(F.col("page.item").alias("fullword"), "ts")
+        .select(F.col("page.item").alias("fullword"), "ts", *keep)
 
 
 def flatten_log(log: DataFrame) -> DataFrame:
