@@ -31,15 +31,24 @@ def _pairs(on) -> list[tuple[str, str]]:
 
 
 def interval_join(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str,
-                  lower: int, upper: int, how: str = "inner") -> DataFrame:
+                  lower: int, upper: int, how: str = "inner",
+                  time_cols: tuple[str, str] | None = None) -> DataFrame:
     """Equality on ``on`` and ``right_ts`` in [left_ts + lower, left_ts + upper], inclusive.
 
     Times and bounds are epoch milliseconds. The equality keys make it a hash-partitioned join; the
-    range is a residual filter. On streams both sides carry watermarks and the bounds let Spark evict
-    join state. Column names of the two sides must not collide except in the keys.
+    range is a residual filter. On streams pass ``time_cols``, the watermarked event-time columns of
+    the two sides: the same range is then stated on them, which is what lets Spark evict join state.
+    Column names of the two sides must not collide except in the keys.
     """
     cond: list[Column] = [left[a] == right[b] for a, b in _pairs(on)]
-    cond.append(right[right_ts].between(left[left_ts] + F.lit(lower), left[left_ts] + F.lit(upper)))
+    if time_cols:
+        lt, rt = left[time_cols[0]], right[time_cols[1]]
+        lo = F.expr(f"INTERVAL '{abs(lower)}' MILLISECOND")
+        hi = F.expr(f"INTERVAL '{abs(upper)}' MILLISECOND")
+        cond.append(rt >= (lt - lo if lower < 0 else lt + lo))
+        cond.append(rt <= (lt - hi if upper < 0 else lt + hi))
+    else:
+        cond.append(right[right_ts].between(left[left_ts] + F.lit(lower), left[left_ts] + F.lit(upper)))
     return left.join(right, cond, how)
 
 
@@ -87,14 +96,19 @@ ORDER_COLUMNS = ("id", "province_id", "user_id", "order_status", "total_amount",
 DETAIL_COLUMNS = ("detail_id", "order_id", "sku_id", "sku_num", "order_price", "split_total_amount", "create_ts")
 
 
-def order_wide(orders: DataFrame, details: DataFrame, lower: int = -5, upper: int = 5) -> DataFrame:
+def order_wide(orders: DataFrame, details: DataFrame, lower: int = -5, upper: int = 5,
+               time_cols: tuple[str, str] | None = None) -> DataFrame:
     """J1 + P16: order x line, line time within [order + lower, order + upper] ms; one row per line.
 
     Order fields (status, amounts, create time) come from the order, line fields from the line.
+    ``time_cols``: the two sides' watermarked event-time columns on streams.
     """
-    o = orders.select(*ORDER_COLUMNS)
-    d = details.select(*[F.col(c).alias(f"d_{c}") if c in ("create_ts",) else F.col(c) for c in DETAIL_COLUMNS])
-    j = interval_join(o, d, {"id": "order_id"}, "create_ts", "d_create_ts", lower, upper)
+    keep = (time_cols[0],) if time_cols else ()
+    o = orders.select(*ORDER_COLUMNS, *keep)
+    d = details.select(*[F.col(c).alias(f"d_{c}") if c in ("create_ts",) else F.col(c) for c in DETAIL_COLUMNS],
+                       *([F.col(time_cols[1]).alias("d_event_time")] if time_cols else []))
+    tc = (time_cols[0], "d_event_time") if time_cols else None
+    j = interval_join(o, d, {"id": "order_id"}, "create_ts", "d_create_ts", lower, upper, time_cols=tc)
     return j.select("detail_id", "order_id", "user_id", "sku_id", "sku_num", "order_price", "split_total_amount",
                     "province_id", "order_status", "total_amount", "create_time", "create_ts")
 
@@ -128,16 +142,21 @@ PAYMENT_COLUMNS = ("id", "order_id", "user_id", "total_amount", "payment_type",
                    "callback_ts")
 
 
-def payment_wide(payments: DataFrame, wide: DataFrame, lower: int = -1_800_000, upper: int = 0) -> DataFrame:
+def payment_wide(payments: DataFrame, wide: DataFrame, lower: int = -1_800_000, upper: int = 0,
+                 time_cols: tuple[str, str] | None = None) -> DataFrame:
     """J2 + P16: payment x order-wide by order id, order time within [pay + lower, pay + upper] ms.
 
     Payment wins on shared names (order_id, user_id, total_amount); the two create times are renamed.
     """
     p = payments.select(
         F.col("id").alias("payment_id"), "order_id", "user_id", "total_amount", "payment_type",
-        F.col("create_time").alias("payment_create_time"), "callback_time", "callback_ts")
+        F.col("create_time").alias("payment_create_time"), "callback_time", "callback_ts",
+        *([F.col(time_cols[0]).alias("p_event_time")] if time_cols else []))
     shared = {"order_id", "user_id", "total_amount"}
-    w = wide.select(*[F.col(c).alias(f"w_{c}") if c in shared else F.col(c) for c in wide.columns]) \
+    w = wide.select(*[F.col(c).alias(f"w_{c}") if c in shared else F.col(c) for c in wide.columns
+                      if not (time_cols and c == time_cols[1])],
+                    *([F.col(time_cols[1]).alias("w_event_time")] if time_cols else [])) \
         .withColumnRenamed("create_time", "order_create_time").withColumnRenamed("create_ts", "order_create_ts")
-    j = interval_join(p, w, {"order_id": "w_order_id"}, "callback_ts", "order_create_ts", lower, upper)
-    return j.drop(*[f"w_{c}" for c in shared])
+    tc = ("p_event_time", "w_event_time") if time_cols else None
+    j = interval_join(p, w, {"order_id": "w_order_id"}, "callback_ts", "order_create_ts", lower, upper, time_cols=tc)
+    return j.drop(*[f"w_{c}" for c in shared], *(["p_event_time", "w_event_time"] if time_cols else []))

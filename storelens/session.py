@@ -45,19 +45,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is only read. Where it is unset (local tests)
-    a fresh folder is made and registered, so every later call in the session agrees.
+    a fresh folder is made and registered with ``setCheckpointDir``, so every later call agrees.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if d:
+        return d
+    d = sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not d:
-        d = tempfile.mkdtemp(prefix="storelens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - connect sessions have no SparkContext
-        pass
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="storelens-ckpt-"))
+        d = sc.getCheckpointDir()
     return d
 
 
@@ -74,3 +71,46 @@ def materialize(df, name: str):
     path = f"{checkpoint_root(spark).rstrip('/')}/storelens/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``storelens`` importable in Python workers (needed by the pandas state functions).
+
+    On a cluster submit with ``--py-files``; otherwise the package is zipped once per application
+    into the shared checkpoint folder and added with ``addPyFile``.
+    """
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    root = checkpoint_root(spark)
+    local = root[len("file:"):] if root.startswith("file:") else root
+    if "://" in local or not os.path.isabs(local):
+        # Non-local shared storage: write through the Hadoop file system of the session.
+        jvm = spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/storelens-{app}.zip")
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+        out.write(bytearray(buf.getvalue()))
+        out.close()
+        sc.addPyFile(path.toString())
+    else:
+        os.makedirs(local, exist_ok=True)
+        target = os.path.join(local, f"storelens-{app}.zip")
+        with open(target, "wb") as fh:
+            fh.write(buf.getvalue())
+        sc.addPyFile(target)
+    _SHIPPED.add(app)
