@@ -60,8 +60,8 @@ def daily_unique(pages: DataFrame, key: str = "common.mid", order_by: Sequence[s
     entry = pages.where(is_entry("page.last_page_id", empty_is_entry=False)).withColumn("_day", day)
     if method == "lag":
         w = Window.partitionBy(_mid(key)).orderBy(*[F.col(c) for c in order_by])
-        prev = F.lag("_day").over(w)
-        return entry.where(prev.isNull() | (prev != F.col("_day"))).drop("_day")
+        prev = entry.withColumn("_prev", F.lag("_day").over(w))
+        return prev.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_day"))).drop("_day", "_prev")
     if method != "first_per_day":
         raise ValueError(method)
     payload = [c for c in pages.columns if c not in order_by]

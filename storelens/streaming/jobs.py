@@ -48,8 +48,10 @@ REFUND_SCHEMA = "sku_id long, order_id long, refund_amount decimal(18,2), create
 
 @dataclass
 class Layout:
-    """Folder layout of one deployment: topics, statistics, dimension store and checkpoints."""
+    """Folder layout of one deployment: topics, statistics, dimension store and checkpoints.
+    ``max_files`` caps the topic files per micro-batch (rate limit; None = all available)."""
     root: str
+    max_files: int | None = None
 
     def topic(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/topics/{name}"
@@ -83,9 +85,9 @@ def topic_writer(path: str):
     return write
 
 
-def read_records(spark: SparkSession, path: str, schema, stream: bool = True) -> DataFrame:
+def read_records(spark: SparkSession, path: str, schema, stream: bool = True, max_files: int | None = None) -> DataFrame:
     """A topic's records parsed with ``schema`` (P1), keeping ``offset``."""
-    src = read_topic(spark, f"{path.rstrip('/')}/*", stream)
+    src = read_topic(spark, f"{path.rstrip('/')}/*", stream, max_files)
     return clean.parse_records(src, schema if not isinstance(schema, str) else _ddl(spark, schema))
 
 
@@ -106,7 +108,7 @@ def _log_records(df: DataFrame) -> DataFrame:
 
 def base_log_job(spark: SparkSession, lay: Layout, zone: str = "UTC", trigger: dict | None = None):
     """T1 + P9 + P10: one query, one foreachBatch writing the start, page and display topics."""
-    log = read_records(spark, lay.topic("log"), schemas.LOG)
+    log = read_records(spark, lay.topic("log"), schemas.LOG, max_files=lay.max_files)
     fixed = state.repair_is_new_stream(log, zone)
     start_w, page_w, disp_w = (topic_writer(lay.topic(n)) for n in ("start", "page", "display"))
 
@@ -121,7 +123,7 @@ def base_log_job(spark: SparkSession, lay: Layout, zone: str = "UTC", trigger: d
 
 
 def _pages(spark: SparkSession, lay: Layout) -> DataFrame:
-    return read_records(spark, lay.topic("page"), schemas.LOG)
+    return read_records(spark, lay.topic("page"), schemas.LOG, max_files=lay.max_files)
 
 
 def unique_visit_job(spark: SparkSession, lay: Layout, zone: str = "UTC", trigger: dict | None = None):
