@@ -217,6 +217,10 @@ def _with(ctes: str, body: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _with_sql_forms(_oracle_sql())
+
+
+def _oracle_sql() -> dict[str, str | None]:
     stt, edt = _win("create_ts")
     province = _with(_order_wide_core("offset") + ",\n" + PROVINCE, f"""
 SELECT {stt} AS stt, {edt} AS edt, ow.province_id, prov.name AS province_name, prov.area_code,
@@ -309,8 +313,14 @@ FROM oi LEFT JOIN usr ON oi.user_id = usr.id LEFT JOIN prov ON oi.province_id =
         "token_counts": """
 SELECT token, count(*) AS ct FROM (SELECT unnest(string_split(text, ',')) AS token FROM documents)
 WHERE length(token) > 0 GROUP BY token""",
+        **{f"{k}_sql": None for k in ("province_stats", "keyword_stats", "keyword_actions")},
         "document_keywords": """
 SELECT keyword, count(*) AS ct
 FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS keyword FROM documents WHERE lang = 'en')
 GROUP BY keyword""",
     }
+
+
+def _with_sql_forms(sql: dict[str, str | None]) -> dict[str, str]:
+    """The SQL-text jobs give the same rows as their DataFrame forms: same check SQL."""
+    return {k: (v if v is not None else sql[k.removesuffix("_sql")]) for k, v in sql.items()}

@@ -107,3 +107,20 @@ def write_stats(df: DataFrame, path: str, columns, checkpoint: str, output_mode:
 def write_console(df: DataFrame, output_mode: str = "append"):
     """Print each micro-batch."""
     return df.writeStream.format("console").option("truncate", "false").outputMode(output_mode).start()
+
+
+def write_log_archive(raw: DataFrame, path: str, ts: str = "ts", zone: str = "UTC") -> None:
+    """Log lines kept as one JSON per line, one folder per day (``dt=yyyy-MM-dd``).
+
+    ``raw`` has the JSON text in ``value``; the day comes from the record's epoch-ms ``ts``."""
+    from storelens.functions.time import day_of
+    day = day_of(F.get_json_object("value", f"$.{ts}").cast("long"), zone, "yyyy-MM-dd")
+    raw.select("value", day.alias("dt")).write.mode("append").partitionBy("dt").text(path)
+
+
+def read_rules(spark: SparkSession, path: str | None = None, jdbc_url: str | None = None,
+               table: str = "table_process", properties: dict | None = None) -> DataFrame:
+    """The routing rule table from parquet files or over JDBC (snake_case columns as stored)."""
+    if jdbc_url:
+        return spark.read.jdbc(jdbc_url, table, properties=properties or {})
+    return spark.read.schema(schemas.RULE).parquet(path)

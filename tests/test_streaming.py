@@ -96,3 +96,26 @@ def test_late_rows_drop_and_restart_has_no_duplicates(spark):
     stats = spark.read.parquet(lay.stats("visitor_stats"))
     got = sorted((r["stt"], r["pv_ct"]) for r in stats.collect())
     assert got == [("1970-01-01 00:00:00", 1), ("1970-01-01 00:01:40", 1)]   # late row at 2 s dropped, no repeats
+
+
+def test_token_count_stream_updates(spark):
+    import os
+    d = tempfile.mkdtemp(prefix="lines-", dir="/tmp")
+    os.makedirs(f"{d}/in")
+    with open(f"{d}/in/a.txt", "w") as fh:
+        fh.write("a,b\nb,,c\n")
+    q = sj.token_count_job(spark, f"{d}/in", "tc_test", checkpoint=f"{d}/ckpt")
+    _run(q)
+    got = {r["token"]: r["ct"] for r in spark.sql("SELECT * FROM tc_test").collect()}
+    assert got == {"a": 1, "b": 2, "c": 1}
+
+
+def test_log_archive_by_day(spark):
+    from storelens.streaming.topics import read_json_lines, write_log_archive
+    d = tempfile.mkdtemp(prefix="archive-", dir="/tmp")
+    raw = spark.createDataFrame([('{"ts": 1000, "common": {"mid": "1"}}',), ('{"ts": 90000000, "common": {"mid": "2"}}',)],
+                                "value string")
+    write_log_archive(raw, d)
+    back = read_json_lines(spark, d, schemas.LOG, stream=False)
+    assert sorted(r["ts"] for r in back.collect()) == [1000, 90000000]
+    assert sorted(str(r["dt"]) for r in spark.read.text(d).select("dt").distinct().collect()) == ["1970-01-01", "1970-01-02"]
