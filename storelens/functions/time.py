@@ -24,9 +24,14 @@ def _c(c) -> Column:
 
 
 def epoch_ms(ntz, zone: str = "UTC") -> Column:
-    """Wall clock (TIMESTAMP_NTZ) in ``zone`` -> epoch milliseconds, truncated."""
+    """Wall clock (TIMESTAMP_NTZ) in ``zone`` -> epoch milliseconds, truncated.
+
+    Pure wall-clock arithmetic (days since epoch, hours, minutes, seconds): ``timestampdiff`` and
+    ``unix_millis`` would first cast to the session-zone TIMESTAMP and shift across DST changes."""
     utc = _c(ntz) if zone == "UTC" else F.convert_timezone(F.lit(zone), F.lit("UTC"), _c(ntz))
-    return F.timestamp_diff("MILLISECOND", _epoch(), utc)
+    return (F.unix_date(utc.cast("date")).cast("long") * 86_400_000
+            + F.hour(utc).cast("long") * 3_600_000 + F.minute(utc).cast("long") * 60_000
+            + F.floor(F.extract(F.lit("SECOND"), utc) * 1000).cast("long"))
 
 
 def local_time(ms, zone: str = "UTC") -> Column:
@@ -36,12 +41,20 @@ def local_time(ms, zone: str = "UTC") -> Column:
 
 
 def day_of(ms, zone: str = "UTC", fmt: str = DAY_FORMAT) -> Column:
-    """epoch ms -> day text such as ``20240101``."""
+    """epoch ms -> day text such as ``20240101`` (or ``yyyy-MM-dd``)."""
+    day = local_time(ms, zone).cast("date").cast("string")
+    if fmt == DAY_FORMAT:
+        return F.regexp_replace(day, "-", "")
+    if fmt == "yyyy-MM-dd":
+        return day
     return F.date_format(local_time(ms, zone), fmt)
 
 
 def format_ts(ntz, fmt: str = TEXT_FORMAT) -> Column:
-    """F8: wall clock -> text."""
+    """F8: wall clock -> text. The default format is read off the NTZ text form, which no session
+    zone touches (``date_format`` goes through the session-zone TIMESTAMP)."""
+    if fmt == TEXT_FORMAT:
+        return F.substring(_c(ntz).cast("timestamp_ntz").cast("string"), 1, 19)
     return F.date_format(_c(ntz), fmt)
 
 
@@ -54,8 +67,8 @@ def window_bounds(window_col, zone: str = "UTC", fmt: str = TEXT_FORMAT) -> tupl
     """``stt``/``edt`` text of a ``F.window`` struct over an event-time instant, on the wall
     clock of ``zone`` (the window itself is epoch-aligned, as the shop's tumbling windows are)."""
     w = _c(window_col)
-    return (F.date_format(local_time(F.unix_millis(w["start"]), zone), fmt).alias("stt"),
-            F.date_format(local_time(F.unix_millis(w["end"]), zone), fmt).alias("edt"))
+    return (format_ts(local_time(F.unix_millis(w["start"]), zone), fmt).alias("stt"),
+            format_ts(local_time(F.unix_millis(w["end"]), zone), fmt).alias("edt"))
 
 
 def event_time(ms) -> Column:

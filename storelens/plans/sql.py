@@ -7,6 +7,7 @@ does not depend on the session zone.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +26,13 @@ def _view(df: DataFrame, stem: str) -> str:
 
 
 def _fmt(col: str) -> str:
-    return ("date_format(timestampadd(MILLISECOND, unix_millis(" + col +
-            "), TIMESTAMP_NTZ '1970-01-01 00:00:00'), 'yyyy-MM-dd HH:mm:ss')")
+    return ("substring(CAST(timestampadd(MILLISECOND, unix_millis(" + col +
+            "), TIMESTAMP_NTZ '1970-01-01 00:00:00') AS STRING), 1, 19)")
 
 
 def _as_of_ms(as_of: str) -> str:
-    return f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', TIMESTAMP_NTZ '{as_of}')"
+    stamp = _dt.datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S").replace(tzinfo=_dt.timezone.utc)
+    return f"CAST({int(stamp.timestamp() * 1000)} AS BIGINT)"
 
 
 def province_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,8 +159,8 @@ def dim_user(t: Tables) -> DataFrame:
     c = t.customer
     return c.select(
         F.col("c_custkey").alias("id"),
-        F.date_format(F.date_add(F.lit(BIRTHDAY_BASE).cast("date"), (F.col("c_custkey") % BIRTHDAY_SPAN).cast("int")),
-                      "yyyy-MM-dd").alias("birthday"),
+        F.date_add(F.lit(BIRTHDAY_BASE).cast("date"), (F.col("c_custkey") % BIRTHDAY_SPAN).cast("int"))
+        .cast("string").alias("birthday"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
         F.col("c_nationkey").cast("long").alias("nation_id"),
     )

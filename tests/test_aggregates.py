@@ -35,3 +35,21 @@ def test_zone_formats_window_bounds(spark):
     s = spark.createDataFrame([("k w", 0)], "fullword string, ts long")
     row = agg.keyword_stats(s, "10 seconds", zone="+08:00", as_of="2025-01-01 00:00:00").first()
     assert (row["stt"], row["edt"]) == ("1970-01-01 08:00:00", "1970-01-01 08:00:10")
+
+
+def test_times_do_not_depend_on_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from storelens.functions.time import day_of, epoch_ms, format_ts
+    df = spark.createDataFrame([("2024-07-01 12:34:56.789",)], "t string") \
+        .select(F.to_timestamp_ntz("t").alias("ntz"))
+    exprs = [epoch_ms("ntz").alias("ms"), format_ts("ntz").alias("txt"), day_of(F.lit(1719837296789)).alias("day")]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        results = []
+        for zone in ("UTC", "America/New_York", "Asia/Shanghai"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            results.append(tuple(df.select(*exprs).first()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert results == [(1719837296789, "2024-07-01 12:34:56", "20240701")] * 3
