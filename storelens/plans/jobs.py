@@ -152,17 +152,16 @@ def q_display_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return display
 
 
-def _routed_rows(df: DataFrame, branch: str) -> DataFrame:
-    return df.select(F.lit(branch).alias("branch"), "sink_table", "table", "type",
-                     F.col("data")["id"].alias("id"),
-                     F.array_join(F.array_sort(F.map_keys("data")), ",").alias("columns"), "offset")
-
-
 def q_route_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change records routed to the dimension and fact branches, columns pruned by rule."""
+    """Change records routed to the dimension and fact branches, columns pruned by rule.
+    One pass: the branch is a label on the routed records (other sink types dropped)."""
     t = Tables(spark, sf_dir)
-    dims, facts = route.route_changes(ad.change_log(t), ad.rules(spark))
-    return _routed_rows(dims, "dim").unionByName(_routed_rows(facts, "fact"))
+    routed = route.route(ad.change_log(t), ad.rules(spark))
+    branch = F.when(F.col("sink_type") == route.SINK_DIMENSION, F.lit("dim")) \
+        .when(F.col("sink_type") == route.SINK_FACT, F.lit("fact"))
+    return routed.select(branch.alias("branch"), "sink_table", "table", "type", F.col("data")["id"].alias("id"),
+                         F.array_join(F.array_sort(F.map_keys("data")), ",").alias("columns"), "offset") \
+        .where(F.col("branch").isNotNull())
 
 
 def q_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,10 +220,14 @@ def change_routing_job(spark: SparkSession, lay: Layout, trigger: dict | None =
     def handle(batch: DataFrame, batch_id: int) -> None:
         rules = spark.read.parquet(lay.rules)
         route.require_rules(rules)
-        dims, facts = route.route_changes(batch, rules)
-        store.merge(dims, batch_id)
-        facts.select("sink_table", F.col("offset").cast("long").alias("offset"), F.to_json("data").alias("value")) \
-            .write.mode("overwrite").partitionBy("sink_table").json(f"{facts_path}/batch-{batch_id:012d}")
+        routed = route.route(batch, rules).persist()   # feeds two sinks: route once per micro-batch
+        try:
+            store.merge(routed.where(F.col("sink_type") == route.SINK_DIMENSION), batch_id)
+            routed.where(F.col("sink_type") == route.SINK_FACT) \
+                .select("sink_table", F.col("offset").cast("long").alias("offset"), F.to_json("data").alias("value")) \
+                .write.mode("overwrite").partitionBy("sink_table").json(f"{facts_path}/batch-{batch_id:012d}")
+        finally:
+            routed.unpersist()
     return _start(changes, "change_routing", lay, handle, trigger)
 
 
