@@ -51,7 +51,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this setting names shared storage and is only read. Where it is unset (local tests)
     a fresh folder is made and registered with ``setCheckpointDir``, so every later call agrees.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, only the session's settings
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return d
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if d:
         return d
@@ -89,7 +95,10 @@ def ship_package(spark: SparkSession) -> None:
     import io
     import zipfile
 
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: ship with spark.addArtifacts(zip, pyfile=True) at submit time
+        return
     app = sc.applicationId
     if app in _SHIPPED:
         return

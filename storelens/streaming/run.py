@@ -94,3 +94,25 @@ STREAM_QUERIES = {
     "product_stats_stream": product_stats_stream,
     "dim_upsert_stream": dim_upsert_stream,
 }
+
+
+def start_all(spark: SparkSession, lay: sj.Layout, user: DataFrame, province: DataFrame, products: DataFrame,
+              wide_schema: str, payment_schema: str, as_of: str | None = None,
+              trigger: dict | None = None, window: str = "10 seconds", within: int = 10_000) -> list:
+    """Deployment form: every job of the chain running continuously. The shop checkpointed every 5 s;
+    here each query triggers every 5 s and commits its offsets and state to its checkpoint. Returns
+    the running queries (stop them with ``q.stop()``). ``as_of=None`` stamps statistics with the
+    wall clock as the shop did."""
+    trig = trigger or {"processingTime": "5 seconds"}
+    return [
+        sj.base_log_job(spark, lay, trigger=trig),
+        sj.unique_visit_job(spark, lay, trigger=trig),
+        sj.user_jump_job(spark, lay, within, trigger=trig),
+        sj.visitor_stats_job(spark, lay, window, trigger=trig),
+        sj.keyword_stats_job(spark, lay, window, as_of=as_of, trigger=trig),
+        sj.order_wide_job(spark, lay, user, province, products, as_of or "2025-01-01 00:00:00", trigger=trig),
+        sj.payment_wide_job(spark, lay, wide_schema, trigger=trig),
+        sj.province_stats_job(spark, lay, wide_schema, window, as_of=as_of, trigger=trig),
+        sj.product_stats_job(spark, lay, wide_schema, payment_schema, products, window, as_of=as_of, trigger=trig),
+        sj.change_routing_job(spark, lay, trigger=trig),
+    ]

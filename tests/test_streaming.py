@@ -119,3 +119,27 @@ def test_log_archive_by_day(spark):
     back = read_json_lines(spark, d, schemas.LOG, stream=False)
     assert sorted(r["ts"] for r in back.collect()) == [1000, 90000000]
     assert sorted(str(r["dt"]) for r in spark.read.text(d).select("dt").distinct().collect()) == ["1970-01-01", "1970-01-02"]
+
+
+def test_order_wide_stream_interval_join(spark):
+    """J1 stream-stream: lines within +-5 ms of their order join; state evicted by watermark + bounds."""
+    lay = _layout()
+    o = spark.createDataFrame([(1, 10_000), (2, 50_000), (-1, END)], "id long, create_ts long") \
+        .selectExpr("id", "cast(id % 5 as bigint) as province_id", "id * 10 as user_id", "'F' as order_status",
+                    "cast(1.5 as decimal(18,2)) as total_amount", "'x' as create_time", "create_ts")
+    d = spark.createDataFrame([(10, 1, 10_000 + off) for off in (-6, -5, 0, 5, 6)] + [(20, 2, 50_000), (99, -1, END)],
+                              "detail_id long, order_id long, create_ts long") \
+        .selectExpr("detail_id", "order_id", "detail_id as sku_id", "1L as sku_num", "cast(2 as decimal(18,2)) as order_price",
+                    "cast(2 as decimal(18,2)) as split_total_amount", "'x' as create_time", "create_ts + 0 as create_ts")
+    as_records(o, "id").coalesce(1).write.json(lay.topic("order_info") + "/b0")
+    as_records(d.withColumn("offset", F.col("detail_id")), "offset",
+               [c for c in d.columns]).coalesce(1).write.json(lay.topic("order_detail") + "/b0")
+    empty = spark.createDataFrame([], "id long, birthday string, gender string, nation_id long, name string, "
+                                      "area_code string, iso_code string, iso_3166_2 string, sku_name string, "
+                                      "spu_id long, tm_id long, category3_id long, spu_name string, tm_name string, "
+                                      "category3_name string")
+    _run(sj.order_wide_job(spark, lay, empty, empty, empty, "2025-01-01 00:00:00"))
+    wide = spark.read.schema(schemas.RAW).json(lay.topic("order_wide") + "/*") \
+        .select(F.get_json_object("value", "$.order_id").cast("long").alias("o"),
+                F.get_json_object("value", "$.user_age").alias("age"))
+    assert sorted(r["o"] for r in wide.collect() if r["o"] != -1) == [1, 1, 1, 2]
