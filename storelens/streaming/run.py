@@ -3,6 +3,8 @@ statistics back: the streaming counterparts of the batch jobs, checked against t
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,31 @@ def _await(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+@contextlib.contextmanager
+def _state_partitions(spark: SparkSession):
+    """A fresh checkpoint fixes a query's number of state partitions from ``spark.sql.shuffle.partitions``.
+    For these runs use one per core of the cluster (``defaultParallelism``), then restore the setting."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        cores = int(old)
+    spark.conf.set(key, str(max(1, cores)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _sized(fn):
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str, *a, **kw):
+        with _state_partitions(spark):
+            return fn(spark, sf_dir, *a, **kw)
+    return run
+
+
 def new_layout(spark: SparkSession, name: str) -> sj.Layout:
     return sj.Layout(f"{checkpoint_root(spark).rstrip('/')}/storelens-stream/{name}-{uuid.uuid4().hex}")
 
@@ -30,6 +57,7 @@ def _read_stats(spark: SparkSession, path: str, columns) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
 
 
+@_sized
 def visitor_stats_stream(spark: SparkSession, sf_dir: str, within: int = batch.JUMP_WITHIN) -> DataFrame:
     """log -> base log (T1) -> unique visit (T2), jump (T3) -> visitor statistics (A2), all streaming."""
     lay = new_layout(spark, "visitor")
@@ -41,6 +69,7 @@ def visitor_stats_stream(spark: SparkSession, sf_dir: str, within: int = batch.J
     return _read_stats(spark, lay.stats("visitor_stats"), schemas.VISITOR_STATS_COLUMNS)
 
 
+@_sized
 def keyword_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lay = new_layout(spark, "keyword")
     publish(Tables(spark, sf_dir), lay)
@@ -54,6 +83,7 @@ def _order_wide_chain(spark: SparkSession, t: Tables, lay: sj.Layout) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.order_wide_enriched(t).schema.fields)
 
 
+@_sized
 def province_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """order info + lines -> order wide (J1, J4) -> province statistics (A3), all streaming."""
     t = Tables(spark, sf_dir)
@@ -64,6 +94,7 @@ def province_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_stats(spark, lay.stats("province_stats"), schemas.PROVINCE_STATS_COLUMNS)
 
 
+@_sized
 def product_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seven product topics (order wide and payment wide produced by streaming joins) -> A1 + J5."""
     t = Tables(spark, sf_dir)
@@ -78,6 +109,7 @@ def product_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_stats(spark, lay.stats("product_stats"), schemas.PRODUCT_STATS_COLUMNS)
 
 
+@_sized
 def dim_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """changes -> routing with rules re-read per batch -> versioned dimension store."""
     lay = new_layout(spark, "dims")
