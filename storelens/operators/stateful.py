@@ -71,20 +71,27 @@ def daily_unique(pages: DataFrame, key: str = "common.mid", order_by: Sequence[s
 
 
 def bounces(pages: DataFrame, within: int = 10_000, key: str = "common.mid", order_by: Sequence[str] = ORDER,
-            empty_is_entry: bool = True) -> DataFrame:
+            empty_is_entry: bool = True, bucket_ms: int | None = None) -> DataFrame:
     """Entry pages whose next record (in ``order_by``) of the same device is absent or comes
     ``within`` ms or later. Equal times count as a successor (Q11). ``within`` in ms.
 
-    Bucket b = floor(ts / within). A successor closer than ``within`` is in bucket b or b+1, so every
-    record also enters bucket b-1 as a probe, and ``lead`` over (device, bucket) finds it.
+    Bucket b = floor(ts / bucket_ms) with ``bucket_ms`` = ``within`` by default. A successor closer
+    than ``within`` lies at most k = ceil(within / bucket_ms) buckets later, so every record also
+    enters the k buckets before its own as a probe, and ``lead`` over (device, bucket) finds it.
+    Narrower buckets spread a device that is dense in time over more window partitions, at the cost
+    of k probe copies per record.
     """
     if order_by[0] != "ts":
         raise ValueError("bounces orders by event time first")
-    bucket = F.floor(F.col("ts") / F.lit(within)).cast("long")
+    width = bucket_ms or within
+    k = -(-within // width)
+    bucket = F.floor(F.col("ts") / F.lit(width)).cast("long")
     own = pages.withColumn("_k", _mid(key)).withColumn("_b", bucket).withColumn("_probe", F.lit(False)) \
         .withColumn("_entry", is_entry("page.last_page_id", empty_is_entry))
-    probe = pages.select(_mid(key).alias("_k"), *[F.col(c) for c in order_by]) \
-        .withColumn("_b", bucket - 1).withColumn("_probe", F.lit(True)).withColumn("_entry", F.lit(False))
+    back = F.sequence(F.lit(1), F.lit(k)) if k > 1 else F.array(F.lit(1))
+    probe = pages.select(_mid(key).alias("_k"), *[F.col(c) for c in order_by], F.explode(back).alias("_d")) \
+        .withColumn("_b", bucket - F.col("_d")).drop("_d") \
+        .withColumn("_probe", F.lit(True)).withColumn("_entry", F.lit(False))
     both = own.unionByName(probe, allowMissingColumns=True)
     w = Window.partitionBy("_k", "_b").orderBy(*[F.col(c) for c in order_by], F.col("_probe"))
     nxt = F.lead("ts").over(w)

@@ -78,10 +78,11 @@ def _brute_bounces(rows, within):
 
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 60_000), st.booleans()), min_size=1, max_size=40),
-       st.sampled_from([1_000, 10_000]))
-def test_bounce_matches_brute_force(spark, events, within):
+       st.sampled_from([1_000, 10_000]), st.sampled_from([None, 300, 2_500]))
+def test_bounce_matches_brute_force(spark, events, within, bucket_ms):
     rows = [{"mid": m, "ts": t, "offset": i, "last_page_id": None if e else "home"} for i, (m, t, e) in enumerate(events)]
-    assert mid_ts(stateful.bounces(log_rows(spark, rows), within)) == _brute_bounces(rows, within)
+    got = mid_ts(stateful.bounces(log_rows(spark, rows), within, bucket_ms=bucket_ms))
+    assert got == _brute_bounces(rows, within)
 
 
 def test_unique_visit_matches_brute_force(spark):
