@@ -76,6 +76,15 @@ def _tumbling(size: str, zone: str, time_col: str | None, ts_ms: str = "ts") ->
             format_ts(local_time(F.col("_w") + F.lit(width), zone)).alias("edt"))
 
 
+def _cents(c: str | Column) -> Column:
+    """Money (decimal, 2 places) as whole cents: sums run on fixed-width longs, exactly."""
+    return (F.col(c) if isinstance(c, str) else c) * 100
+
+
+def _from_cents(c: str | Column) -> Column:
+    return ((F.col(c) if isinstance(c, str) else c).cast("decimal(28,0)") / 100).cast(schemas.MONEY_SUM)
+
+
 def _zero(name: str, dtype=None) -> Column:
     return F.lit(0).cast(dtype or "long").alias(name)
 
@@ -157,18 +166,21 @@ def product_stats(events: DataFrame, window: str = "10 seconds", as_of: str | No
     """
     w, stt, edt = _tumbling(window, zone, time_col)
     if distinct == "two_level":
-        sums = [F.sum(m).alias(m) for m in _LONG_MEASURES + _MONEY_MEASURES]
+        sums = [F.sum(m).alias(m) for m in _LONG_MEASURES] + \
+               [F.sum(_cents(m).cast("long")).alias(m) for m in _MONEY_MEASURES]
         level1 = events.groupBy(w, "sku_id", "id_kind", "id_value").agg(*sums)
         counts = [F.count(F.when(F.col("id_kind") == k, F.col("id_value"))).alias(n) for n, k in _ID_KINDS.items()]
         grouped = level1.groupBy("_w", "sku_id")
     elif distinct == "sets":
         counts = [F.size(F.collect_set(F.when(F.col("id_kind") == k, F.col("id_value")))).cast("long").alias(n)
                   for n, k in _ID_KINDS.items()]
+        events = events.select(*[_cents(c).cast("long").alias(c) if c in _MONEY_MEASURES else F.col(c)
+                                 for c in events.columns])
         grouped = events.groupBy(w, "sku_id")
     else:
         raise ValueError(distinct)
     agg = grouped.agg(*[F.sum(m).cast("long").alias(m) for m in _LONG_MEASURES],
-                      *[F.sum(m).cast(schemas.MONEY_SUM).alias(m) for m in _MONEY_MEASURES], *counts)
+                      *[_from_cents(F.sum(m)).alias(m) for m in _MONEY_MEASURES], *counts)
     out = agg.select(stt, edt, "sku_id", *schemas.PRODUCT_MEASURES, stamp_ms(as_of).alias("ts"))
     if products is None:
         return out
@@ -231,7 +243,7 @@ def province_stats(order_wide: DataFrame, window: str = "10 seconds", as_of: str
     n = F.count_distinct("order_id") if distinct == "exact" else F.size(F.collect_set("order_id")).cast("long")
     agg = order_wide.groupBy(w, "province_id", "province_name", "province_area_code", "province_iso_code",
                              "province_3166_2_code").agg(
-        n.alias("order_count"), F.sum("split_total_amount").cast(schemas.MONEY_SUM).alias("order_amount"))
+        n.alias("order_count"), _from_cents(F.sum(_cents("split_total_amount").cast("long"))).alias("order_amount"))
     return agg.select(stt, edt, "province_id", "province_name", F.col("province_area_code").alias("area_code"),
                       F.col("province_iso_code").alias("iso_code"), F.col("province_3166_2_code").alias("iso_3166_2"),
                       "order_amount", "order_count", stamp_ms(as_of).alias("ts"))
