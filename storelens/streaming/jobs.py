@@ -1,6 +1,6 @@
 """The shop's jobs as Structured Streaming queries chained through topic directories.
 
-    log --(T1, P9, P10)--> start, page, display
+    log --(T1, P9, P10)--> dwd (kind = start | page | display)
     page --(T2, T7)--> unique_visit          page --(T3)--> user_jump
     page + unique_visit + user_jump --(P14, W3, A2)--> visitor_stats
     page --(P11, U1, A4)--> keyword_stats
@@ -9,9 +9,11 @@
     page + order_wide + payment_wide + favor + cart + refund + comment --(P13, W3, A1, J5)--> product_stats
     changes --(P4-P8, rules re-read per batch)--> dimension store (S9) + routed facts (S8)
 
-Every query has its own checkpoint under ``<root>/_checkpoints``; topic and statistics writers are
-``foreachBatch`` functions that overwrite their batch's own folder, so a replayed batch after a
-failure replaces itself (exactly-once output). ``trigger`` defaults to ``availableNow``.
+Every query has its own checkpoint under ``<root>/_checkpoints``. Topics between jobs are written by
+Spark's file sink, whose ``_spark_metadata`` log commits each micro-batch's files together with the
+query's offsets; a downstream file source reads only committed files, so the chain is exactly-once
+across restarts. Statistics go through ``foreachBatch`` writers that overwrite their batch's own
+folder (nothing streams from them). ``trigger`` defaults to ``availableNow``.
 """
 
 from __future__ import annotations
@@ -20,13 +22,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storelens import schemas
 from storelens.functions.time import event_time
 from storelens.operators import aggregates as agg
 from storelens.operators import clean, joins, route, upsert
 from storelens.streaming import state
-from storelens.streaming.topics import as_records, read_topic, stats_writer
+from storelens.streaming.topics import as_records, stats_writer
 
 # The shop's watermark delays (T4, T5).
 DELAY_ORDER = "3 seconds"
@@ -78,21 +81,31 @@ def watermarked(df: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
     return df.withColumn("event_time", event_time(ts)).withWatermark("event_time", delay)
 
 
-def topic_writer(path: str):
-    """foreachBatch: ``offset, value`` records into ``<path>/batch-<id>`` (overwrite: replay-safe)."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select("offset", "value").write.mode("overwrite").json(f"{path.rstrip('/')}/batch-{batch_id:012d}")
-    return write
-
-
-def read_records(spark: SparkSession, path: str, schema, stream: bool = True, max_files: int | None = None) -> DataFrame:
-    """A topic's records parsed with ``schema`` (P1), keeping ``offset``."""
-    src = read_topic(spark, f"{path.rstrip('/')}/*", stream, max_files)
-    return clean.parse_records(src, schema if not isinstance(schema, str) else _ddl(spark, schema))
-
-
-def _ddl(spark: SparkSession, ddl: str):
-    return spark.createDataFrame([], ddl).schema
+def read_records(spark: SparkSession, path: str, schema, stream: bool = True, max_files: int | None = None,
+                 kind: str | None = None) -> DataFrame:
+    """A topic's records parsed with ``schema`` (P1), keeping ``offset``; ``kind`` picks one record
+    kind of a topic partitioned by kind (the base-log topic)."""
+    raw = schemas.RAW if kind is None else T.StructType(list(schemas.RAW.fields) + [T.StructField("kind", T.StringType())])
+    if stream:
+        r = spark.readStream.schema(raw)
+        if max_files:
+            r = r.option("maxFilesPerTrigger", max_files)
+        src = r.json(path)
+    else:
+        src = spark.read.schema(raw).json(path)
+    if kind is not None:
+        src = src.where(F.col("kind") == kind)
+    return clean.parse_records(src, schema if not isinstance(schema, str) else T.StructType.fromDDL(schema))
+
+
+def topic_sink(records: DataFrame, lay: Layout, topic: str, name: str, trigger: dict | None,
+               partition_by: str | None = None):
+    """S7 between jobs: the file sink (exactly-once with the query's checkpoint)."""
+    w = records.writeStream.queryName(name).format("json").option("path", lay.topic(topic)) \
+        .option("checkpointLocation", lay.checkpoint(name)).outputMode("append")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def _start(df: DataFrame, name: str, lay: Layout, fn, trigger: dict | None, mode: str = "append"):
@@ -107,37 +120,38 @@ def _log_records(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------------------------------- jobs
 
 def base_log_job(spark: SparkSession, lay: Layout, zone: str = "UTC", trigger: dict | None = None):
-    """T1 + P9 + P10: one query, one foreachBatch writing the start, page and display topics."""
+    """T1 + P9 + P10 in one query: each repaired record becomes its start or page record plus one
+    display record per display, all in the ``dwd`` topic partitioned by ``kind``."""
     log = read_records(spark, lay.topic("log"), schemas.LOG, max_files=lay.max_files)
     fixed = state.repair_is_new_stream(log, zone)
-    start_w, page_w, disp_w = (topic_writer(lay.topic(n)) for n in ("start", "page", "display"))
+    body = F.to_json(F.struct("common", "start", "page", "displays", "ts"))
 
-    def split(batch: DataFrame, batch_id: int) -> None:
-        start, page, display = clean.split_log(batch)
-        start_w(_log_records(start), batch_id)
-        page_w(_log_records(page), batch_id)
-        disp = page.select("offset", F.explode("displays").alias("d"), F.col("page.page_id").alias("page_id")) \
-            .select("offset", F.col("d.item_type").alias("item_type"), F.col("d.item").alias("item"), "page_id")
-        disp_w(as_records(disp), batch_id)
-    return _start(fixed, "base_log", lay, split, trigger)
+    def rec(kind: str, value):
+        return F.struct(F.lit(kind).alias("kind"), F.col("offset").alias("offset"), value.alias("value"))
+    shown = F.transform(F.coalesce(F.col("displays"), F.array()), lambda d: rec("display", F.to_json(F.struct(
+        d["item_type"].alias("item_type"), d["item"].alias("item"), F.col("page.page_id").alias("page_id")))))
+    records = F.when(clean.is_start(fixed), F.array(rec("start", body))) \
+        .otherwise(F.concat(F.array(rec("page", body)), shown))
+    out = fixed.select(F.explode(records).alias("r")).select("r.kind", "r.offset", "r.value")
+    return topic_sink(out, lay, "dwd", "base_log", trigger, partition_by="kind")
 
 
 def _pages(spark: SparkSession, lay: Layout) -> DataFrame:
-    return read_records(spark, lay.topic("page"), schemas.LOG, max_files=lay.max_files)
+    return read_records(spark, lay.topic("dwd"), schemas.LOG, max_files=lay.max_files, kind="page")
 
 
 def unique_visit_job(spark: SparkSession, lay: Layout, zone: str = "UTC", trigger: dict | None = None):
     """T2 + T7 on the page topic."""
     pages = watermarked(_pages(spark, lay), DELAY_MONOTONIC)
     out = state.daily_unique_stream(pages, zone)
-    return _start(_log_records(out), "unique_visit", lay, topic_writer(lay.topic("unique_visit")), trigger)
+    return topic_sink(_log_records(out), lay, "unique_visit", "unique_visit", trigger)
 
 
 def user_jump_job(spark: SparkSession, lay: Layout, within: int = 10_000, trigger: dict | None = None):
     """T3 on the page topic, monotonic watermark (T5)."""
     pages = watermarked(_pages(spark, lay), DELAY_MONOTONIC)
     out = state.bounces_stream(pages, within)
-    return _start(_log_records(out), "user_jump", lay, topic_writer(lay.topic("user_jump")), trigger)
+    return topic_sink(_log_records(out), lay, "user_jump", "user_jump", trigger)
 
 
 def visitor_stats_job(spark: SparkSession, lay: Layout, window: str = "10 seconds", zone: str = "UTC",
@@ -166,7 +180,7 @@ def order_wide_job(spark: SparkSession, lay: Layout, user: DataFrame, province:
     d = watermarked(read_records(spark, lay.topic("order_detail"), ORDER_DETAIL_SCHEMA), DELAY_ORDER, "create_ts")
     wide = joins.order_wide(o, d, *bounds, time_cols=("event_time", "event_time"))
     wide = joins.enrich_order_wide(wide, user, province, products, as_of)
-    return _start(as_records(wide, "detail_id"), "order_wide", lay, topic_writer(lay.topic("order_wide")), trigger)
+    return topic_sink(as_records(wide, "detail_id"), lay, "order_wide", "order_wide", trigger)
 
 
 def _order_wide_schema(spark: SparkSession, sample: DataFrame) -> str:
@@ -179,7 +193,7 @@ def payment_wide_job(spark: SparkSession, lay: Layout, wide_schema, bounds: tupl
     p = watermarked(read_records(spark, lay.topic("payment_info"), PAYMENT_SCHEMA), DELAY_ORDER, "callback_ts")
     w = watermarked(read_records(spark, lay.topic("order_wide"), wide_schema), DELAY_ORDER, "create_ts")
     pw = joins.payment_wide(p, w, *bounds, time_cols=("event_time", "event_time"))
-    return _start(as_records(pw, "detail_id"), "payment_wide", lay, topic_writer(lay.topic("payment_wide")), trigger)
+    return topic_sink(as_records(pw, "detail_id"), lay, "payment_wide", "payment_wide", trigger)
 
 
 def province_stats_job(spark: SparkSession, lay: Layout, wide_schema, window: str = "10 seconds",

@@ -18,7 +18,7 @@ SENTINEL_ID = -1
 
 
 def _append(df: DataFrame, path: str) -> None:
-    df.select("offset", "value").write.mode("overwrite").json(f"{path.rstrip('/')}/batch-initial")
+    df.select("offset", "value").write.mode("overwrite").json(path)
 
 
 def _log_sentinel(log: DataFrame) -> DataFrame:

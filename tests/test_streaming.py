@@ -17,13 +17,17 @@ def _layout(max_files=None):
     return sj.Layout(tempfile.mkdtemp(prefix="stream-", dir="/tmp"), max_files)
 
 
-def _publish(df, path, name):
-    as_records(df, "offset", ["common", "start", "page", "displays", "ts"]).select("offset", "value") \
-        .coalesce(1).write.mode("overwrite").json(f"{path}/{name}")
+def _publish(df, path, kind=None):
+    """Append log records to a topic folder (one file per call); ``kind`` for the base-log topic."""
+    rec = as_records(df, "offset", ["common", "start", "page", "displays", "ts"]).select("offset", "value").coalesce(1)
+    if kind:
+        rec.withColumn("kind", F.lit(kind)).write.mode("append").partitionBy("kind").json(path)
+    else:
+        rec.write.mode("append").json(path)
 
 
-def _read(spark, lay, topic):
-    return sj.read_records(spark, lay.topic(topic), schemas.LOG, stream=False)
+def _read(spark, lay, topic, kind=None):
+    return sj.read_records(spark, lay.topic(topic), schemas.LOG, stream=False, kind=kind)
 
 
 def _run(q):
@@ -51,8 +55,8 @@ def test_jump_stream_matches_batch_across_micro_batches(spark):
     lay = _layout(max_files=1)
     rows = log_rows(spark, FIXTURE)
     # one file per record: each micro-batch sees one record, so pending entries cross batches
-    for i, r in enumerate(rows.collect()):
-        _publish(spark.createDataFrame([r], rows.schema), lay.topic("page"), f"b{i:03d}")
+    for r in rows.collect():
+        _publish(spark.createDataFrame([r], rows.schema), lay.topic("dwd"), "page")
     _run(sj.user_jump_job(spark, lay, 10_000))
     got = _mid_ts(_read(spark, lay, "user_jump"))
     assert got == [("101", 10000), ("102", 12000)]
@@ -70,13 +74,14 @@ def test_base_log_and_unique_visit_stream(spark):
         {"mid": 2, "ts": 3, "is_new": "0", "last_page_id": "home", "displays": [("sku_id", "4")]},
         {"mid": "__end__", "ts": END, "page_id": "good_list", "last_page_id": "home", "item": "end"},
     ])
-    _publish(rows, lay.topic("log"), "b0")
+    _publish(rows, lay.topic("log"))
     _run(sj.base_log_job(spark, lay))
-    pages = _read(spark, lay, "page")
+    pages = _read(spark, lay, "dwd", "page")
     flags = sorted((r["ts"], r["is_new"]) for r in pages.select("ts", F.col("common.is_new").alias("is_new")).collect())
     assert flags[:4] == [(1, "1"), (3, "0"), (day + 5, "0"), (day + 9, "0")]
-    assert _read(spark, lay, "start").count() == 1
-    assert spark.read.schema(schemas.RAW).json(lay.topic("display") + "/*").count() == 1
+    assert _read(spark, lay, "dwd", "start").count() == 1
+    shown = spark.read.schema("offset long, value string, kind string").json(lay.topic("dwd")).where("kind = 'display'")
+    assert [r["value"] for r in shown.collect()] == ['{"item_type":"sku_id","item":"4","page_id":"home"}']
     _run(sj.unique_visit_job(spark, lay))
     assert _mid_ts(_read(spark, lay, "unique_visit")) == [("1", 1), ("1", day + 5)]
 
@@ -85,13 +90,13 @@ def test_late_rows_drop_and_restart_has_no_duplicates(spark):
     lay = _layout()
     rows = lambda recs: log_rows(spark, recs)
     _publish(rows([{"mid": 1, "ts": 1_000, "last_page_id": "home"},
-                   {"mid": 1, "ts": 100_000, "last_page_id": "home"}]), lay.topic("page"), "b0")
-    spark.createDataFrame([], schemas.RAW).write.mode("overwrite").json(lay.topic("unique_visit") + "/b0")
-    spark.createDataFrame([], schemas.RAW).write.mode("overwrite").json(lay.topic("user_jump") + "/b0")
+                   {"mid": 1, "ts": 100_000, "last_page_id": "home"}]), lay.topic("dwd"), "page")
+    spark.createDataFrame([], schemas.RAW).write.mode("overwrite").json(lay.topic("unique_visit"))
+    spark.createDataFrame([], schemas.RAW).write.mode("overwrite").json(lay.topic("user_jump"))
     _run(sj.visitor_stats_job(spark, lay, "10 seconds", delay="0 seconds"))
     # second run on the same checkpoint: a late row (window long closed) and the sentinel
     _publish(rows([{"mid": 1, "ts": 2_000, "last_page_id": "home"},
-                   {"mid": "__end__", "ts": END, "last_page_id": "home"}]), lay.topic("page"), "b1")
+                   {"mid": "__end__", "ts": END, "last_page_id": "home"}]), lay.topic("dwd"), "page")
     _run(sj.visitor_stats_job(spark, lay, "10 seconds", delay="0 seconds"))
     stats = spark.read.parquet(lay.stats("visitor_stats"))
     got = sorted((r["stt"], r["pv_ct"]) for r in stats.collect())
@@ -131,15 +136,29 @@ def test_order_wide_stream_interval_join(spark):
                               "detail_id long, order_id long, create_ts long") \
         .selectExpr("detail_id", "order_id", "detail_id as sku_id", "1L as sku_num", "cast(2 as decimal(18,2)) as order_price",
                     "cast(2 as decimal(18,2)) as split_total_amount", "'x' as create_time", "create_ts + 0 as create_ts")
-    as_records(o, "id").coalesce(1).write.json(lay.topic("order_info") + "/b0")
+    as_records(o, "id").coalesce(1).write.json(lay.topic("order_info"))
     as_records(d.withColumn("offset", F.col("detail_id")), "offset",
-               [c for c in d.columns]).coalesce(1).write.json(lay.topic("order_detail") + "/b0")
+               [c for c in d.columns]).coalesce(1).write.json(lay.topic("order_detail"))
     empty = spark.createDataFrame([], "id long, birthday string, gender string, nation_id long, name string, "
                                       "area_code string, iso_code string, iso_3166_2 string, sku_name string, "
                                       "spu_id long, tm_id long, category3_id long, spu_name string, tm_name string, "
                                       "category3_name string")
     _run(sj.order_wide_job(spark, lay, empty, empty, empty, "2025-01-01 00:00:00"))
-    wide = spark.read.schema(schemas.RAW).json(lay.topic("order_wide") + "/*") \
+    wide = spark.read.schema(schemas.RAW).json(lay.topic("order_wide")) \
         .select(F.get_json_object("value", "$.order_id").cast("long").alias("o"),
                 F.get_json_object("value", "$.user_age").alias("age"))
     assert sorted(r["o"] for r in wide.collect() if r["o"] != -1) == [1, 1, 1, 2]
+
+
+def test_topic_chain_restart_has_no_duplicates(spark):
+    """A job restarted on its checkpoint with new input appends only the new records to its topic,
+    and its file sink's log keeps downstream readers to committed files."""
+    lay = _layout()
+    day = 86_400_000
+    _publish(log_rows(spark, [{"mid": 1, "ts": 1_000, "offset": 1, "last_page_id": None}]), lay.topic("dwd"), "page")
+    _run(sj.unique_visit_job(spark, lay))
+    _publish(log_rows(spark, [{"mid": 1, "ts": day + 1, "offset": 2, "last_page_id": None},
+                              {"mid": 1, "ts": day + 2, "offset": 3, "last_page_id": None}]), lay.topic("dwd"), "page")
+    _run(sj.unique_visit_job(spark, lay))
+    out = spark.read.schema(schemas.RAW).json(lay.topic("unique_visit"))
+    assert sorted(r["offset"] for r in out.collect()) == [1, 2]
