@@ -245,12 +245,16 @@ def change_routing_job(spark: SparkSession, lay: Layout, trigger: dict | None =
     return _start(changes, "change_routing", lay, handle, trigger)
 
 
-def token_count_job(spark: SparkSession, lines_path: str, query_name: str = "token_counts",
-                    checkpoint: str | None = None, trigger: dict | None = None):
-    """A5 (+ S3): comma tokens of a line stream, running count per token, emitted on each update."""
-    lines = spark.readStream.text(lines_path)
-    counts = agg.token_counts(lines, "value")
-    w = counts.writeStream.format("memory").queryName(query_name).outputMode("update")
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+def token_count_job(spark: SparkSession, lines: DataFrame, out_path: str, checkpoint: str,
+                    text: str = "value", trigger: dict | None = None):
+    """A5 (+ S3): comma tokens of a text stream, running count per token, emitted on each update
+    (update mode) into batch-keyed folders; ``latest_counts`` reads the current count per token."""
+    counts = agg.token_counts(lines, text)
+    return (counts.writeStream.queryName("token_counts").foreachBatch(stats_writer(out_path, ["token", "ct"]))
+            .option("checkpointLocation", checkpoint).outputMode("update")
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def latest_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """The newest emitted count of every token (updates carry running totals)."""
+    return spark.read.parquet(out_path).groupBy("token").agg(F.max_by("ct", "batch_id").alias("ct"))

@@ -119,12 +119,24 @@ def dim_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return VersionedStore(spark, lay.dims).current().select("sink_table", "pk", "column", "value")
 
 
+@_sized
+def token_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 on a stream: every document text as one record, running comma-token counts (update mode)."""
+    from pyspark.sql import functions as F
+    lay = new_layout(spark, "tokens")
+    Tables(spark, sf_dir).documents.select(F.col("text").alias("value")).write.mode("overwrite").json(lay.topic("lines"))
+    lines = spark.readStream.schema("value string").json(lay.topic("lines"))
+    _await(sj.token_count_job(spark, lines, lay.stats("token_counts"), lay.checkpoint("token_counts")))
+    return sj.latest_counts(spark, lay.stats("token_counts"))
+
+
 STREAM_QUERIES = {
     "visitor_stats_stream": visitor_stats_stream,
     "keyword_stats_stream": keyword_stats_stream,
     "province_stats_stream": province_stats_stream,
     "product_stats_stream": product_stats_stream,
     "dim_upsert_stream": dim_upsert_stream,
+    "token_counts_stream": token_counts_stream,
 }
 
 

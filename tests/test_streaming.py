@@ -109,10 +109,13 @@ def test_token_count_stream_updates(spark):
     os.makedirs(f"{d}/in")
     with open(f"{d}/in/a.txt", "w") as fh:
         fh.write("a,b\nb,,c\n")
-    q = sj.token_count_job(spark, f"{d}/in", "tc_test", checkpoint=f"{d}/ckpt")
-    _run(q)
-    got = {r["token"]: r["ct"] for r in spark.sql("SELECT * FROM tc_test").collect()}
-    assert got == {"a": 1, "b": 2, "c": 1}
+    lines = spark.readStream.text(f"{d}/in")
+    _run(sj.token_count_job(spark, lines, f"{d}/out", f"{d}/ckpt", trigger={"availableNow": True}))
+    with open(f"{d}/in/b.txt", "w") as fh:
+        fh.write("c,a\n")
+    _run(sj.token_count_job(spark, spark.readStream.text(f"{d}/in"), f"{d}/out", f"{d}/ckpt"))
+    got = {r["token"]: r["ct"] for r in sj.latest_counts(spark, f"{d}/out").collect()}
+    assert got == {"a": 2, "b": 2, "c": 2}
 
 
 def test_log_archive_by_day(spark):
