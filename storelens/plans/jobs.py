@@ -73,8 +73,13 @@ def q_order_ship_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_payment_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J2 + P16: payments x enriched order lines, order time within 30 minutes before payment."""
-    return payment_wide_of(Tables(spark, sf_dir))
+    """J2 + P16: payments x enriched order lines, order time within 30 minutes before payment.
+
+    The lookups are left joins on unique keys, so they commute with J2: the selective payment join
+    runs first and only paid lines are enriched."""
+    t = Tables(spark, sf_dir)
+    pw = payment_wide_of(t, order_wide_core(t))
+    return joins.enrich_order_wide(pw, ad.dim_user(t), ad.dim_province(t), products(t), AS_OF)
 
 
 def q_product_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
