@@ -205,6 +205,29 @@ def province_stats_job(spark: SparkSession, lay: Layout, wide_schema, window: st
                   stats_writer(lay.stats("province_stats"), schemas.PROVINCE_STATS_COLUMNS), trigger)
 
 
+def province_stats_sql_job(spark: SparkSession, lay: Layout, wide_schema, window: str = "10 seconds",
+                           as_of_ms: int | None = None, trigger: dict | None = None):
+    """A3 as SQL text over a streaming view (the shop's SQL entry on a dynamic table): the watermarked
+    order-wide stream is a temp view and the statement groups by ``window(event_time, ...)``. Distinct
+    orders per window are ``size(collect_set(...))``: streams refuse ``COUNT(DISTINCT)``."""
+    w = watermarked(read_records(spark, lay.topic("order_wide"), wide_schema), DELAY_MONOTONIC, "create_ts")
+    view = f"order_wide_stream_{abs(hash(lay.root)) % 10**8}"
+    w.createOrReplaceTempView(view)
+    fmt = ("substring(CAST(timestampadd(MILLISECOND, unix_millis(window.{}), TIMESTAMP_NTZ '1970-01-01 00:00:00') "
+           "AS STRING), 1, 19)")
+    stamp = f"CAST({as_of_ms} AS BIGINT)" if as_of_ms is not None else "unix_millis(current_timestamp())"
+    stats = spark.sql(f"""
+        SELECT {fmt.format('start')} AS stt, {fmt.format('end')} AS edt, province_id, province_name,
+               province_area_code AS area_code, province_iso_code AS iso_code, province_3166_2_code AS iso_3166_2,
+               CAST(sum(split_total_amount) AS DECIMAL(28,2)) AS order_amount,
+               CAST(size(collect_set(order_id)) AS BIGINT) AS order_count, {stamp} AS ts
+        FROM {view}
+        GROUP BY window(event_time, '{window}'), province_id, province_name, province_area_code,
+                 province_iso_code, province_3166_2_code""")
+    return _start(stats, "province_stats_sql", lay,
+                  stats_writer(lay.stats("province_stats_sql"), schemas.PROVINCE_STATS_COLUMNS), trigger)
+
+
 def product_stats_job(spark: SparkSession, lay: Layout, wide_schema, payment_schema, products: DataFrame,
                       window: str = "10 seconds", zone: str = "UTC", as_of: str | None = None,
                       trigger: dict | None = None):

@@ -94,6 +94,19 @@ def province_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_stats(spark, lay.stats("province_stats"), schemas.PROVINCE_STATS_COLUMNS)
 
 
+@_sized
+def province_stats_sql_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same chain with the province statistics written as SQL text over a streaming view."""
+    import datetime as dt
+    t = Tables(spark, sf_dir)
+    lay = new_layout(spark, "province-sql")
+    publish(t, lay)
+    wide_schema = _order_wide_chain(spark, t, lay)
+    as_of = dt.datetime.strptime(batch.AS_OF, "%Y-%m-%d %H:%M:%S").replace(tzinfo=dt.timezone.utc)
+    _await(sj.province_stats_sql_job(spark, lay, wide_schema, batch.WINDOW, int(as_of.timestamp() * 1000)))
+    return _read_stats(spark, lay.stats("province_stats_sql"), schemas.PROVINCE_STATS_COLUMNS)
+
+
 @_sized
 def product_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seven product topics (order wide and payment wide produced by streaming joins) -> A1 + J5."""
@@ -134,6 +147,7 @@ STREAM_QUERIES = {
     "visitor_stats_stream": visitor_stats_stream,
     "keyword_stats_stream": keyword_stats_stream,
     "province_stats_stream": province_stats_stream,
+    "province_stats_sql_stream": province_stats_sql_stream,
     "product_stats_stream": product_stats_stream,
     "dim_upsert_stream": dim_upsert_stream,
     "token_counts_stream": token_counts_stream,
