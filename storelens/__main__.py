@@ -11,9 +11,9 @@ from __future__ import annotations
 import argparse
 import sys
 
-from storelens.plans.jobs import QUERIES
+from storelens.plans.registry import BATCH as QUERIES
+from storelens.plans.registry import STREAMS as STREAM_QUERIES
 from storelens.session import build_session
-from storelens.streaming.run import STREAM_QUERIES
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -228,11 +228,3 @@ QUERIES = {
     "token_counts": q_token_counts,
     "document_keywords": q_document_keywords,
 }
-
-
-def _register_sql() -> None:
-    from storelens.plans.sql import SQL_QUERIES
-    QUERIES.update(SQL_QUERIES)
-
-
-_register_sql()

@@ -83,3 +83,11 @@ SQL_QUERIES = {
     "keyword_stats_sql": keyword_stats_sql,
     "keyword_actions_sql": keyword_actions_sql,
 }
+
+
+def create_topic_table(spark: SparkSession, name: str, path: str, columns: str, fmt: str = "json") -> DataFrame:
+    """S2 in SQL: a topic folder declared as a table with its columns, as the shop's DDL does with a
+    connector. Returns the table; queries can name it in SQL text. ``columns`` is a DDL column list,
+    e.g. ``"offset BIGINT, value STRING"``."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} ({columns}) USING {fmt} OPTIONS (path '{path}')")
+    return spark.table(name)

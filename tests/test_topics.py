@@ -49,3 +49,14 @@ def test_topic_roundtrip_and_console(spark):
     q = topics.write_console(spark.readStream.schema(schemas.RAW).json(d).select("offset"))
     q.processAllAvailable()
     q.stop()
+
+
+def test_topic_declared_as_sql_table(spark):
+    from storelens.plans.sql import create_topic_table
+    d = _tmp("ddl-")
+    topics.write_topic(topics.as_records(spark.createDataFrame([(1, "good_list", "red ball"), (2, "home", None)],
+                                                               "offset long, page_id string, item string")), d)
+    create_topic_table(spark, "page_view_ddl", d, "offset BIGINT, value STRING")
+    got = spark.sql("""SELECT get_json_object(value, '$.item') AS fullword FROM page_view_ddl
+                       WHERE get_json_object(value, '$.page_id') = 'good_list'""").collect()
+    assert [r["fullword"] for r in got] == ["red ball"]
