@@ -147,10 +147,11 @@ def unique_visit_job(spark: SparkSession, lay: Layout, zone: str = "UTC", trigge
     return topic_sink(_log_records(out), lay, "unique_visit", "unique_visit", trigger)
 
 
-def user_jump_job(spark: SparkSession, lay: Layout, within: int = 10_000, trigger: dict | None = None):
-    """T3 on the page topic, monotonic watermark (T5)."""
+def user_jump_job(spark: SparkSession, lay: Layout, within: int = 10_000, trigger: dict | None = None,
+                  impl: str = "group_state"):
+    """T3 on the page topic, monotonic watermark (T5); ``impl`` picks the state API."""
     pages = watermarked(_pages(spark, lay), DELAY_MONOTONIC)
-    out = state.bounces_stream(pages, within)
+    out = state.bounces_stream(pages, within, impl=impl)
     return topic_sink(_log_records(out), lay, "user_jump", "user_jump", trigger)
 
 

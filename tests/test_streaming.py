@@ -2,6 +2,8 @@
 
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from helpers import log_rows
@@ -51,13 +53,14 @@ FIXTURE = [
 ]
 
 
-def test_jump_stream_matches_batch_across_micro_batches(spark):
+@pytest.mark.parametrize("impl", ["group_state", "timers"])
+def test_jump_stream_matches_batch_across_micro_batches(spark, impl):
     lay = _layout(max_files=1)
     rows = log_rows(spark, FIXTURE)
     # one file per record: each micro-batch sees one record, so pending entries cross batches
     for r in rows.collect():
         _publish(spark.createDataFrame([r], rows.schema), lay.topic("dwd"), "page")
-    _run(sj.user_jump_job(spark, lay, 10_000))
+    _run(sj.user_jump_job(spark, lay, 10_000, impl=impl))
     got = _mid_ts(_read(spark, lay, "user_jump"))
     assert got == [("101", 10000), ("102", 12000)]
     assert got == _mid_ts(stateful.bounces(rows, 10_000))
