@@ -109,8 +109,14 @@ def q_keyword_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_keyword_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keywords of SPU names x positive click/cart/order counts of the product statistics."""
-    return agg.keyword_actions(q_product_stats(spark, sf_dir), AS_OF)
+    """Keywords of SPU names x positive click/cart/order counts of the product statistics.
+
+    Only clicks, carts and orders can make those three counts positive; a (window, SKU) group fed
+    by the other inputs alone has all three at zero and yields no row. So the statistics are built
+    from those three inputs only: the same rows, without the payment join and four other scans."""
+    t = Tables(spark, sf_dir)
+    ev = agg.product_events(pages=log_pages(t), order_wide=order_wide_core(t), cart=ad.cart_info(t))
+    return agg.keyword_actions(agg.product_stats(ev, WINDOW, AS_OF, products(t)), AS_OF)
 
 
 def _log_rows(df: DataFrame) -> DataFrame:
