@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from storelens.plans import jobs  # noqa: E402
-from storelens.session import build_session  # noqa: E402
+from storelens.session import build_session, clear_materialized  # noqa: E402
 
 HEADLINE = (
     "province_stats", "order_wide", "payment_wide", "product_stats", "visitor_stats", "keyword_stats",
@@ -50,6 +50,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "sum_median_query_sec", "value": round(sum(per.values()), 3), "unit": "sec",
                       "queries": per, "sf": sf, "cpus": cpus, "repeat": repeat}))
+    clear_materialized(spark)
     spark.stop()
 
 

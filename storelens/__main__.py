@@ -13,7 +13,7 @@ import sys
 
 from storelens.plans.registry import BATCH as QUERIES
 from storelens.plans.registry import STREAMS as STREAM_QUERIES
-from storelens.session import build_session
+from storelens.session import build_session, clear_materialized
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -48,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
         df.show(a.show, truncate=False)
     if not a.out and not a.show:
         df.write.format("noop").mode("overwrite").save()
+    clear_materialized(spark)
     return 0
 
 

@@ -68,21 +68,39 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d
 
 
+def _app_folder(spark: SparkSession) -> str:
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        app = spark.conf.get("spark.app.id", "app")
+    return f"{checkpoint_root(spark).rstrip('/')}/storelens/{app}"
+
+
 def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     Used where one intermediate (the page log, the order lines) feeds several branches of a job: it
     plays the part of the topic between the shop's jobs, cuts the lineage (an executor loss replays
-    from the files, not from the sources) and lets each branch read only its columns.
+    from the files, not from the sources) and lets each branch read only its columns. Files live in
+    one folder per application; ``clear_materialized`` removes it when the results are written.
     """
     import uuid
 
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/storelens/{name}-{uuid.uuid4().hex}"
+    path = f"{_app_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def clear_materialized(spark: SparkSession) -> None:
+    """Delete this application's materialised intermediates (DataFrames read from them become invalid)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_app_folder(spark))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 _SHIPPED: set[str] = set()
 
 

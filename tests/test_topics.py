@@ -60,3 +60,11 @@ def test_topic_declared_as_sql_table(spark):
     got = spark.sql("""SELECT get_json_object(value, '$.item') AS fullword FROM page_view_ddl
                        WHERE get_json_object(value, '$.page_id') = 'good_list'""").collect()
     assert [r["fullword"] for r in got] == ["red ball"]
+
+
+def test_materialize_and_clear(spark):
+    from storelens.session import clear_materialized, materialize
+    df = materialize(spark.range(10).withColumnRenamed("id", "x"), "t")
+    assert df.count() == 10
+    clear_materialized(spark)
+    assert materialize(spark.range(3), "t").count() == 3
