@@ -168,3 +168,42 @@ def test_topic_chain_restart_has_no_duplicates(spark):
     _run(sj.unique_visit_job(spark, lay))
     out = spark.read.schema(schemas.RAW).json(lay.topic("unique_visit"))
     assert sorted(r["offset"] for r in out.collect()) == [1, 2]
+
+
+def test_continuous_deployment_smoke(spark):
+    """All jobs running at once on processing-time triggers, chained through their topics."""
+    import time
+
+    from storelens.plans import jobs as batch
+    from storelens.sources import adapters as ad
+    from storelens.sources.tables import Tables
+    from storelens.streaming import run
+    from storelens.streaming.publish import publish
+    t = Tables(spark, "/root/testdata/sf0.001")
+    lay = run.new_layout(spark, "deploy")
+    publish(t, lay)
+    wide = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.order_wide_enriched(t).schema.fields)
+    pay = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.payment_wide_of(t).schema.fields)
+    qs = run.start_all(spark, lay, ad.dim_user(t), ad.dim_province(t), batch.products(t), wide, pay,
+                       as_of=batch.AS_OF, trigger={"processingTime": "1 second"})
+    want = {"visitor_stats": 801, "keyword_stats": 376, "province_stats": 1395, "product_stats": 7719}
+
+    def counts():
+        out = {}
+        for name in want:
+            try:
+                out[name] = spark.read.parquet(lay.stats(name)).count()
+            except Exception:
+                out[name] = 0
+        return out
+    try:
+        deadline = time.time() + 240
+        got = counts()
+        while time.time() < deadline and got != want:
+            assert all(q.exception() is None for q in qs)
+            time.sleep(5)
+            got = counts()
+    finally:
+        for q in qs:
+            q.stop()
+    assert got == want
