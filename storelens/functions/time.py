@@ -76,7 +76,13 @@ def event_time(ms) -> Column:
     return F.timestamp_millis(_c(ms))
 
 
-def age_years(birthday, as_of) -> Column:
-    """whole years of 365 days between a ``yyyy-MM-dd`` birthday and ``as_of`` (a date or text)."""
-    return F.floor(F.datediff(F.to_date(_c(as_of) if not isinstance(as_of, str) else F.lit(as_of)),
-                              F.to_date(_c(birthday))) / 365).cast("int")
+def age_years(birthday, as_of=None) -> Column:
+    """whole years of 365 days between a ``yyyy-MM-dd`` birthday and ``as_of`` (text, a date
+    column, or None for today's date as the shop's wall clock did)."""
+    if as_of is None:
+        ref = F.current_date()
+    elif isinstance(as_of, str):
+        ref = F.to_date(F.lit(as_of))
+    else:
+        ref = F.to_date(as_of)
+    return F.floor(F.datediff(ref, F.to_date(_c(birthday))) / 365).cast("int")

@@ -125,7 +125,7 @@ def product_dimension(sku: DataFrame, spu: DataFrame, trademark: DataFrame, cate
 
 
 def enrich_order_wide(wide: DataFrame, user: DataFrame, province: DataFrame, products: DataFrame,
-                      as_of: str, province_rows: int | None = None) -> DataFrame:
+                      as_of: str | None = None, province_rows: int | None = None) -> DataFrame:
     """User (age, gender), province (name, codes), then product attributes. Misses keep the row."""
     w = lookup(wide, user.select("id", age_years("birthday", as_of).alias("user_age"), "gender"),
                {"user_id": "id"}, {"user_age": "user_age", "gender": "user_gender"})

@@ -175,7 +175,7 @@ def keyword_stats_job(spark: SparkSession, lay: Layout, window: str = "10 second
 
 
 def order_wide_job(spark: SparkSession, lay: Layout, user: DataFrame, province: DataFrame, products: DataFrame,
-                   as_of: str, bounds: tuple[int, int] = (-5, 5), trigger: dict | None = None):
+                   as_of: str | None = None, bounds: tuple[int, int] = (-5, 5), trigger: dict | None = None):
     """J1 (stream-stream interval join, state evicted by watermark + bounds) + J4 (stream-static)."""
     o = watermarked(read_records(spark, lay.topic("order_info"), ORDER_INFO_SCHEMA), DELAY_ORDER, "create_ts")
     d = watermarked(read_records(spark, lay.topic("order_detail"), ORDER_DETAIL_SCHEMA), DELAY_ORDER, "create_ts")

@@ -168,7 +168,7 @@ def start_all(spark: SparkSession, lay: sj.Layout, user: DataFrame, province: Da
         sj.user_jump_job(spark, lay, within, trigger=trig),
         sj.visitor_stats_job(spark, lay, window, trigger=trig),
         sj.keyword_stats_job(spark, lay, window, as_of=as_of, trigger=trig),
-        sj.order_wide_job(spark, lay, user, province, products, as_of or "2025-01-01 00:00:00", trigger=trig),
+        sj.order_wide_job(spark, lay, user, province, products, as_of, trigger=trig),
         sj.payment_wide_job(spark, lay, wide_schema, trigger=trig),
         sj.province_stats_job(spark, lay, wide_schema, window, as_of=as_of, trigger=trig),
         sj.product_stats_job(spark, lay, wide_schema, payment_schema, products, window, as_of=as_of, trigger=trig),
