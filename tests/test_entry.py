@@ -56,3 +56,11 @@ def test_batch_job_equals_sql(spark, name):
     idx = [dcols.index(c) for c in scols]
     drows = sorted(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
     assert srows == drows
+
+
+def test_command_line_lists_every_job(capsys):
+    from storelens.__main__ import main
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out
+    names = set(out.replace("batch:", " ").replace("stream:", " ").split())
+    assert names == set(_entry().queries())
