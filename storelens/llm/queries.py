@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import license_scan, pii, sharding
+from storelens.llm import license_scan, mixing, packing, pii, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,19 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), shards=40)
 
 
+def op4_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "mix_tokens", "mix_epoch", "mix_block", "mix_weight", "mix_order")
+
+
+def op6_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op5_ring_shards, op10_pii_spans)}
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op4_temperature_mix, op5_ring_shards, op6_window_packing, op10_pii_spans)}
 ORACLE_SQL: dict[str, str] = {}
