@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import license_scan, mixing, packing, pii, sharding
+from storelens.llm import license_scan, mixing, packing, pii, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +28,15 @@ def op6_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.fingerprint_documents(_table(spark, sf_dir, "documents")))
+
+
 def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op4_temperature_mix, op5_ring_shards, op6_window_packing, op10_pii_spans)}
+    op1_license_scan, op4_temperature_mix, op5_ring_shards, op6_window_packing, op8_simhash,
+    op10_pii_spans)}
 ORACLE_SQL: dict[str, str] = {}
