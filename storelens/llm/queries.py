@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import html_text, license_scan, mixing, packing, pii, sharding, simhash
+from storelens.llm import html_text, license_scan, mixing, packing, pii, quality, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), shards=40)
 
 
+def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(_table(spark, sf_dir, "pages"))
 
@@ -41,6 +46,6 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op3_page_text, op4_temperature_mix, op5_ring_shards, op6_window_packing, op8_simhash,
+    op1_license_scan, op2_ordinal_quality, op3_page_text, op4_temperature_mix, op5_ring_shards, op6_window_packing, op8_simhash,
     op10_pii_spans)}
 ORACLE_SQL: dict[str, str] = {}
