@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import html_text, license_scan, mixing, packing, pii, quality, sharding, simhash
+from storelens.llm import html_text, license_scan, mixing, packing, pii, quality, sharding, simhash, vector_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,11 +41,15 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.fingerprint_documents(_table(spark, sf_dir, "documents")))
 
 
+def op9_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_ordinal_quality, op3_page_text, op4_temperature_mix, op5_ring_shards, op6_window_packing, op8_simhash,
-    op10_pii_spans)}
+    op9_vector_graph, op10_pii_spans)}
 ORACLE_SQL: dict[str, str] = {}
