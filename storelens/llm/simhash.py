@@ -3,7 +3,7 @@
 A text's terms are its neighbouring word pairs (the last word alone); a term weighs more the longer its word.
 Each of the 128 bits of a term's hash votes with that weight, and the fingerprint has the bits whose votes for one
 outweigh those for zero. Votes are summed in packed lanes: a long holds four 16-bit counters, so a term costs 32 additions in
-generated code. Terms are summed per block of ``BLOCK`` terms (lanes cannot overflow), combined map-side; the few
+generated code. Terms are summed per block of 4096 terms (lanes cannot overflow), combined map-side; the few
 block rows of a text are then unpacked and summed. A text of any length spreads over blocks.
 
 The search cuts fingerprints into blocks of bits and keeps one table per choice of blocks that must agree; two
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from storelens.llm.common import write_once
 
 BITS = 128
-BLOCK = 8192  # terms per block: at weight 7 or less a 16-bit lane holds them
+BLOCK_BITS = 12  # 4096 terms of weight 7 or less stay below 2 ** 15, also in the lane that holds the sign
 ORDER_CHUNKS = 1024
 _SPREAD = 1 + (1 << 15) + (1 << 30) + (1 << 45)  # a nibble times this has its bit k at place 16 k
 _LANES = 1 + (1 << 16) + (1 << 32) + (1 << 48)
@@ -34,7 +34,7 @@ def fingerprints(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     terms = F.transform(words, lambda w, i: F.struct(F.xxhash64(w, F.get(words, i + 1)).alias("h"),
                                                      F.least(F.length(w), F.lit(7)).cast("long").alias("w")))
     rows = staged.select(*keys, F.posexplode(terms).alias("__at", "__t")).select(
-        *keys, F.shiftright("__at", 13).alias("__block"), F.col("__t.h").alias("__h"), F.col("__t.w").alias("__w"))
+        *keys, F.shiftright("__at", BLOCK_BITS).alias("__block"), F.col("__t.h").alias("__h"), F.col("__t.w").alias("__w"))
     rows = rows.withColumn("__g", F.xxhash64("__h", F.lit(1)))
     lanes = []
     for half, col in enumerate(("__h", "__g")):
