@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import html_text, license_scan, mixing, packing, pii, quality, sharding, simhash, vector_dedup
+from storelens.llm import html_text, jaccard_join, license_scan, mixing, packing, pii, quality, sharding, simhash, vector_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op6_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op7_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.fingerprint_documents(_table(spark, sf_dir, "documents")))
 
@@ -50,6 +54,6 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_ordinal_quality, op3_page_text, op4_temperature_mix, op5_ring_shards, op6_window_packing, op8_simhash,
+    op1_license_scan, op2_ordinal_quality, op3_page_text, op4_temperature_mix, op5_ring_shards, op6_window_packing, op7_prefix_tree_join, op8_simhash,
     op9_vector_graph, op10_pii_spans)}
 ORACLE_SQL: dict[str, str] = {}

@@ -1,6 +1,7 @@
 """Operators 4 and 6 against plain Python versions and their own laws."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -61,6 +62,18 @@ def test_pack_edges_parts_and_sequences(spark, edge, monkeypatch):
     assert packing.pack(edge.limit(0)).count() == 0
 
 
+def test_encoder_on_odd_texts():
+    """The word-by-word ids are the whole text's ids."""
+    e = packing.Encoder(packing.default_tokenizer())
+    pool = ["a", "B", "Z", "é", "É", "e\u0301", "A\u030a", "ß", "Σ", "İ", "1", "²", "'", "'s", "'S", "don't", "I'LL", " ", "  ", "\n", "\t",
+            "\u00a0", "\u2003", ",", ".", "%%%", "!!", "_", "-", "…", "\u0301", "日本", "한", "ﬁ", "\U0001F600", "THE", "<", "<|endoftext|>", "\x1c",
+            "\x00", "\ufeff", "\u200d", "क\u093c", "\u0958"]
+    rng = random.Random(3)
+    for _ in range(1500):
+        x = "".join(rng.choice(pool) for _ in range(rng.randrange(14)))
+        assert e([x])[0].tolist() == [*e.tokenizer.encode(x, add_special_tokens=False).ids, 2], repr(x)
+
+
 def test_pack_online_is_bounded():
     lengths = [((i * 7919) % 4096) + 1 for i in range(3000)]
     emitted, left = packing.pack_online(lengths, 4096, 16)
