@@ -5,7 +5,7 @@ and a priority. Some hundred rules come from families (written by hand below) ti
 are sentences of licence texts. Detections that lie inside another one of the same or a higher priority are
 suppressed, so "under the MIT License" inside "released under the MIT License" counts once.
 
-One projection per document, SQL expressions only: the words are extracted once; only texts that hold some
+One projection per document, SQL expressions only: runs of separators become blanks once; only texts that hold some
 keyword (one alternation) number their words ("17:mit 18:license"), so a match brings its word position with
 it; a rule's expression runs only where its keyword stands. No shuffle, no Python on the executors.
 """
@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from storelens.llm.common import lower_ascii
 
-# The word pattern and the base phrases.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The base phrases.
+# Fixed value: what stands between words. Words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing A-Z, so
+# before it the capitals belong to words too.
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
 _LIC = "(?:license|licence)"
@@ -195,11 +197,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rules = RULES if rules is None else rules
     keys = sorted({r[1] for r in rules})
     gate = "(?:" + "|".join(re.escape(k).replace("\\ ", " ") for k in keys) + ")"
-    step = docs.select(F.col(id_col).alias("doc_id"), F.regexp_extract_all(
-        lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD), F.lit(0)).alias("words"))
-    step = step.select("doc_id", F.size("words").cast("long").alias("n_words"),
-                       F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("norm"))
-    step = step.withColumn("numbered", F.when(F.col("norm").rlike(gate), F.array_join(F.transform(
+    # runs of separators become one blank; letters keep their case until a keyword is seen
+    step = docs.select(F.col(id_col).alias("doc_id"), F.trim(F.regexp_replace(
+        F.coalesce(F.col(text_col), F.lit("")), SEPARATORS, " ")).alias("spaced"))
+    step = step.select("doc_id", "spaced", F.when(F.col("spaced") == "", F.lit(0)).otherwise(
+        F.length("spaced") - F.length(F.replace("spaced", F.lit(" "), F.lit(""))) + 1).cast("long").alias("n_words"))
+    step = step.select("doc_id", "n_words", F.when(F.concat(F.lit(" "), "spaced").rlike("(?i)" + gate), F.concat(
+        F.lit(" "), lower_ascii(F.col("spaced")), F.lit(" "))).otherwise(F.lit("")).alias("norm"))
+    step = step.withColumn("numbered", F.when(F.col("norm") != "", F.array_join(F.transform(
         F.split(F.trim("norm"), " "), lambda w, i: F.concat(i.cast("string"), F.lit(":"), w)), " ")).otherwise(F.lit("")))
     base = F.concat(*[F.transform(
         F.regexp_extract_all("numbered", F.lit(_numbered(phrase)), F.lit(0)), _labelled(label))
