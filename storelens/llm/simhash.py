@@ -1,8 +1,8 @@
 """Operator 8: SimHash fingerprints and the search for all fingerprints within a Hamming radius.
 
 A text's terms are its neighbouring word pairs (the last word alone); a term weighs more the longer its word.
-Each of the 128 bits of a term's hash votes with that weight, and the fingerprint has the bits whose votes for one
-outweigh those for zero. Votes are summed in packed lanes: a long holds four 16-bit counters, so a term costs 32 additions in
+Each of the 64 bits of a term's hash votes with that weight, and the fingerprint has the bits whose votes for one
+outweigh those for zero. Votes are summed in packed lanes: a long holds four 16-bit counters, so a term costs 16 additions in
 generated code. Terms are summed per block of 4096 terms (lanes cannot overflow), combined map-side; the few
 block rows of a text are then unpacked and summed. A text of any length spreads over blocks.
 
@@ -20,46 +20,46 @@ from pyspark.sql import functions as F
 
 from storelens.llm.common import write_once
 
-BITS = 128
+BITS = 64
 BLOCK_BITS = 12  # 4096 terms of weight 7 or less stay below 2 ** 15, also in the lane that holds the sign
 ORDER_CHUNKS = 1024
+_NO_ID = -(1 << 63)
 _SPREAD = 1 + (1 << 15) + (1 << 30) + (1 << 45)  # a nibble times this has its bit k at place 16 k
 _LANES = 1 + (1 << 16) + (1 << 32) + (1 << 48)
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """``keys`` (unique together) with ``fp``: array of two longs. A text without words has fingerprint zero."""
+    """``keys`` (unique together) with ``fp``, a long. A text without words has fingerprint zero."""
     staged = texts.select(*keys, F.split(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+").alias("__words"))
     words = F.col("__words")
     terms = F.transform(words, lambda w, i: F.struct(F.xxhash64(w, F.get(words, i + 1)).alias("h"),
                                                      F.least(F.length(w), F.lit(7)).cast("long").alias("w")))
     rows = staged.select(*keys, F.posexplode(terms).alias("__at", "__t")).select(
         *keys, F.shiftright("__at", BLOCK_BITS).alias("__block"), F.col("__t.h").alias("__h"), F.col("__t.w").alias("__w"))
-    rows = rows.withColumn("__g", F.xxhash64("__h", F.lit(1)))
     lanes = []
-    for half, col in enumerate(("__h", "__g")):
-        for j in range(16):
-            nibble = F.shiftrightunsigned(col, 4 * j).bitwiseAND(F.lit(15))
-            lane = (nibble * F.lit(_SPREAD)).bitwiseAND(F.lit(_LANES)) * F.col("__w")
-            lanes.append(F.sum(lane).alias(f"__l{half * 16 + j}"))
+    for j in range(16):
+        nibble = F.shiftrightunsigned("__h", 4 * j).bitwiseAND(F.lit(15))
+        lanes.append(F.sum((nibble * F.lit(_SPREAD)).bitwiseAND(F.lit(_LANES)) * F.col("__w")).alias(f"__l{j}"))
     blocks = rows.groupBy(*keys, "__block").agg(F.sum("__w").alias("__total"), *lanes)
-    sums = []
-    for b in range(BITS):
-        lane, place = divmod(b, 4)
-        sums.append(F.sum(F.shiftrightunsigned(F.col(f"__l{lane}"), 16 * place).bitwiseAND(F.lit(0xFFFF))).alias(f"__v{b}"))
-    votes = blocks.groupBy(*keys).agg(F.sum("__total").alias("__total"), *sums)
-    halves = []
-    for half in range(2):
-        fp = F.lit(0).cast("long")
-        for b in range(64):
-            bit = (1 << b) - (1 << 64 if b == 63 else 0)
-            fp = fp.bitwiseOR(F.when(F.col(f"__v{half * 64 + b}") * 2 > F.col("__total"), F.lit(bit)).otherwise(F.lit(0)).cast("long"))
-        halves.append(fp)
-    return votes.select(*keys, F.array(*halves).alias("fp"))
+    # blocks of one text: lanes of 32 bits, two to a long, in the order of the bits' even and odd places
+    wide = [F.sum(F.shiftrightunsigned(f"__l{j}", 16 * odd).bitwiseAND(F.lit(0xFFFF0000FFFF))).alias(f"__s{2 * j + odd}")
+            for j in range(16) for odd in range(2)]
+    votes = blocks.groupBy(*keys).agg(F.sum("__total").alias("__total"), *wide)
+    votes = votes.select(*keys, "__total", F.array(*[f"__s{i}" for i in range(32)]).alias("__s"))
+
+    def bit(fp, b):
+        # bit b lies in nibble b / 4 at place p = b % 4: sum 2 * nibble + p % 2, upper half for p of 2 and 3
+        place = b % 4
+        lane = F.get(F.col("__s"), (2 * F.floor(b / 4) + place % 2).cast("int"))
+        count = F.when(place >= 2, F.shiftrightunsigned(lane, 32)).otherwise(lane).bitwiseAND(F.lit(0xFFFFFFFF))
+        return fp.bitwiseOR(F.when(count * 2 > F.col("__total"), F.get(powers, b)).otherwise(F.lit(0).cast("long")))
+
+    powers = F.array(*[F.lit((1 << b) - (1 << 64 if b == 63 else 0)).cast("long") for b in range(64)])
+    return votes.select(*keys, F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), bit).alias("fp"))
 
 
 def distance(a: Column, b: Column) -> Column:
-    return F.bit_count(a[0].bitwiseXOR(b[0])) + F.bit_count(a[1].bitwiseXOR(b[1]))
+    return F.bit_count(a.bitwiseXOR(b))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -67,7 +67,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def as_hex(fp: Column) -> Column:
-    return F.lower(F.concat(F.lpad(F.hex(fp[1]), 16, "0"), F.lpad(F.hex(fp[0]), 16, "0")))
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
 def in_order(keys: DataFrame, by: list[str], chunks: int = ORDER_CHUNKS) -> DataFrame:
@@ -105,7 +105,7 @@ def with_next(keys: DataFrame, by: list[str], carry: list[str]) -> DataFrame:
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, n_chars, edited_sha256, fp, edited_fp, next_fp`` (fingerprints as two longs).
+    """One row per input row: ``doc_id, n_chars, edited_sha256, fp, edited_fp, next_fp`` (fingerprints as longs).
 
     The edited text: the last floor(n_chars / 4) code points replaced by the first as many (or all) of the next
     document by ascending id (after the last: the first; a single document follows itself). A null text is empty. A
@@ -116,29 +116,29 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     the one before it, by an equi-join on (id, hash), so texts move once and no key is hot.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("h", F.xxhash64("text"))
+    rows = rows.withColumn("k", F.coalesce("doc_id", F.lit(_NO_ID))).withColumn("h", F.xxhash64("text"))
     narrow = rows.groupBy("k", "h").agg(F.min(F.length("text")).alias("n"))
     nexts = write_once(with_next(narrow, ["k", "h"], []), "next")
-    whole = rows.groupBy("k", "h").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("rows"))
+    whole = rows.groupBy("k", "h").agg(F.first("text").alias("text"), F.count("*").alias("rows"))
     asked = nexts.select(F.col("next_k").alias("k"), F.col("next_h").alias("h"), F.col("k").alias("to_k"), F.col("h").alias("to_h"),
                          F.floor(F.col("n") / 4).cast("int").alias("need"))
+    # both sides read all columns of ``whole``, so its one exchange serves them both
     heads = whole.join(asked, ["k", "h"]).select(F.col("to_k").alias("k"), F.col("to_h").alias("h"), "need",
-                                                 F.expr("left(text, need)").alias("head"))
+                                                 F.expr("CASE WHEN rows > 0 THEN left(text, need) END").alias("head"))
     both = whole.join(heads, ["k", "h"]).withColumn(
         "edited", F.concat(F.expr("left(text, length(text) - need)"), F.col("head")))
-    keys = ["k", "h", "rows", "n_chars", "edited_sha256", "no_id", "edited"]
+    keys = ["k", "h", "rows", "n_chars", "edited_sha256", "edited"]
     texts = both.select("k", "h", "rows", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                        F.col("doc_id").isNull().alias("no_id"),
                         F.explode(F.array(F.struct(F.lit(False).alias("edited"), F.col("text").alias("t")),
                                           F.struct(F.lit(True).alias("edited"), F.col("edited").alias("t")))).alias("x"))
-    texts = texts.select("k", "h", "rows", "n_chars", "edited_sha256", "no_id", "x.edited", "x.t")
+    texts = texts.select("k", "h", "rows", "n_chars", "edited_sha256", "x.edited", "x.t")
     fps = fingerprints(texts, keys, "t")
     fps = write_once(fps.groupBy(*keys[:-1]).agg(F.max(F.when(~F.col("edited"), F.col("fp"))).alias("fp"),
                                                  F.max(F.when(F.col("edited"), F.col("fp"))).alias("edited_fp")), "fingerprints")
     following = fps.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("fp").alias("next_fp"))
     out = fps.join(nexts.select("k", "h", "next_k", "next_h"), ["k", "h"]).join(following, ["next_k", "next_h"])
     out = out.withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-    return out.select(F.when(~F.col("no_id"), F.col("k")).alias("doc_id"), "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")
+    return out.select(F.when(F.col("k") != _NO_ID, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")
 
 
 def digest(rows: DataFrame) -> DataFrame:
@@ -149,19 +149,18 @@ def digest(rows: DataFrame) -> DataFrame:
                        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
 
 
-def near_search(queries: DataFrame, index: DataFrame, radius: int = 6, blocks: int = 8, fp: str = "fp") -> DataFrame:
+def near_search(queries: DataFrame, index: DataFrame, radius: int = 3, blocks: int = 6, fp: str = "fp") -> DataFrame:
     """All pairs of a distinct query fingerprint and a distinct index fingerprint at most ``radius`` bits apart:
     ``query_fp, fp, distance`` (equal ones included, distance 0).
 
-    ``blocks`` (a divisor of 128 above the radius) cuts the bits; one table per choice of ``blocks - radius`` blocks. Null
+    ``blocks`` (above the radius) cuts the bits; one table per choice of ``blocks - radius`` blocks. Null
     fingerprints match nothing. The join key is (table, agreeing bits); AQE splits a hot key, and nothing is capped.
     """
-    width = BITS // blocks
+    width = -(-BITS // blocks)
     choices = list(itertools.combinations(range(blocks), blocks - radius))
 
     def part(col: Column, b: int) -> Column:
-        half, at = divmod(b * width, 64)
-        return F.shiftrightunsigned(col[half], at).bitwiseAND(F.lit((1 << width) - 1))
+        return F.shiftrightunsigned(col, b * width).bitwiseAND(F.lit((1 << width) - 1))
 
     def table(df: DataFrame, name: str) -> DataFrame:
         one = df.where(F.col(fp).isNotNull()).select(F.col(fp).alias(name)).distinct()

@@ -27,7 +27,7 @@ def check(rows, got):
         want = hashlib.sha256((t[:len(t) - n] + follow[1][:n]).encode()).hexdigest()
         for r in by[None if k == -(1 << 63) else k]:
             assert (r.n_chars, r.edited_sha256) == (len(t), want)
-            assert len(r.fingerprint) == 32 and 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+            assert len(r.fingerprint) == 16 and 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
     same = {}
     texts = {(i, len(t or "")): t or "" for i, t in rows}
     for r in got:
@@ -57,30 +57,32 @@ def test_votes_match_plain_python(spark):
     text = "the quick brown fox jumps over the lazy dog and the quick cat"
     words = text.split()
     pairs = [(w, words[i + 1] if i + 1 < len(words) else None) for i, w in enumerate(words)] * 1500  # many blocks
-    rows = spark.createDataFrame(pairs[:len(words)], "a string, b string").select(
-        "a", F.xxhash64("a", "b").alias("h")).withColumn("g", F.xxhash64("h", F.lit(1))).collect()
-    want = []
-    for half in ("h", "g"):
-        value = 0
-        for b in range(64):
-            for_one = sum(min(len(r.a), 7) for r in rows if (r[half] >> b) & 1)
-            value |= (2 * for_one > sum(min(len(r.a), 7) for r in rows)) << b
-        want.append(value - (1 << 64) if value >> 63 else value)
-    got = simhash.fingerprints(spark.createDataFrame([(1, text)], "k int, t string"), ["k"], "t").first().fp
-    assert got == want
-
-
-@pytest.mark.parametrize("radius,blocks", [(3, 4), (6, 8)])
+    rows = spark.createDataFrame(pairs[:len(words)], "a string, b string").select("a", F.xxhash64("a", "b").alias("h")).collect()
+    total, value = sum(min(len(r.a), 7) for r in rows), 0
+    for b in range(64):
+        value |= (2 * sum(min(len(r.a), 7) for r in rows if (r.h >> b) & 1) > total) << b
+    signed = value - (1 << 64) if value >> 63 else value
+    assert simhash.fingerprints(spark.createDataFrame([(1, text)], "k int, t string"), ["k"], "t").first().fp == signed
+
+
+def test_long_texts_use_many_blocks(spark):
+    """The same terms, repeated far beyond a block, vote the same way."""
+    text = "extraordinary circumstances deserve remarkably different explanations everywhere "
+    docs = spark.createDataFrame([(1, text * 3), (2, text * 9000)], "k int, t string")
+    a, b = (r.fp for r in simhash.fingerprints(docs, ["k"], "t").orderBy("k").collect())
+    assert (a ^ b).bit_count() <= 8
+
+
+@pytest.mark.parametrize("radius,blocks", [(3, 4), (3, 6), (5, 8)])
 def test_near_search_equals_brute_force(spark, radius, blocks):
     import random
 
     rng = random.Random(4)
     signed = lambda v: v - (1 << 64) if v >> 63 else v
-    base = [rng.getrandbits(128) for _ in range(40)]
-    fps = base + [b ^ sum(1 << rng.randrange(128) for _ in range(rng.randrange(9))) for b in base for _ in range(5)] + base[:5]
-    fps = [f & ((1 << 128) - 1) for f in fps]
-    df = spark.createDataFrame([([signed(f & ((1 << 64) - 1)), signed(f >> 64)],) for f in fps] + [(None,)], "fp array<long>")
-    got = {(tuple(r.query_fp), tuple(r.fp)) for r in simhash.near_search(df, df, radius, blocks).collect()}
-    as_pair = lambda f: (signed(f & ((1 << 64) - 1)), signed(f >> 64))
-    assert got == {(as_pair(a), as_pair(b)) for a in set(fps) for b in set(fps) if (a ^ b).bit_count() <= radius}
-    assert simhash.near_search(df, df, radius, blocks).count() == len(got)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    fps = base + [b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(9))) for b in base for _ in range(5)] + base[:5]
+    fps = [f & ((1 << 64) - 1) for f in fps]
+    df = spark.createDataFrame([(signed(f),) for f in fps] + [(None,)], "fp long")
+    got = [(r.query_fp, r.fp) for r in simhash.near_search(df, df, radius, blocks).collect()]
+    assert set(got) == {(signed(a), signed(b)) for a in set(fps) for b in set(fps) if (a ^ b).bit_count() <= radius}
+    assert len(set(got)) == len(got)
