@@ -33,30 +33,83 @@ _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 _PACKED = _PIECES + ", sequence_id long, offset long"
 
 
+#: After a (Latin) letter, symbols up to a blank: the vocabulary's splitter cuts there too, so a blank changes no id.
+_SYMBOL = r"[!-&(-/:-@\[-`{-~]"
+_TAIL = re.compile(rf"{_SYMBOL}(?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]{_SYMBOL}){_SYMBOL}*(?=[ \n]|\Z)")
+
+
+def _words(text: str) -> list[str]:
+    """Words whose ids in a row are the text's; as they stand if a special token's text could be among them."""
+    if "<|" not in text:
+        text = _TAIL.sub(r" \g<0>", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+    return text.replace("\n", " ").split(" ")
+
+
 class Encoder:
     """Ids of whole texts. The vocabulary drops white space and never joins across it, so a text's ids are its
-    blank-separated words' ids in a row; words are remembered, up to a bound."""
+    blank-separated words' ids in a row; it lower-cases, so A-Z may be lowered first. Words are remembered (up to a bound) as slices of one flat array, and
+    a batch's ids are gathered from it at once."""
 
     def __init__(self, path: str):
         import numpy as np
         from tokenizers import Tokenizer
 
-        self.np, self.tokenizer, self.known = np, Tokenizer.from_file(path), {"": np.empty(0, "<u4")}
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(False)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters or symbols
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        import numpy as np
+
+        self.known = {"": 0}
+        self.start, self.size, self.flat = np.zeros(1, "i8"), np.zeros(1, "i8"), np.empty(0, "<u4")
+
+    def learn(self, words: list[str]) -> None:
+        """New words. Words of plain letters are one run each, so many go in one call and closing ids part them; the
+        others go one by one."""
+        import numpy as np
+
+        plain = [w for w in words if w.isalpha() and max(w) < "\u0250" and "\u0130" not in w]
+        odd = list(set(words).difference(plain))
+        parts = [plain[i:i + 1000] for i in range(0, len(plain), 1000)]
+        sizes, ids = [], []
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+            ids.append(np.array(e.ids, "<u4"))
+            sizes.append(np.diff(np.flatnonzero(self.closes[ids[-1]]), prepend=-1))
+            if len(sizes[-1]) != len(part):
+                raise ValueError("the vocabulary does not close every run of letters")
+        for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False):
+            ids.append(np.array(e.ids, "<u4"))
+            sizes.append(np.array([len(ids[-1])], "i8"))
+        size = np.concatenate(sizes)
+        self.known.update(zip([*plain, *odd], range(len(self.known), len(self.known) + len(size)), strict=True))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, *ids])
 
     def __call__(self, texts: list[str | None]) -> list:
-        np, known = self.np, self.known
-        words = [re.split("[ \n]", t) if t else [] for t in texts]
-        new = list({w for ws in words for w in ws if w not in known})
-        if len(known) + len(new) > _WORDS:
-            known.clear()
-            known[""] = np.empty(0, "<u4")
-            new = list({w for ws in words for w in ws if w})
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4")
-        end = np.array([END_ID], "<u4")
-        return [np.concatenate([*(known[w] for w in ws), end]) for ws in words]
+        """The ids of each text with the end id, as arrays of little-endian 32-bit numbers."""
+        import numpy as np
+
+        words = [_words(t) if t else [] for t in texts]
+        if len(self.known) > _WORDS:
+            self.forget()
+        new = set().union(*words).difference(self.known)
+        if new:
+            self.learn(sorted(new))
+        known, out = self.known, []
+        for ws in words:
+            at = np.array(list(map(known.__getitem__, ws)), "i8")
+            size = self.size[at]
+            total = int(size.sum())
+            ids = np.empty(total + 1, "<u4")
+            if total:
+                ids[:-1] = self.flat[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(total)]
+            ids[-1] = END_ID
+            out.append(ids)
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -90,9 +143,9 @@ def tokenised(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = Non
         encode = _encoder(path)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), 256):
+            for at in range(0, len(ids), 1024):
                 rows = []
-                for doc, seq in zip(ids[at:at + 256], encode(texts[at:at + 256].to_pylist()), strict=True):
+                for doc, seq in zip(ids[at:at + 1024], encode(texts[at:at + 1024].to_pylist()), strict=True):
                     for s in range(0, len(seq), length):
                         piece = seq[s:s + length]
                         rows.append((doc, s, len(piece), zlib.crc32(piece.tobytes()), len(seq), piece))
