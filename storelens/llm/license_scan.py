@@ -196,7 +196,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rules = RULES if rules is None else rules
     keys = sorted({r[1] for r in rules})
-    gate = "(?:" + "|".join(re.escape(k).replace("\\ ", " ") for k in keys) + ")"
+    gate = " (?:" + "|".join(k.strip() for k in keys) + ")"  # tried at blanks only
     # runs of separators become one blank; letters keep their case until a keyword is seen
     step = docs.select(F.col(id_col).alias("doc_id"), F.trim(F.regexp_replace(
         F.coalesce(F.col(text_col), F.lit("")), SEPARATORS, " ")).alias("spaced"))

@@ -56,4 +56,26 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_ordinal_quality, op3_page_text, op4_temperature_mix, op5_ring_shards, op6_window_packing, op7_prefix_tree_join, op8_simhash,
     op9_vector_graph, op10_pii_spans)}
-ORACLE_SQL: dict[str, str] = {}
+#: Operator 7 in plain SQL: all pairs that share a shingle, and reachability. The other operators rest on fitted models, hashes,
+#: tokenizers or a graph index, which SQL cannot express; tests/llm holds them against brute force.
+ORACLE_SQL: dict[str, str] = {"op7_prefix_tree_join": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ \\t\\n\\x0B\\f\\r]+') AS ws FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.y FROM reach r JOIN link l ON r.b = l.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) m ON m.a = d.doc_id
+"""}
