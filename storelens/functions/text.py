@@ -1,7 +1,7 @@
 """Text expressions: keyword tokens (U1) and comma tokens (A5).
 
 The shop's keyword function runs a dictionary segmenter per row. Here it is re-aimed as a plain JVM
-expression: lower-case runs of letters and digits, which is what the segmenter yields on Latin text.
+expression: lower-case runs of letters and digits, of any alphabet, which is what the segmenter yields on text with blanks between words.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The token pattern (letters and digits) and the separator of the running token count.
-KEYWORD_PATTERN = "[a-z0-9]+"
+KEYWORD_PATTERN = r"[\p{L}\p{N}]+"
 COMMA = ","
 
 

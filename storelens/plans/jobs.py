@@ -150,11 +150,11 @@ def q_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_log_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Start and page records, labelled by stream."""
-    start, page, _ = clean.split_log(ad.behaviour_log(Tables(spark, sf_dir)))
-    lab = lambda df, name: df.select(F.lit(name).alias("stream"), "offset", F.col("common.mid").alias("mid"),
-                                     F.col("page.page_id").alias("page_id"), "ts")
-    return lab(start, "start").unionByName(lab(page, "page"))
+    """Start and page records, labelled by stream in one pass."""
+    log = ad.behaviour_log(Tables(spark, sf_dir))
+    stream = F.when(clean.is_start(log), F.lit("start")).otherwise(F.lit("page"))
+    return log.select(stream.alias("stream"), "offset", F.col("common.mid").alias("mid"),
+                      F.col("page.page_id").alias("page_id"), "ts")
 
 
 def q_display_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +170,7 @@ def q_route_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = route.route(ad.change_log(t), ad.rules(spark))
     branch = F.when(F.col("sink_type") == route.SINK_DIMENSION, F.lit("dim")) \
         .when(F.col("sink_type") == route.SINK_FACT, F.lit("fact"))
-    return routed.select(branch.alias("branch"), "sink_table", "table", "type", F.col("data")["id"].alias("id"),
+    return routed.select(branch.alias("branch"), "sink_table", "table", "type", upsert.key_of(routed).alias("id"),
                          F.array_join(F.array_sort(F.map_keys("data")), ",").alias("columns"), "offset") \
         .where(F.col("branch").isNotNull())
 
@@ -207,8 +207,8 @@ def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_document_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U1 over the English documents: keyword counts of the whole texts."""
-    return agg.corpus_keywords(ad.english_documents(Tables(spark, sf_dir)))
+    """U1 over all documents: keyword counts of the whole texts."""
+    return agg.corpus_keywords(ad.documents(Tables(spark, sf_dir)))
 
 
 QUERIES = {

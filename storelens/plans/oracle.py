@@ -9,6 +9,7 @@ formatted from epoch microseconds, so nothing depends on a time zone.
 from __future__ import annotations
 
 AS_OF_MS = 1735689600000        # 2025-01-01 00:00:00 UTC, the jobs' fixed stamp
+TOKEN = r"[\p{L}\p{N}]+"       # letters and digits of any alphabet
 AS_OF_DATE = "DATE '2025-01-01'"
 
 
@@ -111,7 +112,7 @@ PRODUCT = f"""prod AS (
   SELECT p_partkey AS id, p_name AS sku_name, CAST(p_retailprice AS DECIMAL(18,2)) AS price,
          {_md5id('p_type')} AS spu_id, p_type AS spu_name, {_md5id('p_brand')} AS tm_id, p_brand AS tm_name,
          CAST(p_size AS BIGINT) AS category3_id, 'category ' || CAST(p_size AS VARCHAR) AS category3_name
-  FROM part WHERE p_partkey % 10 <> 0)"""
+  FROM part)"""
 
 USER = """usr AS (
   SELECT c_custkey AS id,
@@ -242,7 +243,7 @@ SELECT {wstt} AS stt, {wedt} AS edt, vc, ch, ar, is_new,
 FROM ve GROUP BY 1, 2, 3, 4, 5, 6""")
 
     keyword = _with(PAGES + """,
-kw AS (SELECT unnest(regexp_extract_all(lower(item), '[a-z0-9]+')) AS keyword, ts
+kw AS (SELECT unnest(regexp_extract_all(lower(item), '{TOKEN}')) AS keyword, ts
        FROM pages WHERE page_id = 'good_list' AND item IS NOT NULL)""", f"""
 SELECT keyword, count(*) AS ct, 'SEARCH' AS source, {wstt} AS stt, {wedt} AS edt, {AS_OF_MS} AS ts
 FROM kw GROUP BY keyword, 4, 5""")
@@ -257,7 +258,7 @@ FROM kw GROUP BY keyword, 4, 5""")
         "visitor_stats": visitor,
         "keyword_stats": keyword,
         "keyword_actions": _with(LOG + ",\n" + _product_events() + """,
-kwa AS (SELECT unnest(regexp_extract_all(lower(spu_name), '[a-z0-9]+')) AS keyword, click_ct, cart_ct, order_ct, stt, edt
+kwa AS (SELECT unnest(regexp_extract_all(lower(spu_name), '{TOKEN}')) AS keyword, click_ct, cart_ct, order_ct, stt, edt
         FROM ps)""", f"""
 SELECT keyword, click_ct AS ct, 'CLICK' AS source, stt, edt, {AS_OF_MS} AS ts FROM kwa WHERE click_ct > 0
 UNION ALL SELECT keyword, cart_ct, 'CART', stt, edt, {AS_OF_MS} FROM kwa WHERE cart_ct > 0
@@ -286,7 +287,10 @@ SELECT 'dim', 'dim_user_info', 'customer', 'bootstrap-insert', CAST(c_custkey AS
        c_custkey * 4 + 2 FROM customer WHERE c_custkey % 11 = 0
 UNION ALL
 SELECT 'fact', 'dwd_user_delete', 'customer', 'delete', CAST(c_custkey AS VARCHAR), 'id', c_custkey * 4 + 3
-FROM customer WHERE c_custkey % 13 = 0""",
+FROM customer WHERE c_custkey % 13 = 0
+UNION ALL
+SELECT 'dim', 'dim_sku_info', 'part', 'insert', CAST(p_partkey AS VARCHAR), 'brand,sku_id,sku_name', p_partkey * 4
+FROM part""",
         "dim_upsert": """
 WITH cells AS (
   SELECT CAST(c_custkey AS VARCHAR) AS pk, c_custkey * 4 AS o, CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
@@ -303,6 +307,9 @@ long AS (
   UNION ALL SELECT pk, o, 'NATION_ID', nation_id FROM cells WHERE o % 4 <> 1
   UNION ALL SELECT pk, o, 'SEGMENT', segment FROM cells)
 SELECT 'DIM_USER_INFO' AS sink_table, pk, "column", arg_max(value, o) AS value FROM long GROUP BY pk, "column"
+UNION ALL SELECT 'DIM_SKU_INFO', CAST(p_partkey AS VARCHAR), 'SKU_ID', CAST(p_partkey AS VARCHAR) FROM part
+UNION ALL SELECT 'DIM_SKU_INFO', CAST(p_partkey AS VARCHAR), 'SKU_NAME', p_name FROM part
+UNION ALL SELECT 'DIM_SKU_INFO', CAST(p_partkey AS VARCHAR), 'BRAND', p_brand FROM part
 """,
         "composite_lookup": _with(ORDER_INFO + ",\n" + USER, """
 SELECT oi.id, oi.user_id, oi.province_id, usr.birthday, usr.gender
@@ -316,11 +323,11 @@ WHERE length(token) > 0 GROUP BY token""",
         **{f"{k}_sql": None for k in ("province_stats", "keyword_stats", "keyword_actions")},
         "document_keywords": """
 SELECT keyword, count(*) AS ct
-FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS keyword FROM documents WHERE lang = 'en')
+FROM (SELECT unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS keyword FROM documents)
 GROUP BY keyword""",
     }
 
 
 def _with_sql_forms(sql: dict[str, str | None]) -> dict[str, str]:
     """The SQL-text jobs give the same rows as their DataFrame forms: same check SQL."""
-    return {k: (v if v is not None else sql[k.removesuffix("_sql")]) for k, v in sql.items()}
+    return {k: (v if v is not None else sql[k.removesuffix("_sql")]).replace("{TOKEN}", TOKEN) for k, v in sql.items()}

@@ -62,7 +62,7 @@ def keyword_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
           WHERE page.page_id = 'good_list' AND page.item IS NOT NULL)
         SELECT keyword, count(*) AS ct, 'SEARCH' AS source,
                {_fmt('window.start')} AS stt, {_fmt('window.end')} AS edt, {_as_of_ms(jobs.AS_OF)} AS ts
-        FROM fullword LATERAL VIEW explode(regexp_extract_all(lower(fullword), '{KEYWORD_PATTERN}', 0)) kw AS keyword
+        FROM fullword LATERAL VIEW explode(regexp_extract_all(lower(fullword), r'{KEYWORD_PATTERN}', 0)) kw AS keyword
         GROUP BY window(timestamp_millis(ts), '{jobs.WINDOW}'), keyword""")
 
 
@@ -72,7 +72,7 @@ def keyword_actions_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"""
         SELECT keyword, a.ct AS ct, a.source AS source, stt, edt, {_as_of_ms(jobs.AS_OF)} AS ts
         FROM {v}
-        LATERAL VIEW explode(regexp_extract_all(lower(spu_name), '{KEYWORD_PATTERN}', 0)) kw AS keyword
+        LATERAL VIEW explode(regexp_extract_all(lower(spu_name), r'{KEYWORD_PATTERN}', 0)) kw AS keyword
         LATERAL VIEW explode(filter(array(named_struct('ct', click_ct, 'source', 'CLICK'),
                                           named_struct('ct', cart_ct, 'source', 'CART'),
                                           named_struct('ct', order_ct, 'source', 'ORDER')), x -> x.ct > 0)) u AS a""")

@@ -16,7 +16,6 @@ from storelens.functions.time import epoch_ms, format_ts
 from storelens.sources.tables import Tables
 
 # Fixed values of the stand-in rules.
-K_DOMAIN = 100                      # events.props $.k takes the values 0..99
 BIRTHDAY_BASE = "1950-01-01"        # user birthday = base + c_custkey % 18000 days
 BIRTHDAY_SPAN = 18000
 DETAIL_STEP_US = 2500               # order line time = order time + (l_linenumber - 4) * 2500 us
@@ -54,10 +53,12 @@ def behaviour_log(t: Tables) -> DataFrame:
     """
     ev = t.events
     k = F.col("k")
-    # p_partkey is the key of part, so this side holds at most K_DOMAIN rows: a proven broadcast bound.
-    names = F.broadcast(t.part.where(F.col("p_partkey") < K_DOMAIN).select("p_partkey", "p_name"))
+    # The whole of part: AQE measures it and broadcasts it only while it is small. Only views carry the
+    # key, so the other events never meet in one hot null key (they get a spread key that matches nothing).
+    names = t.part.select(F.col("p_partkey").cast("long").alias("p_partkey"), "p_name")
     ev = ev.select("event_id", "ts", "user_id", "event_type", "value", k_of().alias("k"))
-    ev = ev.join(names, (F.col("event_type") == "view") & (k == F.col("p_partkey")), "left")
+    viewed = F.when(F.col("event_type") == "view", k.cast("long")).otherwise(-1 - F.col("event_id"))
+    ev = ev.withColumn("_viewed", viewed).join(names, F.col("_viewed") == F.col("p_partkey"), "left")
 
     page_id = F.lit(None).cast("string")
     for et, pid in reversed(PAGE_OF_EVENT):
@@ -179,9 +180,7 @@ def dim_province(t: Tables) -> DataFrame:
 
 
 def dim_sku(t: Tables) -> DataFrame:
-    """Part as SKU; every tenth part is absent so that lookups miss."""
-    p = t.part.where(F.col("p_partkey") % 10 != 0)
-    return p.select(
+    return t.part.select(
         F.col("p_partkey").alias("id"),
         F.col("p_name").alias("sku_name"),
         _money(F.col("p_retailprice")).alias("price"),
@@ -239,12 +238,13 @@ def refund_info(t: Tables) -> DataFrame:
 
 # The stand-in routing rules (source_table, operate_type, sink_type, sink_table,
 # sink_columns, sink_pk, sink_extend). They cover both sinks, a sink type in upper case, an unknown
-# sink type and a rule whose type never reaches the lookup.
+# sink type, a key column other than id and a rule whose type never reaches the lookup.
 RULES = (
     ("customer", "insert", "hbase", "dim_user_info", "id,name,nation_id,segment", "id", None),
     ("customer", "update", "HBASE", "dim_user_info", "", "id", None),
     ("customer", "delete", "kafka", "dwd_user_delete", "id", "id", None),
     ("customer", "bootstrap-insert", "kafka", "dwd_user_boot", "", "id", None),
+    ("part", "insert", "hbase", "dim_sku_info", "sku_name,brand", "sku_id", None),
     ("nation", "insert", "clickhouse", "nation_stats", "", "id", None),
 )
 
@@ -257,9 +257,10 @@ def rules(spark: SparkSession) -> DataFrame:
 
 def change_log(t: Tables) -> DataFrame:
     """Change records of ``customer``: insert (all), update (every 7th: id and segment), bootstrap-insert
-    (every 11th, name upper-cased), delete (every 13th: id only). One scan, one ``explode``.
+    (every 11th, name upper-cased), delete (every 13th: id only) and, every 17th, an empty and invalid record;
+    and of ``part``: insert (all), keyed by ``sku_id``. One scan and one ``explode`` per table.
 
-    Columns: ``table, type, data, ts, offset``; ``offset`` = c_custkey * 4 + position of the type.
+    Columns: ``table, type, data, ts, offset``; ``offset`` = key * 4 + position of the type.
     """
     c = t.customer
     key = F.col("c_custkey")
@@ -280,10 +281,16 @@ def change_log(t: Tables) -> DataFrame:
                                                            F.lower(F.col("c_mktsegment"))))),
         F.when(key % 11 == 0, rec("bootstrap-insert", 2, full(F.upper(F.col("c_name"))))),
         F.when(key % 13 == 0, rec("delete", 3, F.create_map(F.lit("id"), sid))),
+        F.when(key % 17 == 0, rec("insert", 3, F.create_map().cast("map<string,string>"))),
     )
+    part = t.part.select(
+        F.lit("part").alias("table"), F.lit("insert").alias("type"),
+        F.create_map(F.lit("sku_id"), F.col("p_partkey").cast("string"), F.lit("sku_name"), F.col("p_name"),
+                     F.lit("brand"), F.col("p_brand"), F.lit("type"), F.col("p_type")).alias("data"),
+        (F.col("p_partkey").cast("long") * 4000).alias("ts"), (F.col("p_partkey").cast("long") * 4).alias("offset"))
     return c.select(F.explode(F.filter(candidates, lambda x: x.isNotNull())).alias("r")).select(
         F.lit("customer").alias("table"), F.col("r.type").alias("type"), F.col("r.data").alias("data"),
-        (F.col("r.offset") * 1000).alias("ts"), F.col("r.offset").alias("offset"))
+        (F.col("r.offset") * 1000).cast("long").alias("ts"), F.col("r.offset").cast("long").alias("offset")).unionByName(part)
 
 
 def change_log_json(t: Tables) -> DataFrame:
@@ -293,5 +300,5 @@ def change_log_json(t: Tables) -> DataFrame:
 
 # ------------------------------------------------------------------------------------ keyword text
 
-def english_documents(t: Tables) -> DataFrame:
-    return t.documents.where(F.col("lang") == "en").select("doc_id", "text")
+def documents(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", "text")
