@@ -10,7 +10,7 @@ wall clock of ``zone``. The same functions run on streams: pass the watermarked
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,6 +85,15 @@ def _from_cents(c: str | Column) -> Column:
     return ((F.col(c) if isinstance(c, str) else c).cast("decimal(28,0)") / 100).cast(schemas.MONEY_SUM)
 
 
+def _union(parts: list[DataFrame], watermark: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    if watermark:
+        parts = [watermark(p) for p in parts]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _zero(name: str, dtype=None) -> Column:
     return F.lit(0).cast(dtype or "long").alias(name)
 
@@ -111,8 +120,10 @@ def _product_row(sku: Column, ts: Column, kind: str | None = None, oid: Column |
 def product_events(pages: DataFrame | None = None, order_wide: DataFrame | None = None,
                    payment_wide: DataFrame | None = None, favor: DataFrame | None = None,
                    cart: DataFrame | None = None, refund: DataFrame | None = None,
-                   comment: DataFrame | None = None, zone: str = "UTC") -> DataFrame:
-    """P13 + W3: the seven inputs as one measure schema (zeros elsewhere), unioned by name."""
+                   comment: DataFrame | None = None, zone: str = "UTC",
+                   watermark: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """P13 + W3: the seven inputs as one measure schema (zeros elsewhere), unioned by name. On streams
+    ``watermark`` is set on each input before the union, so the slowest input closes the windows."""
     one = F.lit(1)
     parts: list[DataFrame] = []
     if pages is not None:
@@ -146,39 +157,26 @@ def product_events(pages: DataFrame | None = None, order_wide: DataFrame | None
                                                   comment_ct=one, good_comment_ct=good)))
     if not parts:
         raise ValueError("no input")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _union(parts, watermark)
 
 
 def product_stats(events: DataFrame, window: str = "10 seconds", as_of: str | None = None,
-                  products: DataFrame | None = None, zone: str = "UTC", time_col: str | None = None,
-                  distinct: str = "two_level") -> DataFrame:
+                  products: DataFrame | None = None, zone: str = "UTC", time_col: str | None = None) -> DataFrame:
     """A1 (+ J5): per SKU and window, 10 sums and 3 distinct order counts, then product attributes.
 
-    ``distinct='two_level'`` (batch): first per (window, sku, kind, order id) - which also pre-sums
+    First per (window, sku, kind, order id) - which also pre-sums
     every measure - then per (window, sku), where counting a kind's order ids is the distinct count.
     That avoids the row expansion Spark plans for several distinct aggregates, and both levels
-    combine map-side. ``distinct='sets'`` (streams, where distinct aggregates are refused): one
-    aggregate with ``size(collect_set)`` per kind, held in the window's state.
+    combine map-side. Streams (``time_col``) run the same two levels as two stateful aggregates in append mode:
+    the state holds one fixed-width row per (window, sku, kind, order id), never a set of ids.
     Attributes are looked up after the aggregate (fewer rows to join).
     """
     w, stt, edt = _tumbling(window, zone, time_col)
-    if distinct == "two_level":
-        sums = [F.sum(m).alias(m) for m in _LONG_MEASURES] + \
-               [F.sum(_cents(m).cast("long")).alias(m) for m in _MONEY_MEASURES]
-        level1 = events.groupBy(w, "sku_id", "id_kind", "id_value").agg(*sums)
-        counts = [F.count(F.when(F.col("id_kind") == k, F.col("id_value"))).alias(n) for n, k in _ID_KINDS.items()]
-        grouped = level1.groupBy("_w", "sku_id")
-    elif distinct == "sets":
-        counts = [F.size(F.collect_set(F.when(F.col("id_kind") == k, F.col("id_value")))).cast("long").alias(n)
-                  for n, k in _ID_KINDS.items()]
-        events = events.select(*[_cents(c).cast("long").alias(c) if c in _MONEY_MEASURES else F.col(c)
-                                 for c in events.columns])
-        grouped = events.groupBy(w, "sku_id")
-    else:
-        raise ValueError(distinct)
+    sums = [F.sum(m).alias(m) for m in _LONG_MEASURES] + \
+           [F.sum(_cents(m).cast("long")).alias(m) for m in _MONEY_MEASURES]
+    level1 = events.groupBy(w, "sku_id", "id_kind", "id_value").agg(*sums)
+    counts = [F.count(F.when(F.col("id_kind") == k, F.col("id_value"))).alias(n) for n, k in _ID_KINDS.items()]
+    grouped = level1.groupBy("_w", "sku_id")
     agg = grouped.agg(*[F.sum(m).cast("long").alias(m) for m in _LONG_MEASURES],
                       *[_from_cents(F.sum(m)).alias(m) for m in _MONEY_MEASURES], *counts)
     out = agg.select(stt, edt, "sku_id", *schemas.PRODUCT_MEASURES, stamp_ms(as_of).alias("ts"))
@@ -193,8 +191,10 @@ def product_stats(events: DataFrame, window: str = "10 seconds", as_of: str | No
 
 # ------------------------------------------------------------------------------ visitor statistics
 
-def visitor_events(pages: DataFrame, unique_visits: DataFrame | None = None, jumps: DataFrame | None = None) -> DataFrame:
-    """P14 + W3: page views (pv, duration), unique visits (uv), session entries (sv), jumps (uj).
+def visitor_events(pages: DataFrame, unique_visits: DataFrame | None = None, jumps: DataFrame | None = None,
+                   watermark: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """P14 + W3: page views (pv, duration), unique visits (uv), session entries (sv), jumps (uj). On streams
+    ``watermark`` is set on each input before the union, so the slowest input closes the windows.
 
     Session entries are pages without a previous page, null or empty (the intent; Q1)."""
     def row(df: DataFrame, uv=0, pv=0, sv=0, uj=0, dur: Column | None = None) -> DataFrame:
@@ -212,10 +212,7 @@ def visitor_events(pages: DataFrame, unique_visits: DataFrame | None = None, jum
         parts.append(row(unique_visits, uv=1))
     if jumps is not None:
         parts.append(row(jumps, uj=1))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _union(parts, watermark)
 
 
 def visitor_stats(events: DataFrame, window: str = "10 seconds", zone: str = "UTC",
@@ -234,16 +231,15 @@ def visitor_stats(events: DataFrame, window: str = "10 seconds", zone: str = "UT
 # ----------------------------------------------------------------------------- province statistics
 
 def province_stats(order_wide: DataFrame, window: str = "10 seconds", as_of: str | None = None,
-                   zone: str = "UTC", ts_col: str = "create_ts", time_col: str | None = None,
-                   distinct: str = "exact") -> DataFrame:
+                   zone: str = "UTC", ts_col: str = "create_ts", time_col: str | None = None) -> DataFrame:
     """A3: per province and window, distinct orders and the sum of line amounts.
 
-    ``distinct='exact'``: ``count_distinct`` (batch); ``'sets'``: ``size(collect_set)`` (streams)."""
+    In two levels, (window, province, order) then (window, province): both combine map-side, and on streams
+    (``time_col``) the state holds a fixed-width row per order, never a set of ids."""
     w, stt, edt = _tumbling(window, zone, time_col, ts_col)
-    n = F.count_distinct("order_id") if distinct == "exact" else F.size(F.collect_set("order_id")).cast("long")
-    agg = order_wide.groupBy(w, "province_id", "province_name", "province_area_code", "province_iso_code",
-                             "province_3166_2_code").agg(
-        n.alias("order_count"), _from_cents(F.sum(_cents("split_total_amount").cast("long"))).alias("order_amount"))
+    keys = ["province_id", "province_name", "province_area_code", "province_iso_code", "province_3166_2_code"]
+    orders = order_wide.groupBy(w, *keys, "order_id").agg(F.sum(_cents("split_total_amount").cast("long")).alias("_c"))
+    agg = orders.groupBy("_w", *keys).agg(F.count("order_id").alias("order_count"), _from_cents(F.sum("_c")).alias("order_amount"))
     return agg.select(stt, edt, "province_id", "province_name", F.col("province_area_code").alias("area_code"),
                       F.col("province_iso_code").alias("iso_code"), F.col("province_3166_2_code").alias("iso_3166_2"),
                       "order_amount", "order_count", stamp_ms(as_of).alias("ts"))

@@ -53,9 +53,14 @@ REFUND_SCHEMA = "sku_id long, order_id long, refund_amount decimal(18,2), create
 @dataclass
 class Layout:
     """Folder layout of one deployment: topics, statistics, dimension store and checkpoints.
-    ``max_files`` caps the topic files per micro-batch (rate limit; None = all available)."""
+
+    ``max_files`` caps the topic files per micro-batch in every reader (None = all available). ``spread_ms`` is the
+    largest event-time span of one upstream micro-batch: its files may reach a reader in several
+    micro-batches, so every reader of a topic that another job writes adds it to its watermark delay.
+    Source topics are read in file order and need none while their files follow event time."""
     root: str
     max_files: int | None = None
+    spread_ms: int = 0
 
     def topic(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/topics/{name}"
@@ -77,9 +82,11 @@ class Layout:
 
 # ---------------------------------------------------------------------------------------- helpers
 
-def watermarked(df: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
-    """T4/T5: event time from epoch ms and a bounded-out-of-order watermark (late rows drop: T8)."""
-    return df.withColumn("event_time", event_time(ts)).withWatermark("event_time", delay)
+def watermarked(df: DataFrame, delay: str, ts: str = "ts", extra_ms: int = 0) -> DataFrame:
+    """T4/T5: event time from epoch ms and a bounded-out-of-order watermark (late rows drop: T8). With several
+    inputs each has its own; Spark's policy ``min`` lets the slowest decide."""
+    ms = agg.size_ms(delay) + extra_ms
+    return df.withColumn("event_time", event_time(ts)).withWatermark("event_time", f"{ms} milliseconds")
 
 
 def read_records(spark: SparkSession, path: str, schema, stream: bool = True, max_files: int | None = None,
@@ -141,35 +148,41 @@ def _pages(spark: SparkSession, lay: Layout) -> DataFrame:
     return read_records(spark, lay.topic("dwd"), schemas.LOG, max_files=lay.max_files, kind="page")
 
 
+def _records_of(spark: SparkSession, lay: Layout, topic: str, schema=schemas.LOG) -> DataFrame:
+    return read_records(spark, lay.topic(topic), schema, max_files=lay.max_files)
+
+
 def unique_visit_job(spark: SparkSession, lay: Layout, zone: str = "UTC", trigger: dict | None = None):
     """T2 + T7 on the page topic."""
-    pages = watermarked(_pages(spark, lay), DELAY_MONOTONIC)
+    pages = watermarked(_pages(spark, lay), DELAY_MONOTONIC, extra_ms=lay.spread_ms)
     out = state.daily_unique_stream(pages, zone)
     return topic_sink(_log_records(out), lay, "unique_visit", "unique_visit", trigger)
 
 
 def user_jump_job(spark: SparkSession, lay: Layout, within: int = 10_000, trigger: dict | None = None,
                   impl: str = "group_state"):
-    """T3 on the page topic, monotonic watermark (T5); ``impl`` picks the state API."""
-    pages = watermarked(_pages(spark, lay), DELAY_MONOTONIC)
+    """T3 on the page topic, monotonic watermark (T5) but for the topic's spread; ``impl`` picks the state API."""
+    pages = watermarked(_pages(spark, lay), DELAY_MONOTONIC, extra_ms=lay.spread_ms)
     out = state.bounces_stream(pages, within, impl=impl)
     return topic_sink(_log_records(out), lay, "user_jump", "user_jump", trigger)
 
 
 def visitor_stats_job(spark: SparkSession, lay: Layout, window: str = "10 seconds", zone: str = "UTC",
-                      delay: str = DELAY_VISITOR_CHAINED, trigger: dict | None = None):
+                      delay: str = DELAY_VISITOR_CHAINED, trigger: dict | None = None, side_files: int | None = -1):
     """P14 + W3 + A2. The jump records leave ``within`` after their time, so the delay must exceed
     ``within`` (Q12); the shop's 3 s would drop most of them as late."""
-    ev = agg.visitor_events(_pages(spark, lay), read_records(spark, lay.topic("unique_visit"), schemas.LOG),
-                            read_records(spark, lay.topic("user_jump"), schemas.LOG))
-    stats = agg.visitor_stats(watermarked(ev, delay), window, zone, time_col="event_time")
+    side = lay if side_files == -1 else Layout(lay.root, side_files, lay.spread_ms)
+    # jumps and unique visits leave their job up to a spread after the pages they come from
+    ev = agg.visitor_events(_pages(spark, lay), _records_of(spark, side, "unique_visit"), _records_of(spark, side, "user_jump"),
+                            watermark=lambda d: watermarked(d, delay, extra_ms=3 * lay.spread_ms))
+    stats = agg.visitor_stats(ev, window, zone, time_col="event_time")
     return _start(stats, "visitor_stats", lay, stats_writer(lay.stats("visitor_stats"), schemas.VISITOR_STATS_COLUMNS), trigger)
 
 
 def keyword_stats_job(spark: SparkSession, lay: Layout, window: str = "10 seconds", zone: str = "UTC",
                       as_of: str | None = None, trigger: dict | None = None):
     """P11 + U1 + A4 (+ P12, T9 append: each window once)."""
-    pages = watermarked(_pages(spark, lay), DELAY_KEYWORD)
+    pages = watermarked(_pages(spark, lay), DELAY_KEYWORD, extra_ms=lay.spread_ms)
     kw = agg.keyword_stats(clean.keyword_pages(pages, keep=("event_time",)), window, agg.KEYWORD_SEARCH, as_of,
                            zone, time_col="event_time")
     return _start(kw, "keyword_stats", lay, stats_writer(lay.stats("keyword_stats"), schemas.KEYWORD_STATS_COLUMNS), trigger)
@@ -178,8 +191,8 @@ def keyword_stats_job(spark: SparkSession, lay: Layout, window: str = "10 second
 def order_wide_job(spark: SparkSession, lay: Layout, user: DataFrame, province: DataFrame, products: DataFrame,
                    as_of: str | None = None, bounds: tuple[int, int] = (-5, 5), trigger: dict | None = None):
     """J1 (stream-stream interval join, state evicted by watermark + bounds) + J4 (stream-static)."""
-    o = watermarked(read_records(spark, lay.topic("order_info"), ORDER_INFO_SCHEMA), DELAY_ORDER, "create_ts")
-    d = watermarked(read_records(spark, lay.topic("order_detail"), ORDER_DETAIL_SCHEMA), DELAY_ORDER, "create_ts")
+    o = watermarked(_records_of(spark, lay, "order_info", ORDER_INFO_SCHEMA), DELAY_ORDER, "create_ts")
+    d = watermarked(_records_of(spark, lay, "order_detail", ORDER_DETAIL_SCHEMA), DELAY_ORDER, "create_ts")
     wide = joins.order_wide(o, d, *bounds, time_cols=("event_time", "event_time"))
     wide = joins.enrich_order_wide(wide, user, province, products, as_of)
     return topic_sink(as_records(wide, "detail_id"), lay, "order_wide", "order_wide", trigger)
@@ -188,17 +201,17 @@ def order_wide_job(spark: SparkSession, lay: Layout, user: DataFrame, province:
 def payment_wide_job(spark: SparkSession, lay: Layout, wide_schema, bounds: tuple[int, int] = (-1_800_000, 0),
                      trigger: dict | None = None):
     """Payments x order-wide records, both watermarked."""
-    p = watermarked(read_records(spark, lay.topic("payment_info"), PAYMENT_SCHEMA), DELAY_ORDER, "callback_ts")
-    w = watermarked(read_records(spark, lay.topic("order_wide"), wide_schema), DELAY_ORDER, "create_ts")
+    p = watermarked(_records_of(spark, lay, "payment_info", PAYMENT_SCHEMA), DELAY_ORDER, "callback_ts")
+    w = watermarked(_records_of(spark, lay, "order_wide", wide_schema), DELAY_ORDER, "create_ts", lay.spread_ms)
     pw = joins.payment_wide(p, w, *bounds, time_cols=("event_time", "event_time"))
     return topic_sink(as_records(pw, "detail_id"), lay, "payment_wide", "payment_wide", trigger)
 
 
 def province_stats_job(spark: SparkSession, lay: Layout, wide_schema, window: str = "10 seconds",
                        zone: str = "UTC", as_of: str | None = None, trigger: dict | None = None):
-    """A3 on the order-wide topic; monotonic watermark; distinct orders held as a set per window."""
-    w = watermarked(read_records(spark, lay.topic("order_wide"), wide_schema), DELAY_MONOTONIC, "create_ts")
-    stats = agg.province_stats(w, window, as_of, zone, time_col="event_time", distinct="sets")
+    """A3 on the order-wide topic; distinct orders in two levels."""
+    w = watermarked(_records_of(spark, lay, "order_wide", wide_schema), DELAY_MONOTONIC, "create_ts", lay.spread_ms)
+    stats = agg.province_stats(w, window, as_of, zone, time_col="event_time")
     return _start(stats, "province_stats", lay,
                   stats_writer(lay.stats("province_stats"), schemas.PROVINCE_STATS_COLUMNS), trigger)
 
@@ -207,21 +220,21 @@ def province_stats_sql_job(spark: SparkSession, lay: Layout, wide_schema, window
                            as_of_ms: int | None = None, trigger: dict | None = None):
     """A3 as SQL text over a streaming view (the shop's SQL entry on a dynamic table): the watermarked
     order-wide stream is a temp view and the statement groups by ``window(event_time, ...)``. Distinct
-    orders per window are ``size(collect_set(...))``: streams refuse ``COUNT(DISTINCT)``."""
-    w = watermarked(read_records(spark, lay.topic("order_wide"), wide_schema), DELAY_MONOTONIC, "create_ts")
+    orders are counted in two nested ``GROUP BY``: streams refuse ``COUNT(DISTINCT)``."""
+    w = watermarked(_records_of(spark, lay, "order_wide", wide_schema), DELAY_MONOTONIC, "create_ts", lay.spread_ms)
     view = f"order_wide_stream_{abs(hash(lay.root)) % 10**8}"
     w.createOrReplaceTempView(view)
-    fmt = ("substring(CAST(timestampadd(MILLISECOND, unix_millis(window.{}), TIMESTAMP_NTZ '1970-01-01 00:00:00') "
+    fmt = ("substring(CAST(timestampadd(MILLISECOND, unix_millis(w.{}), TIMESTAMP_NTZ '1970-01-01 00:00:00') "
            "AS STRING), 1, 19)")
     stamp = f"CAST({as_of_ms} AS BIGINT)" if as_of_ms is not None else "unix_millis(current_timestamp())"
+    place = "province_id, province_name, province_area_code, province_iso_code, province_3166_2_code"
     stats = spark.sql(f"""
         SELECT {fmt.format('start')} AS stt, {fmt.format('end')} AS edt, province_id, province_name,
                province_area_code AS area_code, province_iso_code AS iso_code, province_3166_2_code AS iso_3166_2,
-               CAST(sum(split_total_amount) AS DECIMAL(28,2)) AS order_amount,
-               CAST(size(collect_set(order_id)) AS BIGINT) AS order_count, {stamp} AS ts
-        FROM {view}
-        GROUP BY window(event_time, '{window}'), province_id, province_name, province_area_code,
-                 province_iso_code, province_3166_2_code""")
+               CAST(sum(amount) AS DECIMAL(28,2)) AS order_amount, count(order_id) AS order_count, {stamp} AS ts
+        FROM (SELECT window(event_time, '{window}') AS w, {place}, order_id, sum(split_total_amount) AS amount
+              FROM {view} GROUP BY window(event_time, '{window}'), {place}, order_id)
+        GROUP BY w, {place}""")
     return _start(stats, "province_stats_sql", lay,
                   stats_writer(lay.stats("province_stats_sql"), schemas.PROVINCE_STATS_COLUMNS), trigger)
 
@@ -229,17 +242,17 @@ def province_stats_sql_job(spark: SparkSession, lay: Layout, wide_schema, window
 def product_stats_job(spark: SparkSession, lay: Layout, wide_schema, payment_schema, products: DataFrame,
                       window: str = "10 seconds", zone: str = "UTC", as_of: str | None = None,
                       trigger: dict | None = None):
-    """P13 + W3 (seven topics) + A1 with id sets + J5 (stream-static lookup after the aggregate)."""
+    """P13 + W3 (seven topics) + A1 in two levels + J5 (stream-static lookup after the aggregate)."""
     ev = agg.product_events(
         pages=_pages(spark, lay),
-        order_wide=read_records(spark, lay.topic("order_wide"), wide_schema),
-        payment_wide=read_records(spark, lay.topic("payment_wide"), payment_schema),
-        favor=read_records(spark, lay.topic("favor"), FAVOR_SCHEMA),
-        cart=read_records(spark, lay.topic("cart"), FAVOR_SCHEMA),
-        refund=read_records(spark, lay.topic("refund"), REFUND_SCHEMA),
-        comment=read_records(spark, lay.topic("comment"), COMMENT_SCHEMA), zone=zone)
-    stats = agg.product_stats(watermarked(ev, DELAY_PRODUCT), window, as_of, products, zone,
-                              time_col="event_time", distinct="sets")
+        order_wide=_records_of(spark, lay, "order_wide", wide_schema),
+        payment_wide=_records_of(spark, lay, "payment_wide", payment_schema),
+        favor=_records_of(spark, lay, "favor", FAVOR_SCHEMA),
+        cart=_records_of(spark, lay, "cart", FAVOR_SCHEMA),
+        refund=_records_of(spark, lay, "refund", REFUND_SCHEMA),
+        comment=_records_of(spark, lay, "comment", COMMENT_SCHEMA), zone=zone,
+        watermark=lambda d: watermarked(d, DELAY_PRODUCT, extra_ms=3 * lay.spread_ms))
+    stats = agg.product_stats(ev, window, as_of, products, zone, time_col="event_time")
     return _start(stats, "product_stats", lay,
                   stats_writer(lay.stats("product_stats"), schemas.PRODUCT_STATS_COLUMNS), trigger)
 
@@ -248,7 +261,7 @@ def change_routing_job(spark: SparkSession, lay: Layout, trigger: dict | None =
     """P4-P8 + S8 + S9: change records routed per micro-batch with the rules re-read each time (a
     rule change applies from the next batch; no rules at all is an error); the dimension branch is
     merged into the versioned dimension store, the fact branch goes to a topic per sink table."""
-    changes = read_records(spark, lay.topic("changes"), schemas.CHANGE)
+    changes = _records_of(spark, lay, "changes", schemas.CHANGE)
     store = upsert.VersionedStore(spark, lay.dims)
     facts_path = lay.topic("facts")
 

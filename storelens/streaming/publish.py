@@ -1,67 +1,111 @@
 """Publish the stand-in records of the driver's tables to topic directories (batch S7), so the
-streaming jobs run over the whole tables. A far-future sentinel record per source moves every
-watermark past the last real window; its own windows stay open and are never emitted."""
+streaming jobs run over the whole tables. A topic's files follow event time, and their modification times follow
+their order, which is the order a file stream reads them in. Far-future sentinel records, one source batch of their
+own, move every input's watermark past the last real window; their own windows stay open and are never emitted."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelens.functions.time import parse_ms
 from storelens.sources import adapters as ad
 from storelens.sources.tables import Tables
 from storelens.streaming.jobs import Layout
-from storelens.streaming.topics import as_records
 
 # Fixed values of the sentinel: 2100-01-01 00:00:00 UTC in ms, and its keys.
 SENTINEL_MS = 4102444800000
+SENTINEL_TEXT = "2100-01-01 00:00:00"
+TEN_YEARS_MS = 315_360_000_000
 SENTINEL_ID = -1
 
 
-def _append(df: DataFrame, path: str) -> None:
-    df.select("offset", "value").write.mode("overwrite").json(path)
-
-
-def _log_sentinel(log: DataFrame) -> DataFrame:
-    spark = log.sparkSession
-    row = spark.range(1).select(
-        F.struct(F.lit("__end__").alias("mid"), F.lit("v0").alias("vc"), F.lit("c0").alias("ch"),
-                 F.lit("a0").alias("ar"), F.lit("0").alias("is_new")).alias("common"),
-        F.lit(None).cast(log.schema["start"].dataType).alias("start"),
-        # A search page with a text: filters that Catalyst pushes below a watermark keep it.
-        F.struct(F.lit("good_list").alias("page_id"), F.lit("home").alias("last_page_id"),
-                 F.lit("end").alias("item"), F.lit(0).cast("long").alias("during_time")).alias("page"),
-        F.lit(None).cast(log.schema["displays"].dataType).alias("displays"),
-        F.lit(SENTINEL_MS).alias("ts"), F.lit(SENTINEL_ID).cast("long").alias("offset"))
-    return log.unionByName(row)
-
-
-def publish(t: Tables, lay: Layout, sentinel: bool = True, timing: str = "offset") -> None:
-    """Write every source topic of the streaming jobs, plus the routing rules table."""
-    log = ad.behaviour_log(t)
-    if sentinel:
-        log = _log_sentinel(log)
-    _append(as_records(log, "offset", ["common", "start", "page", "displays", "ts"]), lay.topic("log"))
-
-    oi, od, pay = ad.order_info(t), ad.order_detail(t, timing), ad.payment_info(t)
-    if sentinel:
-        far = F.lit(SENTINEL_MS)
-        text = F.lit("2100-01-01 00:00:00")
-        oi = oi.unionByName(oi.limit(1).select(F.lit(SENTINEL_ID).cast("long").alias("id"), *[
-            (far.alias(c) if c == "create_ts" else text.alias(c) if c == "create_time" else F.col(c))
-            for c in oi.columns if c != "id"]))
-        od = od.unionByName(od.limit(1).select(*[
-            (F.lit(SENTINEL_ID).cast("long").alias(c) if c in ("order_id", "detail_id") else
-             far.alias(c) if c == "create_ts" else text.alias(c) if c == "create_time" else F.col(c))
-            for c in od.columns]))
-        pay = pay.unionByName(pay.limit(1).select(*[
-            (F.lit(SENTINEL_ID).cast("long").alias(c) if c in ("id", "order_id") else
-             far.alias(c) if c == "callback_ts" else text.alias(c) if c in ("create_time", "callback_time") else F.col(c))
-            for c in pay.columns]))
-    _append(as_records(oi, "id"), lay.topic("order_info"))
-    _append(as_records(od, "detail_id"), lay.topic("order_detail"))
-    _append(as_records(pay, "id"), lay.topic("payment_info"))
-    for name, df in (("favor", ad.favor_info(t)), ("cart", ad.cart_info(t)), ("refund", ad.refund_info(t)),
-                     ("comment", ad.comment_info(t))):
-        _append(as_records(df, F.lit(0)), lay.topic(name))
-    _append(as_records(ad.change_log(t), "offset", ["table", "type", "data", "ts"]), lay.topic("changes"))
-    ad.rules(t.spark).write.mode("overwrite").parquet(lay.rules)
+ALL_TOPICS = ("log", "order_info", "order_detail", "payment_info", "favor", "cart", "refund", "comment", "changes")
+
+
+def _write(records: DataFrame, path: str, ts: str, files: int, end: DataFrame | None) -> int:
+    """Write ``offset, value, ts`` rows as ``files`` files in time order and ``end`` as a file after them; the
+    largest time span of one file."""
+    spark = records.sparkSession
+    records.repartitionByRange(files, ts).sortWithinPartitions(ts).select("offset", "value", F.col(ts).alias("ts")) \
+        .write.mode("overwrite").json(path)
+    jvm = spark._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((s.getPath() for s in fs.listStatus(fs_path) if s.getPath().getName().startswith("part-")),
+                   key=lambda p: p.getName())
+    now = int(time.time() * 1000)
+    for i, part in enumerate(parts):
+        fs.setTimes(part, now - (len(parts) - i) * 2000, -1)
+    spread = spark.read.schema("ts long").json(path).groupBy(F.input_file_name()).agg(
+        (F.max("ts") - F.min("ts")).alias("s")).agg(F.max("s")).first()[0]
+    if end is not None:
+        end.select("offset", "value").coalesce(1).write.mode("append").json(path)
+    return spread or 0
+
+
+def _log_end(spark, log: DataFrame) -> DataFrame:
+    """The sentinel of the log: a detail page without a previous one (a click, a unique visit and, once it times out, a jump)
+    and, ten years on, a search page whose text keeps it through filters pushed below a watermark."""
+    def row(page_id: str, last: str | None, item: str | None, ts: int) -> DataFrame:
+        return spark.range(1).select(
+            F.struct(F.lit("__end__").alias("mid"), F.lit("v0").alias("vc"), F.lit("c0").alias("ch"),
+                     F.lit("a0").alias("ar"), F.lit("0").alias("is_new")).alias("common"),
+            F.lit(None).cast(log.schema["start"].dataType).alias("start"),
+            F.struct(F.lit(page_id).alias("page_id"), F.lit(last).cast("string").alias("last_page_id"),
+                     F.lit(item).cast("string").alias("item"), F.lit(0).cast("long").alias("during_time")).alias("page"),
+            F.lit(None).cast(log.schema["displays"].dataType).alias("displays"),
+            F.lit(ts).alias("ts"), F.lit(SENTINEL_ID).cast("long").alias("offset"))
+    return row("good_detail", None, str(SENTINEL_ID), SENTINEL_MS).unionByName(row("good_list", "home", "end", SENTINEL_MS + TEN_YEARS_MS))
+
+
+def _end_row(df: DataFrame, keys: tuple[str, ...], times: tuple[str, ...], texts: tuple[str, ...]) -> DataFrame:
+    """A sentinel row of ``df``'s columns from literals: keys -1, times and texts far in the future, money 0."""
+    cols = []
+    for f in df.schema.fields:
+        v = F.lit(SENTINEL_ID) if f.name in keys else F.lit(SENTINEL_MS) if f.name in times else \
+            F.lit(SENTINEL_TEXT) if f.name in texts else F.lit("F") if f.name == "order_status" else \
+            F.lit(0) if f.dataType.simpleString().startswith(("bigint", "decimal", "int")) else F.lit(None)
+        cols.append(v.cast(f.dataType).alias(f.name))
+    return df.sparkSession.range(1).select(*cols)
+
+
+def publish(t: Tables, lay: Layout, sentinel: bool = True, timing: str = "offset", topics: tuple[str, ...] = ALL_TOPICS,
+            files: int = 1) -> None:
+    """Write the named source topics (what a chain reads, and no others), plus the routing rules table where the
+    changes go out. ``files`` per topic; the layout's ``spread_ms`` becomes the largest time span of one micro-batch."""
+    spark = t.spark
+    spread = 0
+
+    def put(name: str, df: DataFrame, offset, end: DataFrame | None, ts, payload: list[str] | None = None) -> None:
+        nonlocal spread
+        cols = payload or df.columns
+        keep = df.select(F.to_json(F.struct(*cols)).alias("value"), offset.cast("long").alias("offset"), ts.cast("long").alias("_at"))
+        last = end.select(F.to_json(F.struct(*cols)).alias("value"), F.lit(SENTINEL_ID).cast("long").alias("offset")) \
+            if end is not None and sentinel else None
+        spread = max(spread, _write(keep, lay.topic(name), "_at", files, last))
+
+    if "log" in topics:
+        log = ad.behaviour_log(t)
+        put("log", log, F.col("offset"), _log_end(spark, log), F.col("ts"), ["common", "start", "page", "displays", "ts"])
+    if "order_info" in topics:
+        df = ad.order_info(t)
+        put("order_info", df, F.col("id"), _end_row(df, ("id",), ("create_ts",), ("create_time",)), F.col("create_ts"))
+    if "order_detail" in topics:
+        df = ad.order_detail(t, timing)
+        put("order_detail", df, F.col("detail_id"), _end_row(df, ("detail_id", "order_id"), ("create_ts",), ("create_time",)), F.col("create_ts"))
+    if "payment_info" in topics:
+        df = ad.payment_info(t)
+        put("payment_info", df, F.col("id"), _end_row(df, ("id", "order_id"), ("callback_ts",), ("create_time", "callback_time")),
+            F.col("callback_ts"))
+    for name, make in (("favor", ad.favor_info), ("cart", ad.cart_info), ("refund", ad.refund_info), ("comment", ad.comment_info)):
+        if name in topics:
+            df = make(t)
+            put(name, df, F.lit(0), _end_row(df, ("sku_id", "order_id"), (), ("create_time",)), parse_ms(F.col("create_time")))
+    if "changes" in topics:
+        df = ad.change_log(t)
+        put("changes", df, F.col("offset"), None, F.col("offset"), ["table", "type", "data", "ts"])
+        ad.rules(spark).write.mode("overwrite").parquet(lay.rules)
+    lay.spread_ms = spread * max(1, lay.max_files or files) if files > 1 else 0

@@ -49,8 +49,32 @@ def _sized(fn):
     return run
 
 
-def new_layout(spark: SparkSession, name: str) -> sj.Layout:
-    return sj.Layout(f"{checkpoint_root(spark).rstrip('/')}/storelens-stream/{name}-{uuid.uuid4().hex}")
+# The registered chains read their sources in several micro-batches: SOURCE_FILES files in time order, MAX_FILES at a time
+# (a multiple, so that the sentinel file is a micro-batch of its own).
+SOURCE_FILES, MAX_FILES = 16, 8
+LOG_TOPICS = ("log",)
+ORDER_TOPICS = ("order_info", "order_detail")
+PRODUCT_TOPICS = (*LOG_TOPICS, *ORDER_TOPICS, "payment_info", "favor", "cart", "refund", "comment")
+
+
+def new_layout(spark: SparkSession, name: str, max_files: int | None = None) -> sj.Layout:
+    return sj.Layout(f"{checkpoint_root(spark).rstrip('/')}/storelens-stream/{name}-{uuid.uuid4().hex}", max_files)
+
+
+def _chain(spark: SparkSession, t: Tables, name: str, topics: tuple[str, ...], sentinel: bool = True) -> sj.Layout:
+    lay = new_layout(spark, name, MAX_FILES)
+    publish(t, lay, sentinel, topics=topics, files=SOURCE_FILES)
+    return lay
+
+
+def _drop(spark: SparkSession, lay: sj.Layout, *kept: str) -> None:
+    """Delete a finished chain's folders but for the ``kept`` ones, which its result is read from."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(lay.root)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for st in fs.listStatus(root):
+        if st.getPath().getName() not in kept:
+            fs.delete(st.getPath(), True)
 
 
 def _read_stats(spark: SparkSession, path: str, columns) -> DataFrame:
@@ -60,21 +84,23 @@ def _read_stats(spark: SparkSession, path: str, columns) -> DataFrame:
 @_sized
 def visitor_stats_stream(spark: SparkSession, sf_dir: str, within: int = batch.JUMP_WITHIN) -> DataFrame:
     """log -> base log (T1) -> unique visit (T2), jump (T3) -> visitor statistics (A2), all streaming."""
-    lay = new_layout(spark, "visitor")
-    publish(Tables(spark, sf_dir), lay)
+    lay = _chain(spark, Tables(spark, sf_dir), "visitor", LOG_TOPICS)
     _await(sj.base_log_job(spark, lay))
     _await(sj.unique_visit_job(spark, lay))
     _await(sj.user_jump_job(spark, lay, within))
-    _await(sj.visitor_stats_job(spark, lay, batch.WINDOW))
+    # Unique visits and jumps are read whole in the first micro-batch: the sentinel's jump leaves its job together with the
+    # last real ones, and pages, the slowest input, hold the watermark back meanwhile.
+    _await(sj.visitor_stats_job(spark, lay, batch.WINDOW, side_files=None))
+    _drop(spark, lay, "stats")
     return _read_stats(spark, lay.stats("visitor_stats"), schemas.VISITOR_STATS_COLUMNS)
 
 
 @_sized
 def keyword_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lay = new_layout(spark, "keyword")
-    publish(Tables(spark, sf_dir), lay)
+    lay = _chain(spark, Tables(spark, sf_dir), "keyword", LOG_TOPICS)
     _await(sj.base_log_job(spark, lay))
     _await(sj.keyword_stats_job(spark, lay, batch.WINDOW, as_of=batch.AS_OF))
+    _drop(spark, lay, "stats")
     return _read_stats(spark, lay.stats("keyword_stats"), schemas.KEYWORD_STATS_COLUMNS)
 
 
@@ -87,10 +113,10 @@ def _order_wide_chain(spark: SparkSession, t: Tables, lay: sj.Layout) -> str:
 def province_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """order info + lines -> order wide (J1, J4) -> province statistics (A3), all streaming."""
     t = Tables(spark, sf_dir)
-    lay = new_layout(spark, "province")
-    publish(t, lay)
+    lay = _chain(spark, t, "province", ORDER_TOPICS)
     wide_schema = _order_wide_chain(spark, t, lay)
     _await(sj.province_stats_job(spark, lay, wide_schema, batch.WINDOW, as_of=batch.AS_OF))
+    _drop(spark, lay, "stats")
     return _read_stats(spark, lay.stats("province_stats"), schemas.PROVINCE_STATS_COLUMNS)
 
 
@@ -99,11 +125,11 @@ def province_stats_sql_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same chain with the province statistics written as SQL text over a streaming view."""
     import datetime as dt
     t = Tables(spark, sf_dir)
-    lay = new_layout(spark, "province-sql")
-    publish(t, lay)
+    lay = _chain(spark, t, "province-sql", ORDER_TOPICS)
     wide_schema = _order_wide_chain(spark, t, lay)
     as_of = dt.datetime.strptime(batch.AS_OF, "%Y-%m-%d %H:%M:%S").replace(tzinfo=dt.timezone.utc)
     _await(sj.province_stats_sql_job(spark, lay, wide_schema, batch.WINDOW, int(as_of.timestamp() * 1000)))
+    _drop(spark, lay, "stats")
     return _read_stats(spark, lay.stats("province_stats_sql"), schemas.PROVINCE_STATS_COLUMNS)
 
 
@@ -111,24 +137,24 @@ def province_stats_sql_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seven product topics (order wide and payment wide produced by streaming joins) -> A1 + J5."""
     t = Tables(spark, sf_dir)
-    lay = new_layout(spark, "product")
-    publish(t, lay)
+    lay = _chain(spark, t, "product", PRODUCT_TOPICS)
     _await(sj.base_log_job(spark, lay))
     wide_schema = _order_wide_chain(spark, t, lay)
     _await(sj.payment_wide_job(spark, lay, wide_schema))
     pay_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.payment_wide_of(t).schema.fields)
     _await(sj.product_stats_job(spark, lay, wide_schema, pay_schema, batch.products(t), batch.WINDOW,
                                 as_of=batch.AS_OF))
+    _drop(spark, lay, "stats")
     return _read_stats(spark, lay.stats("product_stats"), schemas.PRODUCT_STATS_COLUMNS)
 
 
 @_sized
 def dim_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """changes -> routing with rules re-read per batch -> versioned dimension store."""
-    lay = new_layout(spark, "dims")
-    publish(Tables(spark, sf_dir), lay, sentinel=False)
+    lay = _chain(spark, Tables(spark, sf_dir), "dims", ("changes",), sentinel=False)
     _await(sj.change_routing_job(spark, lay))
     from storelens.operators.upsert import VersionedStore
+    _drop(spark, lay, "dims")
     return VersionedStore(spark, lay.dims).current().select("sink_table", "pk", "column", "value")
 
 
@@ -140,6 +166,7 @@ def token_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     Tables(spark, sf_dir).documents.select(F.col("text").alias("value")).write.mode("overwrite").json(lay.topic("lines"))
     lines = spark.readStream.schema("value string").json(lay.topic("lines"))
     _await(sj.token_count_job(spark, lines, lay.stats("token_counts"), lay.checkpoint("token_counts")))
+    _drop(spark, lay, "stats")
     return sj.latest_counts(spark, lay.stats("token_counts"))
 
 
