@@ -48,11 +48,6 @@ def explode_displays(page: DataFrame) -> DataFrame:
         .select(F.col("d.*"), "page_id")
 
 
-def page_displays(page: DataFrame) -> DataFrame:
-    """Displays with the parent's event time, as the product job reads them from the page log."""
-    return page.select(F.explode("displays").alias("d"), "ts").select(F.col("d.*"), "ts")
-
-
 def is_entry(last_page_id: Column | str = "page.last_page_id", empty_is_entry: bool = True) -> Column:
     """An entry page has no previous page; ``empty_is_entry`` also counts ``''`` (jump and session)."""
     c = F.col(last_page_id) if isinstance(last_page_id, str) else last_page_id

@@ -12,8 +12,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storelens.functions.time import age_years
+from storelens.schemas import MONEY, S
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -94,6 +96,14 @@ def coalesce_merge(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
 
 ORDER_COLUMNS = ("id", "province_id", "user_id", "order_status", "total_amount", "create_time", "create_ts")
 DETAIL_COLUMNS = ("detail_id", "order_id", "sku_id", "sku_num", "order_price", "split_total_amount", "create_ts")
+# Further fields of the records; null where a source does not carry them.
+ORDER_FIELDS = {"activity_reduce_amount": MONEY, "coupon_reduce_amount": MONEY, "original_total_amount": MONEY,
+                "feight_fee": MONEY, "expire_time": S, "operate_time": S}
+DETAIL_FIELDS = {"split_feight_fee": MONEY, "split_activity_amount": MONEY, "split_coupon_amount": MONEY}
+
+
+def _or_null(df: DataFrame, fields: Mapping[str, T.DataType]) -> list:
+    return [(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in fields.items()]
 
 
 def order_wide(orders: DataFrame, details: DataFrame, lower: int = -5, upper: int = 5,
@@ -104,34 +114,34 @@ def order_wide(orders: DataFrame, details: DataFrame, lower: int = -5, upper: in
     ``time_cols``: the two sides' watermarked event-time columns on streams.
     """
     keep = (time_cols[0],) if time_cols else ()
-    o = orders.select(*ORDER_COLUMNS, *keep)
+    o = orders.select(*ORDER_COLUMNS, *_or_null(orders, ORDER_FIELDS), *keep)
     d = details.select(*[F.col(c).alias(f"d_{c}") if c in ("create_ts",) else F.col(c) for c in DETAIL_COLUMNS],
-                       *([F.col(time_cols[1]).alias("d_event_time")] if time_cols else []))
+                       *_or_null(details, DETAIL_FIELDS), *([F.col(time_cols[1]).alias("d_event_time")] if time_cols else []))
     tc = (time_cols[0], "d_event_time") if time_cols else None
     j = interval_join(o, d, {"id": "order_id"}, "create_ts", "d_create_ts", lower, upper, time_cols=tc)
     return j.select("detail_id", "order_id", "user_id", "sku_id", "sku_num", "order_price", "split_total_amount",
-                    "province_id", "order_status", "total_amount", "create_time", "create_ts")
+                    "province_id", "order_status", "total_amount", "create_time", "create_ts", *ORDER_FIELDS, *DETAIL_FIELDS,
+                    F.substring("create_time", 1, 10).alias("create_date"), F.substring("create_time", 12, 2).alias("create_hour"))
 
 
-def product_dimension(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3: DataFrame,
-                      broadcast_small: int | None = None) -> DataFrame:
+def product_dimension(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3: DataFrame) -> DataFrame:
     """SKU rows with SPU, brand and category names: the snowflake folded on the dimension side, so the
     facts are looked up once instead of four times. Joined by the ids the SKU supplies (brand by
     ``tm_id``, see Q4)."""
-    p = lookup(sku, spu, {"spu_id": "id"}, {"spu_name": "spu_name"}, broadcast_small)
-    p = lookup(p, trademark, {"tm_id": "id"}, {"tm_name": "tm_name"}, broadcast_small)
-    p = lookup(p, category3, {"category3_id": "id"}, {"name": "category3_name"}, broadcast_small)
+    p = lookup(sku, spu, {"spu_id": "id"}, {"spu_name": "spu_name"})
+    p = lookup(p, trademark, {"tm_id": "id"}, {"tm_name": "tm_name"})
+    p = lookup(p, category3, {"category3_id": "id"}, {"name": "category3_name"})
     return p
 
 
 def enrich_order_wide(wide: DataFrame, user: DataFrame, province: DataFrame, products: DataFrame,
-                      as_of: str | None = None, province_rows: int | None = None) -> DataFrame:
+                      as_of: str | None = None) -> DataFrame:
     """User (age, gender), province (name, codes), then product attributes. Misses keep the row."""
     w = lookup(wide, user.select("id", age_years("birthday", as_of).alias("user_age"), "gender"),
                {"user_id": "id"}, {"user_age": "user_age", "gender": "user_gender"})
     w = lookup(w, province, {"province_id": "id"},
                {"name": "province_name", "area_code": "province_area_code",
-                "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code"}, province_rows)
+                "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code"})
     w = lookup(w, products, {"sku_id": "id"},
                {"sku_name": "sku_name", "spu_id": "spu_id", "tm_id": "tm_id", "category3_id": "category3_id",
                 "spu_name": "spu_name", "tm_name": "tm_name", "category3_name": "category3_name"})
@@ -150,7 +160,7 @@ def payment_wide(payments: DataFrame, wide: DataFrame, lower: int = -1_800_000,
     """
     p = payments.select(
         F.col("id").alias("payment_id"), "order_id", "user_id", "total_amount", "payment_type",
-        F.col("create_time").alias("payment_create_time"), "callback_time", "callback_ts",
+        F.col("create_time").alias("payment_create_time"), "callback_time", "callback_ts", *_or_null(payments, {"subject": S}),
         *([F.col(time_cols[0]).alias("p_event_time")] if time_cols else []))
     shared = {"order_id", "user_id", "total_amount"}
     w = wide.select(*[F.col(c).alias(f"w_{c}") if c in shared else F.col(c) for c in wide.columns

@@ -65,7 +65,10 @@ def daily_unique(pages: DataFrame, key: str = "common.mid", order_by: Sequence[s
     if method != "first_per_day":
         raise ValueError(method)
     payload = [c for c in pages.columns if c not in order_by]
-    firsts = entry.groupBy(_mid(key).alias("_k"), "_day").agg(
+    # Dealt out by (device, day): without this exchange the aggregate would reuse the partitioning of a join by
+    # device before it, and neither that join's hot device nor this aggregate's could be split.
+    entry = entry.withColumn("_k", _mid(key)).repartition("_k", "_day")
+    firsts = entry.groupBy("_k", "_day").agg(
         F.min(F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in payload])).alias("_r"))
     return firsts.select(*[F.col(f"_r.{c}").alias(c) for c in pages.columns])
 
@@ -86,15 +89,17 @@ def bounces(pages: DataFrame, within: int = 10_000, key: str = "common.mid", ord
     width = bucket_ms or within
     k = -(-within // width)
     bucket = F.floor(F.col("ts") / F.lit(width)).cast("long")
-    own = pages.withColumn("_k", _mid(key)).withColumn("_b", bucket).withColumn("_probe", F.lit(False)) \
-        .withColumn("_entry", is_entry("page.last_page_id", empty_is_entry))
-    back = F.sequence(F.lit(1), F.lit(k)) if k > 1 else F.array(F.lit(1))
-    probe = pages.select(_mid(key).alias("_k"), *[F.col(c) for c in order_by], F.explode(back).alias("_d")) \
-        .withColumn("_b", bucket - F.col("_d")).drop("_d") \
-        .withColumn("_probe", F.lit(True)).withColumn("_entry", F.lit(False))
-    both = own.unionByName(probe, allowMissingColumns=True)
-    w = Window.partitionBy("_k", "_b").orderBy(*[F.col(c) for c in order_by], F.col("_probe"))
-    nxt = F.lead("ts").over(w)
-    out = both.withColumn("_next", nxt) \
-        .where(~F.col("_probe") & F.col("_entry") & (F.col("_next").isNull() | (F.col("_next") - F.col("ts") >= within)))
-    return out.select(*pages.columns)
+    entry = is_entry("page.last_page_id", empty_is_entry)
+    order = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
+    # One pass: each record once in its own bucket and once as a probe in each of the k buckets before; only an entry
+    # page in its own bucket carries its columns along.
+    copies = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda d: F.struct((bucket - d).alias("b"), (d > 0).alias("probe")))
+    both = pages.select(_mid(key).alias("_k"), *order, entry.alias("_entry"), F.struct(*pages.columns).alias("_r"),
+                        F.explode(copies).alias("_c"))
+    both = both.select("_k", *[f"_o{i}" for i in range(len(order_by))], F.col("_c.b").alias("_b"), F.col("_c.probe").alias("_probe"),
+                       (F.col("_entry") & ~F.col("_c.probe")).alias("_entry"),
+                       F.when(F.col("_entry") & ~F.col("_c.probe"), F.col("_r")).alias("_r"))
+    w = Window.partitionBy("_k", "_b").orderBy(*[F.col(f"_o{i}") for i in range(len(order_by))], F.col("_probe"))
+    out = both.withColumn("_next", F.lead("_o0").over(w)).where(
+        F.col("_entry") & (F.col("_next").isNull() | (F.col("_next") - F.col("_o0") >= within)))
+    return out.select(*[F.col(f"_r.{c}").alias(c) for c in pages.columns])

@@ -33,6 +33,12 @@ def log_pages(t: Tables) -> DataFrame:
     return pages
 
 
+def page_records(t: Tables) -> DataFrame:
+    """Page records without the new-visitor repair, for jobs that never look at ``is_new``: no join by device."""
+    log = ad.behaviour_log(t)
+    return log.where(~clean.is_start(log))
+
+
 def products(t: Tables) -> DataFrame:
     return joins.product_dimension(ad.dim_sku(t), ad.dim_spu(t), ad.dim_trademark(t), ad.dim_category3(t))
 
@@ -86,9 +92,10 @@ def q_product_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P13 + W3 + A1 + J5 over the seven product inputs."""
     t = Tables(spark, sf_dir)
     # Lookups are left joins on unique keys: they never drop or repeat a line, so the statistics need
-    # only the un-enriched order lines; attributes are looked up once, after the aggregate.
-    wide = materialize(order_wide_core(t), "order_wide")
-    ev = agg.product_events(pages=log_pages(t), order_wide=wide, payment_wide=payment_wide_of(t, wide),
+    # only the un-enriched order lines; attributes are looked up once, after the aggregate (J5). The order lines
+    # feed two branches; the planner reuses their exchanges.
+    wide = order_wide_core(t)
+    ev = agg.product_events(pages=page_records(t), order_wide=wide, payment_wide=payment_wide_of(t, wide),
                             favor=ad.favor_info(t), cart=ad.cart_info(t), refund=ad.refund_info(t),
                             comment=ad.comment_info(t))
     return agg.product_stats(ev, WINDOW, AS_OF, products(t))
@@ -105,7 +112,7 @@ def q_visitor_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_keyword_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P11 -> U1 (lateral explode) -> A4 with source SEARCH."""
     t = Tables(spark, sf_dir)
-    return agg.keyword_stats(clean.keyword_pages(log_pages(t)), WINDOW, agg.KEYWORD_SEARCH, AS_OF)
+    return agg.keyword_stats(clean.keyword_pages(page_records(t)), WINDOW, agg.KEYWORD_SEARCH, AS_OF)
 
 
 def q_keyword_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +122,7 @@ def q_keyword_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     by the other inputs alone has all three at zero and yields no row. So the statistics are built
     from those three inputs only: the same rows, without the payment join and four other scans."""
     t = Tables(spark, sf_dir)
-    ev = agg.product_events(pages=log_pages(t), order_wide=order_wide_core(t), cart=ad.cart_info(t))
+    ev = agg.product_events(pages=page_records(t), order_wide=order_wide_core(t), cart=ad.cart_info(t))
     return agg.keyword_actions(agg.product_stats(ev, WINDOW, AS_OF, products(t)), AS_OF)
 
 
@@ -191,14 +198,12 @@ def q_composite_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_coalesce_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two partial order records (user side, province side) merged by order id."""
+    """Two partial records of an order, its payment and the order itself, merged by order id. Orders without a
+    payment are on one side only, and the two create times differ: the payment's comes first."""
     t = Tables(spark, sf_dir)
-    o = ad.order_info(t).select("id", "user_id", "province_id")
-    a = joins.lookup(o, ad.dim_user(t), {"user_id": "id"}, {"gender": "user_gender"}) \
-        .withColumn("province_name", F.lit(None).cast("string"))
-    b = joins.lookup(o, ad.dim_province(t), {"province_id": "id"}, {"name": "province_name"}) \
-        .withColumn("user_gender", F.lit(None).cast("string"))
-    return joins.coalesce_merge(a, b.select(*a.columns), ["id"])
+    paid = ad.payment_info(t).select(F.col("order_id").alias("id"), "user_id", "create_time", "payment_type")
+    placed = ad.order_info(t).select("id", "user_id", "create_time", "province_id", "order_status")
+    return joins.coalesce_merge(paid, placed, ["id"])
 
 
 def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

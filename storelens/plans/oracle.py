@@ -77,6 +77,14 @@ ORDER_INFO = """oi AS (
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)"""
 
 
+# Record fields that no table of the driver carries.
+NO_MONEY = ("activity_reduce_amount", "coupon_reduce_amount", "original_total_amount", "feight_fee", "split_feight_fee",
+            "split_activity_amount", "split_coupon_amount")
+NO_TEXT = ("expire_time", "operate_time")
+NO_SOURCE = "".join(f"CAST(NULL AS DECIMAL(18,2)) AS {c}, " for c in NO_MONEY) + "".join(
+    f"CAST(NULL AS VARCHAR) AS {c}, " for c in NO_TEXT)
+
+
 def _order_wide_core(timing: str = "offset") -> str:
     if timing == "offset":
         line_ts = "epoch_us(o.o_orderdate + to_microseconds((l.l_linenumber - 4) * 2500)) // 1000"
@@ -94,7 +102,8 @@ od AS (
   FROM {src}),
 ow AS (
   SELECT od.detail_id, od.order_id, oi.user_id, od.sku_id, od.sku_num, od.order_price, od.split_total_amount,
-         oi.province_id, oi.order_status, oi.total_amount, oi.create_time, oi.create_ts
+         oi.province_id, oi.order_status, oi.total_amount, oi.create_time, oi.create_ts, {NO_SOURCE}
+         substr(oi.create_time, 1, 10) AS create_date, substr(oi.create_time, 12, 2) AS create_hour
   FROM oi JOIN od ON oi.id = od.order_id AND od.line_ts BETWEEN oi.create_ts + ({lo}) AND oi.create_ts + ({hi}))"""
 
 
@@ -137,16 +146,17 @@ PAYMENT = """pay AS (
          CASE o_orderkey % 3 WHEN 0 THEN '1101' WHEN 1 THEN '1102' ELSE '1103' END AS payment_type,
          strftime(o_orderdate + to_minutes(CAST(o_orderkey % 60 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS payment_create_time,
          strftime(o_orderdate + to_minutes(CAST(o_orderkey % 60 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS callback_time,
-         epoch_us(o_orderdate + to_minutes(CAST(o_orderkey % 60 AS BIGINT))) // 1000 AS callback_ts
+         epoch_us(o_orderdate + to_minutes(CAST(o_orderkey % 60 AS BIGINT))) // 1000 AS callback_ts,
+         CAST(NULL AS VARCHAR) AS subject
   FROM orders WHERE o_orderstatus = 'F')"""
 
-PWIDE = OWE + ",\n" + PAYMENT + """,
+PWIDE = OWE + ",\n" + PAYMENT + f""",
 pw AS (
   SELECT pay.*, owe.detail_id, owe.sku_id, owe.sku_num, owe.order_price, owe.split_total_amount, owe.province_id,
          owe.order_status, owe.create_time AS order_create_time, owe.create_ts AS order_create_ts,
          owe.user_age, owe.user_gender, owe.province_name, owe.province_area_code, owe.province_iso_code,
          owe.province_3166_2_code, owe.sku_name, owe.spu_id, owe.tm_id, owe.category3_id, owe.spu_name,
-         owe.tm_name, owe.category3_name
+         owe.tm_name, owe.category3_name, owe.create_date, owe.create_hour, {", ".join(f"owe.{c}" for c in (*NO_MONEY, *NO_TEXT))}
   FROM pay JOIN owe ON pay.order_id = owe.order_id
    AND owe.create_ts BETWEEN pay.callback_ts - 1800000 AND pay.callback_ts)"""
 
@@ -314,9 +324,11 @@ UNION ALL SELECT 'DIM_SKU_INFO', CAST(p_partkey AS VARCHAR), 'BRAND', p_brand FR
         "composite_lookup": _with(ORDER_INFO + ",\n" + USER, """
 SELECT oi.id, oi.user_id, oi.province_id, usr.birthday, usr.gender
 FROM oi LEFT JOIN usr ON oi.user_id = usr.id AND oi.province_id = usr.nation_id"""),
-        "coalesce_merge": _with(ORDER_INFO + ",\n" + USER + ",\n" + PROVINCE, """
-SELECT oi.id, oi.user_id, oi.province_id, usr.gender AS user_gender, prov.name AS province_name
-FROM oi LEFT JOIN usr ON oi.user_id = usr.id LEFT JOIN prov ON oi.province_id = prov.id"""),
+        "coalesce_merge": _with(ORDER_INFO + ",\n" + PAYMENT, """
+SELECT coalesce(p.order_id, oi.id) AS id, coalesce(p.user_id, oi.user_id) AS user_id,
+       CASE WHEN p.order_id IS NULL THEN oi.create_time ELSE p.payment_create_time END AS create_time,
+       p.payment_type, oi.province_id, oi.order_status
+FROM oi FULL JOIN pay p ON oi.id = p.order_id"""),
         "token_counts": """
 SELECT token, count(*) AS ct FROM (SELECT unnest(string_split(text, ',')) AS token FROM documents)
 WHERE length(token) > 0 GROUP BY token""",

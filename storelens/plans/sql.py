@@ -55,7 +55,7 @@ def province_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyword_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P11 + U1 + A4 as SQL text: filter, ``LATERAL VIEW explode`` of the tokens, windowed count."""
-    v = _view(jobs.log_pages(Tables(spark, sf_dir)), "page_view")
+    v = _view(jobs.page_records(Tables(spark, sf_dir)), "page_view")
     return spark.sql(f"""
         WITH fullword AS (
           SELECT page.item AS fullword, ts FROM {v}

@@ -48,8 +48,8 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "st
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is only read. Where it is unset (local tests)
-    a fresh folder is made and registered with ``setCheckpointDir``, so every later call agrees.
+    On a cluster this setting names shared storage and is only read; without it this is an error. Under a
+    local master a fresh folder is made and registered with ``setCheckpointDir``, so every later call agrees.
     """
     try:
         sc = spark.sparkContext
@@ -63,6 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="storelens-ckpt-"))
         d = sc.getCheckpointDir()
     return d
@@ -130,8 +132,9 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     root = checkpoint_root(spark)
     local = root[len("file:"):] if root.startswith("file:") else root
-    if "://" in local or not os.path.isabs(local):
-        # Non-local shared storage: write through the Hadoop file system of the session.
+    if not root.startswith("file:") and not sc.master.startswith("local") or "://" in local:
+        # Shared storage, also where the default file system is one and the path names no scheme: write
+        # through the Hadoop file system of the session.
         jvm = spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/storelens-{app}.zip")
         out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)

@@ -46,3 +46,21 @@ def test_first_day_is_a_hash_aggregate(spark):
 def test_routing_scans_changes_once(spark):
     p = _plan(spark, "route_changes")
     assert p.count("FileScan parquet") == 2   # customer once, part once
+
+
+def test_unique_visit_is_dealt_by_device_and_day(spark):
+    """Without broadcasts the join by device is followed by an exchange, so its hot device can be split."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = QUERIES["unique_visit"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above = p[:p.index("SortMergeJoin")]
+    assert "Exchange hashpartitioning(_k" in above and "_day" in above
+
+
+def test_bounces_read_the_log_once(spark):
+    p = _plan(spark, "user_jump")
+    first = QUERIES["new_visitor_repair"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    scans = lambda x: x.count("FileScan parquet")
+    assert scans(QUERIES["user_jump"](spark, SF)._jdf.queryExecution().executedPlan().toString()) == scans(first) and "Union" not in p
