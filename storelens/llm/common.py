@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +56,31 @@ def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> Data
     star = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return star.unionAll(roots)
+
+
+TEXT_ROWS = 1000
+
+
+def text_batches(spark) -> None:
+    """Arrow batches of at most ``TEXT_ROWS`` rows for the functions that read whole texts: a setting of the session,
+    lowered only, so that a batch of texts stays at some megabytes on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+
+
+@contextlib.contextmanager
+def returned_memory():
+    """Give freed memory back to the machine when a task's function ends: its Python worker stays and others use it."""
+    try:
+        yield
+    finally:
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
