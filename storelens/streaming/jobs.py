@@ -29,7 +29,7 @@ from storelens.functions.time import event_time
 from storelens.operators import aggregates as agg
 from storelens.operators import clean, joins, route, upsert
 from storelens.streaming import state
-from storelens.streaming.topics import as_records, stats_writer
+from storelens.streaming.topics import as_records, read_rules, stats_writer
 
 # The shop's watermark delays (T4, T5).
 DELAY_ORDER = "3 seconds"
@@ -266,7 +266,7 @@ def change_routing_job(spark: SparkSession, lay: Layout, trigger: dict | None =
     facts_path = lay.topic("facts")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rules = spark.read.parquet(lay.rules)
+        rules = read_rules(spark, lay.rules)
         route.require_rules(rules)
         routed = route.route(batch, rules).persist()   # feeds two sinks: route once per micro-batch
         try:
