@@ -22,6 +22,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelens.llm.common import returned_memory, text_batches
 from storelens.session import ship_package
 
 SAMPLE = 6000
@@ -34,7 +35,7 @@ WHOLE = 4096  # numbers kept for features of the text as a whole, so that no wor
 SIZE = (1 << BITS) + WHOLE
 GRADES = 3
 STEPS = 300
-_KNOWN = 300_000  # words remembered per Python worker
+_KNOWN = 100_000  # words remembered per Python worker
 
 
 class Model(NamedTuple):
@@ -134,8 +135,8 @@ def fit_rows(rows: list[tuple[int, list[int]]], steps: int = STEPS, min_docs: in
     if not rows:
         return Model(np.zeros(size, "f4"), (-20.0,) * (GRADES - 1))
     y = np.array([g for g, _ in rows])
-    flat = np.concatenate([np.asarray(f, "i8") for _, f in rows])
-    of = np.repeat(np.arange(len(rows)), [len(f) for _, f in rows])
+    flat = np.concatenate([np.asarray(f, "i4") for _, f in rows])
+    of = np.repeat(np.arange(len(rows), dtype="i4"), [len(f) for _, f in rows])
     n, classes = len(rows), np.eye(GRADES)[y]
     seen = np.bincount(flat, minlength=size)
     share = classes.mean(0)
@@ -191,7 +192,10 @@ def graded(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The model from at most ``sample`` rated documents, the first by a hash of the id."""
+    import numpy as np
+
     ship_package(docs.sparkSession)
+    text_batches(docs.sparkSession)
     some = F.broadcast(graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     rated = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(some, "doc_id").select("grade", "text")
 
@@ -199,12 +203,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
         import pyarrow as pa
 
         make = Features()
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([make(t) for t in b.column(1).to_pylist()], pa.list_(pa.int32()))], names=["grade", "features"])
+        with returned_memory():
+            for part in _slices(batches):
+                packed = [np.array(make(t), "<i4").tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], names=["grade", "features"])
+            make.known.clear()
+
+    # numbers travel as bytes: the driver never holds them as Python objects
+    rows = sorted((r["grade"], bytes(r["features"])) for r in rated.mapInArrow(features, "grade int, features binary").collect())
+    return fit_rows(without_copies([(g, np.frombuffer(f, "<i4")) for g, f in rows]))
+
 
-    rows = rated.mapInArrow(features, "grade int, features array<int>").collect()
-    return fit_rows(without_copies(sorted((r["grade"], list(r["features"])) for r in rows)))
+def _slices(batches, rows: int = 512):
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 class Scorer:
@@ -236,15 +249,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     no rows. Other columns are ignored.
     """
     ship_package(docs.sparkSession)
+    text_batches(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
 
         scorer = Scorer(model)
-        for b in batches:
-            tails = scorer.tails(b.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tails.sum(1)), pa.array(tails[:, -1]), pa.array(tails[:, 0])],
-                                             names=["doc_id", "expected_grade", "p_good", "p_fair"])
+        with returned_memory():
+            for b in _slices(batches):
+                tails = scorer.tails(b.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tails.sum(1)), pa.array(tails[:, -1]), pa.array(tails[:, 0])],
+                                                 names=["doc_id", "expected_grade", "p_good", "p_fair"])
+            scorer.make.known.clear()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(
         run, "doc_id long, expected_grade double, p_good double, p_fair double")
@@ -253,13 +269,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def select_good(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose P(grade >= 2) is at least ``threshold``."""
     ship_package(docs.sparkSession)
+    text_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches):
         import pyarrow as pa
 
         scorer = Scorer(model)
-        for b in batches:
-            yield b.filter(pa.array(scorer.tails(b.column(at).to_pylist())[:, -1] >= threshold))
+        with returned_memory():
+            for b in _slices(batches):
+                yield b.filter(pa.array(scorer.tails(b.column(at).to_pylist())[:, -1] >= threshold))
+            scorer.make.known.clear()
 
     return docs.mapInArrow(run, docs.schema)
