@@ -19,7 +19,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import write_once
+from storelens.llm.common import returned_memory, text_batches, write_once
 from storelens.session import ship_package
 
 LENGTH = 4096
@@ -28,7 +28,7 @@ PART = 16_384
 MERGE = 32  # parts whose leftovers are merged together
 END_ID = 2
 _NO_ID = -(1 << 63)
-_WORDS = 400_000  # words remembered per Python worker
+_WORDS = 200_000  # words remembered per Python worker
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
 
@@ -112,18 +112,6 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(path: str) -> Encoder:
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 def default_tokenizer() -> str:
     """The public vocabulary file; installed with its package on every machine."""
     import public_tokenizers
@@ -136,26 +124,32 @@ def tokenised(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = Non
     """Pieces of at most ``length`` ids: ``doc_id, start, length, ids_crc32, doc_tokens`` and, on request, ``ids``."""
     path = tokenizer or default_tokenizer()
     ship_package(docs.sparkSession)
+    text_batches(docs.sparkSession)
 
     def cut(batches):
+        import os
+
         import pyarrow as pa
 
-        encode = _encoder(path)
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), 1024):
-                rows = []
-                for doc, seq in zip(ids[at:at + 1024], encode(texts[at:at + 1024].to_pylist()), strict=True):
-                    for s in range(0, len(seq), length):
-                        piece = seq[s:s + length]
-                        rows.append((doc, s, len(piece), zlib.crc32(piece.tobytes()), len(seq), piece))
-                cols = list(zip(*rows, strict=True))
-                arrays = [pa.array(c, pa.int64()) for c in cols[:5]]
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-                if with_ids:
-                    arrays.append(pa.array([c.astype("i4") for c in cols[5]], pa.list_(pa.int32())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        encode = Encoder(path)  # the task's own: a worker that other stages use again should not keep the words
+        with returned_memory():
+            for batch in batches:
+                ids, texts = batch.column(0).to_pylist(), batch.column(1)
+                for at in range(0, len(ids), 512):
+                    rows = []
+                    for doc, seq in zip(ids[at:at + 512], encode(texts[at:at + 512].to_pylist()), strict=True):
+                        for s in range(0, len(seq), length):
+                            piece = seq[s:s + length]
+                            rows.append((doc, s, len(piece), zlib.crc32(piece.tobytes()), len(seq), piece))
+                    cols = list(zip(*rows, strict=True))
+                    arrays = [pa.array(c, pa.int64()) for c in cols[:5]]
+                    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+                    if with_ids:
+                        arrays.append(pa.array([c.astype("i4") for c in cols[5]], pa.list_(pa.int32())))
+                        names.append("ids")
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+            encode.forget()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
         cut, _PIECES + (", ids array<int>" if with_ids else ""))
