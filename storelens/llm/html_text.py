@@ -23,7 +23,7 @@ from urllib.parse import urlsplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import write_once
+from storelens.llm.common import text_batches, write_once
 from storelens.session import ship_package
 
 CHUNK = 512
@@ -242,6 +242,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """
     spark = pages.sparkSession
     ship_package(spark)
+    text_batches(spark)
     keyed = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     keyed = keyed.withColumn("k", F.xxhash64("page_id", "url"))
 

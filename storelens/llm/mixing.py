@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 BLOCKS = 16_384
 MAX_REPETITION = 2.0
+OWN = ("mix_tokens", "mix_epoch", "mix_block", "mix_weight", "mix_order")
 
 
 def weights(tokens: dict[str, int], alpha: float) -> dict[str, float]:
@@ -68,7 +69,7 @@ def mix(docs: DataFrame, max_repetition: float | None = MAX_REPETITION, target_e
         text_col: str = "text") -> DataFrame:
     """The mixed rows: all columns of ``docs`` plus ``mix_tokens`` (blank-separated words), ``mix_epoch`` (0 on),
     ``mix_block``, ``mix_weight`` (of the source) and ``mix_order`` (0..1: sorting by it interleaves the sources by weight, in
-    permuted blocks).
+    permuted blocks). Columns of ``docs`` with these names are replaced.
 
     A null source counts as the source ""; a null or empty text has no tokens and rides along with every whole epoch
     of its source; sources without any token appear once; null ids and repeated rows are rows like any other; an empty
@@ -112,4 +113,4 @@ def mix(docs: DataFrame, max_repetition: float | None = MAX_REPETITION, target_e
     place = F.pmod(F.xxhash64("mix_block", "mix_epoch", F.lit(seed + 1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     out = out.withColumn("mix_order", (F.col("mix_epoch") + place) / (F.col("__epochs") + F.when(
         F.col("__rest") > 0, F.lit(1)).otherwise(F.lit(0))))
-    return out.select(*docs.columns, "mix_tokens", "mix_epoch", "mix_block", "mix_weight", "mix_order")
+    return out.select(*[F.col(c) for c in docs.columns if c not in OWN], *OWN)

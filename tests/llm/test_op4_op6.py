@@ -129,6 +129,8 @@ def test_mix_keeps_all_and_meets_quotas(spark, edge):
     assert mixed.columns[:5] == edge.columns
     check_mix(ROWS, mixed.collect())
     assert mixing.mix(edge.limit(0)).count() == 0
+    clash = mixing.mix(edge.withColumnRenamed("left", "mix_tokens"))
+    assert sorted(clash.columns) == sorted([*edge.columns[:4], *mixing.OWN]) and clash.count() == mixed.count()
 
 
 def test_mix_hot_source_and_budget(spark):
