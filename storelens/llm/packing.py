@@ -28,7 +28,7 @@ PART = 16_384
 MERGE = 32  # parts whose leftovers are merged together
 END_ID = 2
 _NO_ID = -(1 << 63)
-_WORDS = 200_000  # words remembered per Python worker
+_WORDS = 300_000  # words remembered per Python worker
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
 
@@ -136,9 +136,9 @@ def tokenised(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = Non
         with returned_memory():
             for batch in batches:
                 ids, texts = batch.column(0).to_pylist(), batch.column(1)
-                for at in range(0, len(ids), 512):
+                for at in range(0, len(ids), 1000):
                     rows = []
-                    for doc, seq in zip(ids[at:at + 512], encode(texts[at:at + 512].to_pylist()), strict=True):
+                    for doc, seq in zip(ids[at:at + 1000], encode(texts[at:at + 1000].to_pylist()), strict=True):
                         for s in range(0, len(seq), length):
                             piece = seq[s:s + length]
                             rows.append((doc, s, len(piece), zlib.crc32(piece.tobytes()), len(seq), piece))
