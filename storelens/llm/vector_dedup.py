@@ -5,10 +5,13 @@ one node per class. Cluster centres come from a bounded sample (``SAMPLE`` class
 a cluster should hold about ``SHARD`` nodes. Every node joins its ``OVERLAP`` nearest clusters. Each shard links its nodes to their
 nearest ones there and prunes robustly (a neighbour is dropped when a kept one is clearly nearer to it). A node's
 lists from all its shards are united. Then every node is a query in each of its shards: greedy search from the shard's medoid and
-range expansion over all nodes within the threshold, the query's own node included.
+range expansion over all nodes within the threshold, the query's own node included. Then the expansion crosses shards: a query goes on
+to the other shards of the nodes it has reached, is compared there with every node, and so on in rounds until no node within the threshold
+lies in a shard it has not seen. A group of near vectors cut over any number of shards is so met as a whole; the visits
+grow with the shards that hold links of a query, not with all shards.
 
-A pair is counted in the first shard that both nodes share only, so counts add up without listing pairs; a shard
-emits the links of a spanning forest only, and connected components join the shards. Every link is a cosine in double precision.
+A pair that shares a shard is counted in the first one only; any other where its query first meets the node. So counts add up
+without listing pairs; a shard emits the links of a spanning forest only, and connected components join the shards. Every link is a cosine in double precision.
 ``audit`` measures the recall of the counts against brute force for all ids divisible by 20.
 """
 
@@ -30,6 +33,7 @@ NEAREST = 40
 DEGREE = 20
 ALPHA = 1.2
 BEAM = 12
+FOUND = "a long, b long, n long, next array<long>"
 
 
 def valid(v) -> F.Column:
@@ -157,6 +161,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
         F.min("vec_id").alias("rep"), F.count("*").alias("members"), F.first("v").alias("v")), "vector-classes")
     shards = _shards(classes, shard, sample)
     found = write_once(_links(shards, threshold), "vector-links")
+    found = _across(shards, found, threshold, shard)
     linked = components(found.where("b IS NOT NULL").select("a", "b"), "vectors")
     counts = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n"))
     of = (classes.select("h", "g", "rep", "members").join(counts.withColumnRenamed("a", "rep"), "rep", "left")
@@ -207,7 +212,8 @@ def _shards(classes: DataFrame, shard: int, sample: int) -> DataFrame:
 
 
 def _links(shards: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, n): a link of the spanning forest (n null), or with b null the number of vectors linked with a."""
+    """(a, b, n, next): a link of the spanning forest (n null), or with b null the number of vectors linked with a and
+    the shards, other than its own, of the nodes a has reached."""
 
     def build(f):
         import numpy as np
@@ -225,7 +231,6 @@ def _links(shards: DataFrame, threshold: float) -> DataFrame:
 
     def search(f):
         import numpy as np
-        import pandas as pd
 
         f = f.sort_values("rep", ignore_index=True)
         ids, here = f["rep"].to_numpy(), int(f["shard"].iloc[0])
@@ -241,12 +246,13 @@ def _links(shards: DataFrame, threshold: float) -> DataFrame:
                 i = parent[i]
             return i
 
-        a, b, n = [], [], []
+        a, b, n, beyonds = [], [], [], []
         for q in range(len(ids)):
-            total = 0
+            total, beyond = 0, set()
             for j in range_search(x, lists, q, start, threshold):
                 if j == q:
                     continue
+                beyond |= homes[j]
                 if min(homes[q] & homes[j]) == here:
                     total += int(members[j])
                 i, k = root(q), root(j)
@@ -255,13 +261,99 @@ def _links(shards: DataFrame, threshold: float) -> DataFrame:
                     a.append(ids[q])
                     b.append(ids[j])
                     n.append(None)
-            if total:
+                    beyonds.append(None)
+            beyond -= homes[q]
+            if total or beyond:
                 a.append(ids[q])
                 b.append(None)
                 n.append(total)
-        return pd.DataFrame({"a": pd.array(a, "Int64"), "b": pd.array(b, "Int64"), "n": pd.array(n, "Int64")})
+                beyonds.append(sorted(beyond))
+        return _found(a, b, n, beyonds)
+
+    return shards.join(graph, "rep", "left").groupBy("shard").applyInPandas(search, FOUND)
+
+
+def _found(a, b, n, beyond):
+    import pandas as pd
 
-    return shards.join(graph, "rep", "left").groupBy("shard").applyInPandas(search, "a long, b long, n long")
+    return pd.DataFrame({"a": pd.array(a, "Int64"), "b": pd.array(b, "Int64"), "n": pd.array(n, "Int64"),
+                         "next": pd.Series(beyond, dtype=object)})
+
+
+def _across(shards: DataFrame, found: DataFrame, threshold: float, shard: int) -> DataFrame:
+    """``found`` and the links of every query with the nodes of the shards it goes on to, round by round.
+
+    ``done`` holds the shards a query has seen, ``now`` those of this round. The visitors of a shard are dealt to as many
+    tasks as keep each to about ``shard`` of them.
+    """
+    nodes = shards.select("shard", "rep", "members", "v", "shards")
+    vectors = shards.where(F.col("shard") == F.get("shards", F.lit(0))).select("rep", "v", F.col("shards").alias("done"))
+    every, round_, last = found, 0, found
+
+    def go_on(last):
+        return last.where("size(next) > 0").select(F.col("a").alias("rep"), F.explode("next").alias("s")).groupBy("rep").agg(
+            F.collect_set("s").alias("s"))
+
+    state = vectors.join(go_on(last), "rep").select("rep", "v", "done", F.array_sort(F.array_except("s", "done")).alias("now"))
+    while True:
+        state = write_once(state.where("size(now) > 0"), f"vector-visits-{round_}")
+        if state.isEmpty():
+            return every
+        visits = state.withColumn("shard", F.explode("now"))
+        tasks = visits.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(shard)).cast("long").alias("tasks"))
+        left = visits.join(tasks, "shard").select(
+            "shard", F.pmod(F.xxhash64("rep", "shard"), F.col("tasks")).alias("task"), "rep", "v", "done", "now",
+            F.lit(None).cast("long").alias("members"), F.lit(None).cast("array<long>").alias("shards"))
+        right = nodes.join(tasks, "shard").select(
+            "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"), "rep", "v",
+            F.lit(None).cast("array<long>").alias("done"), F.lit(None).cast("array<long>").alias("now"), "members", "shards")
+
+        def visit(f):
+            import numpy as np
+
+            asked, there = f[f["shards"].isna()], f[f["shards"].notna()]
+            if asked.empty:
+                return _found([], [], [], [])
+            asked, there = (t.sort_values("rep", ignore_index=True) for t in (asked, there))
+            x, y, here = np.stack(asked["v"].to_numpy()), np.stack(there["v"].to_numpy()), int(f["shard"].iloc[0])
+            q, ids, members = asked["rep"].to_numpy(), there["rep"].to_numpy(), there["members"].to_numpy().astype(np.int64)
+            homes = list(there["shards"])
+            a, b, n, beyond = [], [], [], []
+            label, roots = np.arange(len(y)), []
+            for i in range(len(x)):
+                near = np.flatnonzero(y @ x[i] >= threshold)
+                done, now = set(asked["done"][i]), set(asked["now"][i])
+                total, more = 0, set()
+                for j in near.tolist():
+                    if done.isdisjoint(homes[j]):
+                        more.update(homes[j])
+                        if min(now.intersection(homes[j])) == here:
+                            total += int(members[j])
+                if len(near):
+                    a.append(q[i])
+                    b.append(None)
+                    n.append(total)
+                    beyond.append(sorted(more - now))
+                    old = np.unique(label[near])
+                    roots.append(old[0])
+                    if len(old) > 1:
+                        label[np.isin(label, old)] = old[0]
+            roots_of = iter(roots)
+            for i in list(a):
+                a.append(i)
+                b.append(ids[next(roots_of)])
+            for j in np.flatnonzero(label != np.arange(len(y))):
+                a.append(ids[j])
+                b.append(ids[label[j]])
+            n += [None] * (len(a) - len(n))
+            beyond += [None] * (len(a) - len(beyond))
+            return _found(a, b, n, beyond)
+
+        last = write_once(left.unionAll(right).groupBy("shard", "task").applyInPandas(visit, FOUND), f"vector-links-{round_}")
+        every = every.unionAll(last)
+        seen = state.select("rep", "v", F.array_union("done", "now").alias("done"))
+        state = seen.join(go_on(last), "rep").select("rep", "v", "done", F.array_sort(F.array_except("s", "done")).alias("now"))
+        round_ += 1
 
 
 def audit(vectors: DataFrame, result: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id",

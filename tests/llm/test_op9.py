@@ -53,6 +53,21 @@ def test_many_shards_recall(spark):
     assert np.mean([r.component_id == want[r.vec_id][1] for r in got.collect()]) > 0.98
 
 
+def test_cloud_over_many_shards(spark):
+    """A third of the rows are distinct vectors near one point, several times a shard: every link between them counts."""
+    rng = np.random.default_rng(5)
+    point, base = rng.normal(size=24), rng.normal(size=(40, 24))
+    rows = [(i, (point + rng.normal(size=24) * 0.25).tolist()) for i in range(700)]
+    rows += [(700 + i, (base[i % 40] + rng.normal(size=24) * 0.2).tolist()) for i in range(1400)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vector_dedup.near_vectors(t, shard=70).collect()
+    want = {i: (n, c) for i, n, c in brute(rows)}
+    assert sum(n for i, (n, _) in want.items() if i < 700) > 100 * 700
+    assert all(r.n_links <= want[r.vec_id][0] for r in got)
+    assert sum(r.n_links for r in got) >= 0.995 * sum(n for n, _ in want.values())
+    assert np.mean([r.component_id == want[r.vec_id][1] for r in got]) > 0.99
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]),
