@@ -2,7 +2,9 @@
 
 Vectors that are equal component by component form one class first (a third of all rows may be one vector); the graph holds
 one node per class. Cluster centres come from a bounded sample (``SAMPLE`` classes, by a hash), split again and again until
-a cluster should hold about ``SHARD`` nodes. Every node joins its ``OVERLAP`` nearest clusters. Each shard links its nodes to their
+a cluster should hold about ``SHARD`` nodes. Every node joins its ``OVERLAP`` nearest clusters. Spark counts the nodes of each
+cluster; one above 2 x ``OVERLAP`` x ``SHARD`` is split again, with centres fitted on a bounded sample of its own, until none is left (one that
+no centres can split, such as vectors of one direction, is dealt by a hash, two places a node). Each shard links its nodes to their
 nearest ones there and prunes robustly (a neighbour is dropped when a kept one is clearly nearer to it). A node's
 lists from all its shards are united. Then every node is a query in each of its shards: greedy search from the shard's medoid and
 range expansion over all nodes within the threshold, the query's own node included. Then the expansion crosses shards: a query goes on
@@ -29,6 +31,8 @@ THRESHOLD = 0.9
 SAMPLE = 16_384
 SHARD = 1500
 OVERLAP = 2
+SPLIT_SAMPLE = 4096
+SPLITS = 8  # rounds; what is still too large then is dealt by a hash
 NEAREST = 40
 DEGREE = 20
 ALPHA = 1.2
@@ -183,12 +187,13 @@ def _shards(classes: DataFrame, shard: int, sample: int) -> DataFrame:
     by_size = {}
     for r in chosen:
         by_size.setdefault(len(r["v"]), []).append(r["v"])
-    leaves, first = {}, 0
+    tables = {}
     for d, n in sorted(sizes.items()):
-        x = np.array(by_size.get(d, []) or [[1.0] * d])
-        x /= np.abs(x).max(1, keepdims=True)
-        leaves[d] = (first, centres(x / np.linalg.norm(x, axis=1, keepdims=True), n, shard))
-        first += len(leaves[d][1])
+        x = _unit(np.array(by_size.get(d, []) or [[1.0] * d]))
+        c = centres(x, n, shard)
+        tables[d] = (c, np.ones(len(c), np.int64))
+    tables = _bounded(classes, tables, 2 * OVERLAP * shard, shard)
+    starts = _starts(tables)
 
     def assign(frames):
         import pandas as pd
@@ -196,14 +201,12 @@ def _shards(classes: DataFrame, shard: int, sample: int) -> DataFrame:
         for f in frames:
             out = []
             for d, part in f.groupby(f["v"].map(len)):
-                base, c = leaves[d]
-                x = np.stack(part["v"].to_numpy())
-                x = x / np.abs(x).max(1, keepdims=True)
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                near = np.sort(base + np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :OVERLAP], axis=1)
-                for j in range(near.shape[1]):
-                    out.append(pd.DataFrame({"shard": near[:, j], "rep": part["rep"].to_numpy(), "members": part["members"].to_numpy(),
-                                             "v": list(x), "shards": list(near)}))
+                x = _unit(np.stack(part["v"].to_numpy()))
+                near = _homes(x, part["rep"].to_numpy(), *tables[d], starts[d])
+                at = np.repeat(np.arange(len(near)), [len(h) for h in near])
+                out.append(pd.DataFrame({"shard": np.concatenate(near), "rep": part["rep"].to_numpy()[at],
+                                         "members": part["members"].to_numpy()[at], "v": [x[i] for i in at],
+                                         "shards": [near[i] for i in at]}))
             if out:
                 yield pd.concat(out)
 
@@ -211,6 +214,112 @@ def _shards(classes: DataFrame, shard: int, sample: int) -> DataFrame:
         assign, "shard long, rep long, members long, v array<double>, shards array<long>"), "vector-shards")
 
 
+def _unit(x):
+    import numpy as np
+
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _mix(rep, salt):
+    """Even 64-bit hashes of ids and salts."""
+    import numpy as np
+
+    h = rep.astype(np.int64).view(np.uint64) + (np.asarray(salt).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(by)
+    return h ^ (h >> np.uint64(31))
+
+
+def _starts(tables: dict) -> dict:
+    """First shard of each cluster, by vector length: a cluster has as many shards as ``pieces``."""
+    import numpy as np
+
+    out, first = {}, 0
+    for d, (_, pieces) in sorted(tables.items()):
+        out[d] = first + np.cumsum(pieces) - pieces
+        first += int(pieces.sum())
+    return out
+
+
+def _homes(x, rep, c, pieces, starts) -> list:
+    """The shards of each row of ``x``, ascending: one of each of its nearest clusters, and a second one of the nearest if that is dealt."""
+    import numpy as np
+
+    out = []
+    step = max(1, 4_000_000 // len(c))
+    for at in range(0, len(x), step):
+        near = np.argsort(-(x[at:at + step] @ c.T), axis=1, kind="stable")[:, :OVERLAP]
+        near = np.concatenate([near, near[:, :1]], axis=1)
+        ids = rep[at:at + step, None]
+        part = (_mix(ids, near * 2 + (np.arange(near.shape[1]) == near.shape[1] - 1)) % pieces[near].astype(np.uint64)).astype(np.int64)
+        out += [np.unique(h) for h in starts[near] + part]
+    return out
+
+
+def _bounded(classes: DataFrame, tables: dict, bound: int, shard: int) -> dict:
+    """``tables`` (by vector length: centres, shards per cluster) with every cluster above ``bound`` nodes split or dealt."""
+    import numpy as np
+
+    rows = classes.select("rep", "v")
+    for round_ in range(SPLITS + 1):
+        starts = _starts(tables)
+
+        def count(frames, tables=tables, starts=starts):
+            import pandas as pd
+
+            for f in frames:
+                for d, part in f.groupby(f["v"].map(len)):
+                    homes = _homes(_unit(np.stack(part["v"].to_numpy())), part["rep"].to_numpy(), *tables[d], starts[d])
+                    ids, n = np.unique(np.concatenate(homes), return_counts=True)
+                    yield pd.DataFrame({"shard": ids, "n": n})
+
+        large = {r["shard"]: r["n"] for r in rows.mapInPandas(count, "shard long, n long").groupBy("shard").agg(
+            F.sum("n").alias("n")).where(F.col("n") > bound).collect()}
+        if not large:
+            return tables
+
+        def chosen(frames, tables=tables, starts=starts, large=large):
+            import pandas as pd
+
+            for f in frames:
+                out = []
+                for d, part in f.groupby(f["v"].map(len)):
+                    x, rep = _unit(np.stack(part["v"].to_numpy())), part["rep"].to_numpy()
+                    share = _mix(rep, 1 << 40) / 2.0 ** 64
+                    for i, homes in enumerate(_homes(x, rep, *tables[d], starts[d])):
+                        out += [(h, large[h], x[i]) for h in homes.tolist() if h in large and share[i] * large[h] < SPLIT_SAMPLE]
+                yield pd.DataFrame(out, columns=["shard", "n", "v"]).astype({"shard": "int64", "n": "int64"})
+
+        def fit(f):
+            import pandas as pd
+
+            x = np.stack(f["v"].to_numpy())
+            c = centres(x, int(f["n"].iloc[0]), shard)
+            if np.bincount((x @ c.T).argmax(1)).max() > 0.9 * len(x):  # no centres split it
+                c = c[:0]
+            return pd.DataFrame({"shard": f["shard"].iloc[:1], "c": [list(c)]})
+
+        new = {}
+        if round_ < SPLITS:
+            new = {r["shard"]: np.array(r["c"]) for r in rows.mapInPandas(chosen, "shard long, n long, v array<double>").groupBy(
+                "shard").applyInPandas(fit, "shard long, c array<array<double>>").collect()}
+        after = {}
+        for d, (c, pieces) in tables.items():
+            rows_c, rows_p = [], []
+            for i in range(len(c)):
+                n = max((large.get(int(starts[d][i]) + k, 0) for k in range(pieces[i])), default=0)
+                if n and pieces[i] == 1 and len(new.get(int(starts[d][i]), ())):
+                    rows_c += list(new[int(starts[d][i])])
+                    rows_p += [1] * (len(rows_c) - len(rows_p))
+                else:
+                    rows_c.append(c[i])
+                    rows_p.append(int(pieces[i]) * (math.ceil(4 * n / bound) if n else 1))
+            after[d] = (np.stack(rows_c), np.array(rows_p, np.int64))
+        tables = after
+    return tables
+
+
 def _links(shards: DataFrame, threshold: float) -> DataFrame:
     """(a, b, n, next): a link of the spanning forest (n null), or with b null the number of vectors linked with a and
     the shards, other than its own, of the nodes a has reached."""

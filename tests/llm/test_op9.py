@@ -68,6 +68,27 @@ def test_cloud_over_many_shards(spark):
     assert np.mean([r.component_id == want[r.vec_id][1] for r in got]) > 0.99
 
 
+def test_shards_are_bounded(spark):
+    """A sample too small to shape the clusters, and many vectors of one direction: no shard is above the bound, links are kept."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(50, 12))
+    rows = [(i, (base[i % 50] + rng.normal(size=12) * 0.15).tolist()) for i in range(1500)]
+    rows += [(1500 + i, (base[7] * (1 + i / 1000)).tolist()) for i in range(500)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    classes = t.selectExpr("vec_id AS rep", "1L AS members", "embedding AS v")
+    placed = vector_dedup._shards(classes, 25, 16).collect()
+    sizes = {}
+    for r in placed:
+        sizes[r.shard] = sizes.get(r.shard, 0) + 1
+        assert r.shard in r.shards and list(r.shards) == sorted(set(r.shards))
+    assert max(sizes.values()) <= 2 * vector_dedup.OVERLAP * 25, sorted(sizes.values())[-5:]
+    assert {r.rep for r in placed} == set(range(2000)) and len(placed) <= 3 * 2000
+    got = vector_dedup.near_vectors(t, shard=25, sample=16).collect()
+    want = {i: (n, c) for i, n, c in brute(rows)}
+    assert all(r.n_links <= want[r.vec_id][0] for r in got)
+    assert sum(r.n_links for r in got) >= 0.99 * sum(n for n, _ in want.values())
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]),
