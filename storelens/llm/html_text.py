@@ -48,31 +48,58 @@ _FRAME_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising"
                 "widget", "widgets"}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?([a-zA-Z][^\s/>]*)"
                   r"((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>", re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
+# Frame words that also name the wrapper of a whole page: an article below may be the page's own.
+_WRAPPERS = {"banner", "header", "masthead", "menu", "nav", "navbar", "navigation", "notice", "promo", "share", "sharing", "sidebar", "social",
+             "toolbar", "topbar", "widget", "widgets"}
+_STATES = {"has", "have", "with", "without", "no", "not", "is", "show", "hide", "after", "before", "below"}
+_HOLDERS = {"layout", "wrapper", "wrap", "page", "container", "content", "body", "main", "open", "closed", "enabled", "visible"}
+_READ = {"main", "open", "maybe", "form"}
 _SPACE = re.compile(r"\s+")
 
 
-def _is_frame(name: str, attrs: str) -> bool:
+def _attributes(attrs: str | None) -> dict[str, str]:
+    """Attribute names and values in lower case, the first of a name."""
+    out: dict[str, str] = {}
+    for key, a, b, c in _ATTR.findall(attrs or ""):
+        if key:
+            out.setdefault(key.lower(), (a or b or c).lower())
+    return out
+
+
+def _words(value: str) -> set[str]:
+    """Frame words of a class or id: a token itself, or a part of it unless it tells a state (has-sidebar) or a holder (header-wrapper)."""
+    found = set()
+    for token in value.split():
+        parts = [x for x in re.split(r"[^a-z0-9]+", token) if x]
+        if len(parts) == 1 or (parts and parts[0] not in _STATES and parts[-1] not in _HOLDERS):
+            found.update(_FRAME_WORDS.intersection(parts))
+    return found
+
+
+def _frame_kind(name: str, attrs: dict[str, str]) -> str:
+    """``frame``, ``soft`` (by wrapper words only), ``form``, or nothing."""
+    if name == "form":
+        return "form"
     if name in _FRAME:
-        return True
+        return "frame"
     if name in _MAIN or name in ("body", "html") or not attrs:
-        return False
-    for key, a, b, c in _ATTR.findall(attrs):
-        key, value = key.lower(), (a or b or c).lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true") or (
-                key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return True
-        if key == "role" and value in _FRAME_ROLES:
-            return True
-        if key in ("class", "id") and any(w in _FRAME_WORDS for w in re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+        return ""
+    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(
+            r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")) or attrs.get("role") in _FRAME_ROLES:
+        return "frame"
+    words = _words(attrs.get("class", "")) | _words(attrs.get("id", ""))
+    return "" if not words else "soft" if words <= _WRAPPERS else "frame"
 
 
 def blocks(page: str | None) -> list[tuple[str, str]]:
-    """(role, text line) of a page's blocks in page order; role ``main`` or ``open``, frames left out."""
+    """(role, text line) of a page's blocks in page order; role ``main`` or ``open``, frames left out.
+
+    A main element below a form or a wrapper word is main. An article below a wrapper word is main if the page has no other main line;
+    the text of a form is open if the page has no line besides it.
+    """
     out: list[tuple[str, str]] = []
-    stack: list[tuple[str, str]] = []  # open elements and the role inside: main, open, frame or skip
+    stack: list[tuple[str, str]] = []  # open elements and the role inside: main, open, frame, soft, form, maybe or skip
     line: list[str] = []
     role = "open"
     page = page or ""
@@ -88,7 +115,7 @@ def blocks(page: str | None) -> list[tuple[str, str]]:
     while at < end:
         m = _TAG.search(page, at)
         stop = m.start() if m else end
-        if stop > at and role in ("main", "open"):
+        if stop > at and role in _READ:
             line.append(page[at:stop])
         if not m:
             break
@@ -108,7 +135,7 @@ def blocks(page: str | None) -> list[tuple[str, str]]:
         if name in _BLOCK:
             flush()
         if name in _VOID:
-            if name == "br" and role in ("main", "open"):
+            if name == "br" and role in _READ:
                 line.append(" ")
             continue
         if name in _BLOCK and stack and stack[-1][0] == "p":
@@ -116,12 +143,19 @@ def blocks(page: str | None) -> list[tuple[str, str]]:
             role = stack[-1][1] if stack else "open"
         if name in _SKIP:
             inside = "skip"
-        elif role in ("skip", "frame") or _is_frame(name, m[2]):
-            inside = role if role == "skip" else "frame"
-        elif name in _MAIN or re.search(r"role\s*=\s*[\"']?main\b", m[2] or "", re.I):
-            inside = "main"
-        else:
+        elif role in ("skip", "frame"):
             inside = role
+        else:
+            attrs = _attributes(m[2])
+            kind, main = _frame_kind(name, attrs), name == "main" or attrs.get("role") == "main"
+            if kind:
+                inside = "frame" if role == "maybe" else "soft" if role == "soft" and kind == "form" else kind
+            elif main and role != "maybe":
+                inside = "main"
+            elif name in _MAIN and role != "maybe":
+                inside = "maybe" if role == "soft" else "main"
+            else:
+                inside = role
         if inside != role:
             flush()
         if (m[2] or "").endswith("/") and name not in _BLOCK:
@@ -132,7 +166,9 @@ def blocks(page: str | None) -> list[tuple[str, str]]:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close.start() if close else end
     flush()
-    return out
+    roles = {r for r, _ in out}
+    as_main, as_open = {"main"} if "main" in roles else {"maybe"}, {"open"} if roles - {"form"} else {"form"}
+    return [("main" if r in as_main else "open", t) for r, t in out if r in as_main or r in as_open]
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:

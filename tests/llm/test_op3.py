@@ -53,6 +53,23 @@ def test_blocks_by_hand():
     assert html_text.blocks("<div " + "a='" * 20_000) and html_text.blocks("<p>" * 50_000 + "x") == [("open", "x")]
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<div class="layout has-sidebar"><article><p>a</p></article><div class="sidebar">s</div></div>', ["a"]),
+    ('<div class="layout has-sidebar"><p>a</p></div>', ["a"]),
+    ('<div class="sidebar"><article>a</article></div><footer>f</footer>', ["a"]),
+    ('<div class="header"><main>a</main></div>', ["a"]),
+    ('<article>a</article><div class="sidebar"><article>teaser</article></div>', ["a"]),
+    ('<div class="comments"><article>c</article></div><p>a</p>', ["a"]),
+    ('<form id="aspnetForm" method=post><div class="menu">m</div><main>a</main></form>', ["a"]),
+    ('<form id="aspnetForm"><nav>m</nav><p>a</p><p>b</p></form>', ["a", "b"]),
+    ('<p>a</p><form><p>your name</p></form>', ["a"]),
+    ('<p title="the hidden city">a</p><div data-hidden="false">b</div><p data-class="menu">c</p>', ["a", "b", "c"]),
+    ('<p hidden>a</p><div class=menu>b</div><div id="site-header">c</div><p data-x="role=main" class="x">d</p>', ["d"]),
+])
+def test_frames_by_whole_attributes(page, want):
+    assert [t for _, t in html_text.blocks(page)] == want
+
+
 def brute_lcs(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
