@@ -4,14 +4,17 @@ A page is cut into blocks (one text line each) and every block gets a role: ``ma
 elements, ``frame`` inside menus, headers, footers, sidebars, notices, adverts, forms and reader comments (by
 element, role or class words), else ``open``. Frames are dropped. Open lines are settled by differencing: pages of a host are
 ordered by URL path, each is paired with the neighbour whose path shares the longer head, the two pages'
-open lines are aligned by longest common subsequence, and shared lines are deleted as the host's template. Lines inside
-main elements are never deleted, nor the lines of a pair that agrees almost everywhere (copies of one page say nothing about a
-template), so copies and pages with a main element keep their whole article.
-
-Plan: the first pass reads the pages and emits only URLs and 64-bit hashes of open lines. Those narrow rows are
-sorted by (host, path, id) over the cluster, numbered, and compared in chunks of ``CHUNK`` neighbours with one row of overlap at
-either end, so a host with a third of all pages is spread like any other. The result, the positions of deleted lines, joins the pages
-whose second pass gives the text. Pages with no open line skip the pairing.
+open lines are aligned by longest common subsequence, and shared lines are deleted as the host's template. A pair that agrees
+almost everywhere may be copies, whose shared lines say nothing about a template, or pages with little text of their own. There, and for
+lines inside main elements, the whole host decides: a line goes if at least half of the host's different pages, and three or more, have it
+(pages with the same longest line are copies and count once), unless hardly any text of the page would be left. So copies keep
+their whole article, and a repeated notice inside an article goes.
+
+Plan: the first pass reads the pages and writes only URLs, 64-bit hashes and lengths of lines. Pages per host and line are counted on
+them by Spark aggregates; a host's common lines are few (on average at most twice those of a page) and join its pages.
+The rows with open lines are sorted by (host, path, id) over the cluster, numbered, and compared in chunks of ``CHUNK`` neighbours with one row
+of overlap at either end, so a host with a third of all pages is spread like any other. The result, the positions of deleted lines, joins
+the pages, whose second pass gives the text.
 """
 
 from __future__ import annotations
@@ -27,7 +30,11 @@ from storelens.llm.common import text_batches, write_once
 from storelens.session import ship_package
 
 CHUNK = 512
-COPY_SHARE = 0.8  # of the longer page's lines: from here on a pair counts as copies
+COPY_SHARE = 0.8  # of the longer page's lines: from here on a pair may be copies, and the host decides
+DEALS = 64
+HOST_PAGES = 3  # different pages a host must have to decide
+HOST_SHARE = 0.5  # of the host's different pages: from here on a line is common to the host
+OWN_SHARE = 0.05  # of a page's characters: with less left, the host's common lines stay
 
 # Element names by their part in a page.
 _SKIP = {"script", "style", "noscript", "template", "head", "title", "svg", "math", "iframe", "object", "canvas", "select",
@@ -249,8 +256,9 @@ def split_url(url: str | None) -> tuple[str, str]:
     return host, u.path.rstrip("/") + (f"?{u.query}" if u.query else "")
 
 
-def shared_lines(paths: list[tuple[str, str]], lines: list[list[int]], i: int) -> list[int]:
-    """Positions of page i's open lines that its nearest neighbour in URL order shares; none for copies."""
+def shared_lines(paths: list[tuple[str, str]], lines: list[list[int]], i: int, common: list[int] | None = None) -> list[int]:
+    """Positions of page i's open lines that its nearest neighbour in URL order shares; for pairs that agree almost
+    everywhere, ``common``: the positions of lines common to the host."""
     best = None
     for j in (i - 1, i + 1):
         if 0 <= j < len(paths) and paths[j][0] == paths[i][0] and paths[i][0]:
@@ -265,7 +273,18 @@ def shared_lines(paths: list[tuple[str, str]], lines: list[list[int]], i: int) -
         return []
     a, b = lines[i], lines[best[1]]
     found = common_lines(a, b)
-    return [] if len(found) >= COPY_SHARE * max(len(a), len(b)) else found
+    return list(common or []) if len(found) >= COPY_SHARE * max(len(a), len(b)) else found
+
+
+def _host_lines(pages: DataFrame) -> DataFrame:
+    """(host, common): hashes of the lines that at least ``HOST_SHARE`` of the host's different pages have."""
+    longest = F.aggregate(F.arrays_zip("sizes", "lines"), F.struct(F.lit(0).alias("sizes"), F.lit(0).cast("long").alias("lines")),
+                          lambda a, b: F.greatest(a, b))["lines"]
+    told = pages.select("host", "lines", longest.alias("longest"))
+    hosts = told.select("host", "longest").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= HOST_PAGES)
+    counts = told.select("host", "longest", F.explode("lines").alias("line")).distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") >= HOST_PAGES).join(hosts, "host").where(F.col("n") >= F.col("pages") * HOST_SHARE).groupBy("host").agg(
+        F.collect_list("line").alias("common"))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -288,14 +307,29 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         for f in frames:
             out = []
             for k, url, page in zip(f["k"], f["url"], f["html"], strict=True):
-                lines = [t for r, t in blocks(page if isinstance(page, str) else None) if r == "open"]
-                if lines and isinstance(url, str):
-                    host, path = split_url(url)
-                    if host:
-                        out.append((k, host, path, _hash(lines)))
-            yield pd.DataFrame(out, columns=["k", "host", "path", "lines"]).astype({"k": "int64"})
-
-    narrow = keyed.select("k", "url", "html").mapInPandas(outline, "k long, host string, path string, lines array<long>")
+                host, path = split_url(url) if isinstance(url, str) else ("", "")
+                found = blocks(page if isinstance(page, str) else None) if host else []
+                if found:
+                    out.append((k, host, path, _hash([t for _, t in found]), [len(t) for _, t in found],
+                                [i for i, (r, _) in enumerate(found) if r == "open"]))
+            yield pd.DataFrame(out, columns=["k", "host", "path", "lines", "sizes", "open"]).astype({"k": "int64"})
+
+    narrow = write_once(keyed.select("k", "url", "html").mapInPandas(
+        outline, "k long, host string, path string, lines array<long>, sizes array<int>, open array<int>"), "page-lines")
+    at = F.sequence(F.lit(0), F.size("lines") - 1)
+    everywhere = F.coalesce(F.filter(at, lambda i: F.array_contains("common", F.get("lines", i))), F.array().cast("array<int>"))
+    size = lambda places: F.aggregate(places, F.lit(0).cast("long"), lambda n, i: n + F.get("sizes", i))
+    # a host's pages meet its lines in DEALS tasks
+    common = _host_lines(narrow).withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+    narrow = narrow.withColumn("deal", F.pmod("k", F.lit(DEALS)).cast("int")).join(common, ["host", "deal"], "left").withColumn(
+        "everywhere", everywhere)
+    narrow = narrow.withColumn("everywhere", F.when(
+        size(F.array_except(at, "everywhere")) >= size(at) * OWN_SHARE, F.col("everywhere")).otherwise(F.array().cast("array<int>")))
+    narrow = write_once(narrow.select("k", "host", "path", F.transform("open", lambda i: F.get("lines", i)).alias("lines"), "open",
+                                      F.array_intersect("open", "everywhere").alias("common"),
+                                      F.array_except("everywhere", "open").alias("inside")), "host-lines")
+    inside = narrow.where("size(inside) > 0").select("k", F.col("inside").alias("gone"))
+    narrow = narrow.where("size(open) > 0").drop("inside")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = write_once(
         narrow.repartitionByRange(parts, "host", "path", "k").sortWithinPartitions("host", "path", "k")
@@ -317,14 +351,16 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         f = f.sort_values("place", ignore_index=True)
         paths, lines = list(zip(f["host"], f["path"], strict=True)), [list(x) for x in f["lines"]]
         out = []
-        for i, (k, place) in enumerate(zip(f["k"], f["place"], strict=True)):
+        for i, (k, place, opens, common) in enumerate(zip(f["k"], f["place"], f["open"], f["common"], strict=True)):
             if place // CHUNK == key[0]:
-                found = shared_lines(paths, lines, i)
+                here = {p: j for j, p in enumerate(opens)}
+                found = shared_lines(paths, lines, i, [here[p] for p in common])
                 if found:
-                    out.append((k, found))
+                    out.append((k, [opens[j] for j in found]))
         return pd.DataFrame(out, columns=["k", "gone"]).astype({"k": "int64"})
 
-    gone = dealt.groupBy("chunk").applyInPandas(compare, "k long, gone array<int>").groupBy("k").agg(F.first("gone").alias("gone"))
+    gone = dealt.groupBy("chunk").applyInPandas(compare, "k long, gone array<int>").unionAll(inside)
+    gone = gone.groupBy("k").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone"))
     gone = write_once(gone, "shared-lines")
 
     def texts(frames):
@@ -335,12 +371,10 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
             for page, drop in zip(f["html"], f["gone"], strict=True):
                 drop = set() if drop is None else set(drop)
                 lines, n = [], 0
-                for r, t in blocks(page if isinstance(page, str) else None):
-                    if r == "open":
-                        n += 1
-                        if n - 1 in drop:
-                            continue
-                    lines.append(t)
+                for i, (r, t) in enumerate(blocks(page if isinstance(page, str) else None)):
+                    n += r == "open"
+                    if i not in drop:
+                        lines.append(t)
                 text.append("\n".join(lines))
                 opens.append(n)
                 deleted.append(len(drop))

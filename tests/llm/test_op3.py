@@ -111,3 +111,19 @@ def test_differencing(spark, monkeypatch):
     assert by[100].text == "alone" and by[101].text == "no url" and by[102].text == "bad url" and by[103].text == by[104].text == ""
     assert by[None].text == "null id" and by[111].text == "same one\nsame two\nsame three"
     assert html_text.extract_text(pages.limit(0)).count() == 0
+
+
+def test_host_decides_where_pairs_agree(spark):
+    """Much template and little text, copies beside other pages, a notice inside articles; near copies alone keep their text."""
+    menu = "".join(f"<div>Menu entry {j}</div>" for j in range(20))
+    own = [[f"Story {i} tells its own tale number {j}, and it does so at some length." for j in range(4)] for i in range(9)]
+    rows = [(i, f"http://a.example.com/s/{i}", menu + "".join(f"<p>{t}</p>" for t in own[i])) for i in range(9)]
+    rows += [(20 + i, f"http://a.example.com/s/4?ref={i}", rows[4][2]) for i in range(6)]
+    rows += [(40 + i, f"http://b.example.com/{i}", f"<article><p>{own[i][0]}</p><p>Sign up today</p><p>{own[i][1]}</p></article>") for i in range(5)]
+    story = "".join(f"<p>The one story of this host, told in its line {j} at some length.</p>" for j in range(30))
+    rows += [(60 + i, f"http://c.example.com/{i}", f"{story}<p>No. {i}</p>") for i in range(5)]
+    by = {r.page_id: r.text.split("\n") for r in html_text.extract_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(by[i] == own[i] for i in range(9)) and all(by[20 + i] == own[4] for i in range(6))
+    assert all(by[40 + i] == own[i][:2] for i in range(5))
+    assert all(len(by[60 + i]) == 31 for i in range(5))
