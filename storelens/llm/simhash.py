@@ -23,6 +23,7 @@ from storelens.llm.common import write_once
 BITS = 64
 BLOCK_BITS = 12  # 4096 terms of weight 7 or less stay below 2 ** 15, also in the lane that holds the sign
 ORDER_CHUNKS = 1024
+DEALS = 16
 _NO_ID = -(1 << 63)
 _SPREAD = 1 + (1 << 15) + (1 << 30) + (1 << 45)  # a nibble times this has its bit k at place 16 k
 _LANES = 1 + (1 << 16) + (1 << 32) + (1 << 48)
@@ -141,12 +142,36 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return out.select(F.when(F.col("k") != _NO_ID, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")
 
 
+def with_near(rows: DataFrame, radius: int = 3) -> DataFrame:
+    """``rows`` (with ``doc_id`` and ``fp``) with ``n_near`` and ``near_id``, for the queries: ids that divide by 20.
+
+    ``n_near`` counts all other rows whose fingerprint is at most ``radius`` bits away. ``near_id`` is the id of the nearest of
+    them that has one; of equally near ones the smallest, but the smallest of equal fingerprints names the largest.
+    Both are null outside the queries.
+    """
+    rows = write_once(rows, "fingerprint-rows")
+    asked = F.coalesce(F.col("doc_id") % 20 == 0, F.lit(False))
+    groups = write_once(rows.groupBy("fp").agg(F.count("*").alias("n"), F.count("doc_id").alias("ids"), F.min("doc_id").alias("lo"),
+                                               F.max("doc_id").alias("hi"), F.max(asked).alias("asked")), "fingerprint-groups")
+    pairs = near_search(groups.where("asked"), groups, radius)
+    met = pairs.join(groups.select("fp", "n", "ids", "lo", "hi"), "fp").groupBy("query_fp").agg(
+        F.sum("n").alias("__n"), F.min(F.when((F.col("distance") > 0) & (F.col("ids") > 0), F.struct("distance", "lo")))["lo"].alias("__other"),
+        F.max(F.when(F.col("distance") == 0, F.struct("ids", "lo", "hi"))).alias("__same"))
+    # the queries of one fingerprint meet its counts in DEALS tasks
+    met = met.select(F.col("query_fp").alias("fp"), "__n", "__other", "__same", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))).alias("__deal"))
+    same = F.when(F.col("__same.ids") > 1, F.when(F.col("__same.lo") != F.col("doc_id"), F.col("__same.lo")).otherwise(F.col("__same.hi")))
+    found = rows.where(asked).withColumn("__deal", F.pmod(F.xxhash64("doc_id"), F.lit(DEALS)).cast("int")).join(met, ["fp", "__deal"])
+    found = found.select(*rows.columns, (F.col("__n") - 1).alias("n_near"), F.coalesce(same, "__other").alias("near_id"))
+    none = F.lit(None).cast("long")
+    return found.unionAll(rows.where(~asked).select(*rows.columns, none.alias("n_near"), none.alias("near_id")))
+
+
 def digest(rows: DataFrame) -> DataFrame:
-    """The contract's columns from ``fingerprint_documents``."""
-    return rows.select("doc_id", "n_chars", "edited_sha256", as_hex(F.col("fp")).alias("fingerprint"),
+    """The contract's columns from ``fingerprint_documents``, and the search's ``n_near`` and ``near_id``."""
+    return with_near(rows).select("doc_id", "n_chars", "edited_sha256", as_hex(F.col("fp")).alias("fingerprint"),
                        as_hex(F.col("edited_fp")).alias("edited_fingerprint"),
                        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
-                       likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+                       likeness(F.col("fp"), F.col("next_fp")).alias("near_next"), "n_near", "near_id")
 
 
 def near_search(queries: DataFrame, index: DataFrame, radius: int = 3, blocks: int = 6, fp: str = "fp") -> DataFrame:

@@ -86,3 +86,31 @@ def test_near_search_equals_brute_force(spark, radius, blocks):
     got = [(r.query_fp, r.fp) for r in simhash.near_search(df, df, radius, blocks).collect()]
     assert set(got) == {(signed(a), signed(b)) for a in set(fps) for b in set(fps) if (a ^ b).bit_count() <= radius}
     assert len(set(got)) == len(got)
+
+
+def near(rows):
+    """(n_near, ids that may be named) for each (id, fingerprint) whose id divides by 20."""
+    for at, (i, fp) in enumerate(rows):
+        if i is not None and i % 20 == 0:
+            others = [((fp ^ g).bit_count(), j) for k, (j, g) in enumerate(rows) if k != at and (fp ^ g).bit_count() <= 3]
+            first = min((d for d, j in others if j is not None), default=None)
+            yield i, len(others), {j for d, j in others if d == first and j is not None}
+
+
+def test_query_gives_near_documents(spark):
+    got = queries.op8_simhash(spark, SF).collect()
+    want = {i: (n, ids) for i, n, ids in near([(r.doc_id, int(r.fingerprint, 16)) for r in got])}
+    assert any(n for n, _ in want.values())
+    for r in got:
+        n, ids = want.get(r.doc_id, (None, set()))
+        assert r.n_near == n and (r.near_id in ids if ids else r.near_id is None)
+
+
+def test_near_counts_copies_and_null_ids(spark):
+    rows = [(20, 0), (21, 0), (None, 1), (40, 3), (40, 3), (60, 0xFF00), (80, 1 << 40), (3, (1 << 40) + 1), (2, (1 << 40) + 6), (100, 7 << 50)]
+    got = simhash.with_near(spark.createDataFrame(rows, "doc_id long, fp long")).collect()
+    want = {i: (n, ids) for i, n, ids in near(rows)}
+    assert len(got) == len(rows)
+    for r in got:
+        n, ids = want.get(r.doc_id, (None, set()))
+        assert r.n_near == n and (r.near_id in ids if ids else r.near_id is None), r
