@@ -85,12 +85,12 @@ def _from_cents(c: str | Column) -> Column:
     return ((F.col(c) if isinstance(c, str) else c).cast("decimal(28,0)") / 100).cast(schemas.MONEY_SUM)
 
 
-def _union(parts: list[DataFrame], watermark: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
-    if watermark:
-        parts = [watermark(p) for p in parts]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+def _union(parts: Mapping[str, DataFrame], watermark: Callable[[DataFrame, str], DataFrame] | None) -> DataFrame:
+    """W3; ``watermark`` gets each input with its name."""
+    out = None
+    for name, p in parts.items():
+        p = watermark(p, name) if watermark else p
+        out = p if out is None else out.unionByName(p)
     return out
 
 
@@ -121,11 +121,11 @@ def product_events(pages: DataFrame | None = None, order_wide: DataFrame | None
                    payment_wide: DataFrame | None = None, favor: DataFrame | None = None,
                    cart: DataFrame | None = None, refund: DataFrame | None = None,
                    comment: DataFrame | None = None, zone: str = "UTC",
-                   watermark: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                   watermark: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """P13 + W3: the seven inputs as one measure schema (zeros elsewhere), unioned by name. On streams
     ``watermark`` is set on each input before the union, so the slowest input closes the windows."""
     one = F.lit(1)
-    parts: list[DataFrame] = []
+    parts: dict[str, DataFrame] = {}
     if pages is not None:
         # One pass over the page log: the click of a detail page and its product displays.
         hit = F.struct(F.col("page.item").alias("sku"), F.lit(1).alias("click"), F.lit(0).alias("shown"))
@@ -133,28 +133,28 @@ def product_events(pages: DataFrame | None = None, order_wide: DataFrame | None
                             lambda d: F.struct(d["item"].alias("sku"), F.lit(0).alias("click"), F.lit(1).alias("shown")))
         hits = F.concat(F.when(F.col("page.page_id") == GOOD_DETAIL, F.array(hit)).otherwise(F.array()), shown)
         ex = pages.select(F.explode(hits).alias("_h"), "ts")
-        parts.append(ex.select(*_product_row(F.col("_h.sku"), F.col("ts"), click_ct=F.col("_h.click"),
-                                             display_ct=F.col("_h.shown"))))
+        parts["pages"] = ex.select(*_product_row(F.col("_h.sku"), F.col("ts"), click_ct=F.col("_h.click"),
+                                                 display_ct=F.col("_h.shown")))
     if order_wide is not None:
-        parts.append(order_wide.select(*_product_row(
+        parts["order_wide"] = order_wide.select(*_product_row(
             F.col("sku_id"), parse_ms(F.col("create_time"), zone), "order", F.col("order_id"),
-            order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount"))))
+            order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount")))
     if payment_wide is not None:
-        parts.append(payment_wide.select(*_product_row(
+        parts["payment_wide"] = payment_wide.select(*_product_row(
             F.col("sku_id"), parse_ms(F.col("payment_create_time"), zone), "paid", F.col("order_id"),
-            payment_amount=F.col("split_total_amount"))))
+            payment_amount=F.col("split_total_amount")))
     if favor is not None:
-        parts.append(favor.select(*_product_row(F.col("sku_id"), parse_ms(F.col("create_time"), zone), favor_ct=one)))
+        parts["favor"] = favor.select(*_product_row(F.col("sku_id"), parse_ms(F.col("create_time"), zone), favor_ct=one))
     if cart is not None:
-        parts.append(cart.select(*_product_row(F.col("sku_id"), parse_ms(F.col("create_time"), zone), cart_ct=one)))
+        parts["cart"] = cart.select(*_product_row(F.col("sku_id"), parse_ms(F.col("create_time"), zone), cart_ct=one))
     if refund is not None:
-        parts.append(refund.select(*_product_row(
+        parts["refund"] = refund.select(*_product_row(
             F.col("sku_id"), parse_ms(F.col("create_time"), zone), "refund", F.col("order_id"),
-            refund_amount=F.col("refund_amount"))))
+            refund_amount=F.col("refund_amount")))
     if comment is not None:
         good = F.when(F.col("appraise") == APPRAISE_GOOD, 1).otherwise(0)
-        parts.append(comment.select(*_product_row(F.col("sku_id"), parse_ms(F.col("create_time"), zone),
-                                                  comment_ct=one, good_comment_ct=good)))
+        parts["comment"] = comment.select(*_product_row(F.col("sku_id"), parse_ms(F.col("create_time"), zone),
+                                                  comment_ct=one, good_comment_ct=good))
     if not parts:
         raise ValueError("no input")
     return _union(parts, watermark)
@@ -180,9 +180,12 @@ def product_stats(events: DataFrame, window: str = "10 seconds", as_of: str | No
     agg = grouped.agg(*[F.sum(m).cast("long").alias(m) for m in _LONG_MEASURES],
                       *[_from_cents(F.sum(m)).alias(m) for m in _MONEY_MEASURES], *counts)
     out = agg.select(stt, edt, "sku_id", *schemas.PRODUCT_MEASURES, stamp_ms(as_of).alias("ts"))
-    if products is None:
-        return out
-    out = lookup(out, products, {"sku_id": "id"},
+    return out if products is None else with_product(out, products)
+
+
+def with_product(stats: DataFrame, products: DataFrame) -> DataFrame:
+    """The product attributes of each SKU's statistics; a miss keeps the row."""
+    out = lookup(stats, products, {"sku_id": "id"},
                  {"sku_name": "sku_name", "price": "sku_price", "spu_id": "spu_id", "spu_name": "spu_name",
                   "tm_id": "tm_id", "tm_name": "tm_name", "category3_id": "category3_id",
                   "category3_name": "category3_name"})
@@ -192,7 +195,7 @@ def product_stats(events: DataFrame, window: str = "10 seconds", as_of: str | No
 # ------------------------------------------------------------------------------ visitor statistics
 
 def visitor_events(pages: DataFrame, unique_visits: DataFrame | None = None, jumps: DataFrame | None = None,
-                   watermark: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                   watermark: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """P14 + W3: page views (pv, duration), unique visits (uv), session entries (sv), jumps (uj). On streams
     ``watermark`` is set on each input before the union, so the slowest input closes the windows.
 
@@ -207,11 +210,11 @@ def visitor_events(pages: DataFrame, unique_visits: DataFrame | None = None, jum
             F.col("ts"))
     # A page view and its session entry are summed into the same groups, so one row carries both.
     sv = F.when(is_entry("page.last_page_id", empty_is_entry=True), 1).otherwise(0)
-    parts = [row(pages, pv=1, sv=sv, dur=F.col("page.during_time"))]
+    parts = {"pages": row(pages, pv=1, sv=sv, dur=F.col("page.during_time"))}
     if unique_visits is not None:
-        parts.append(row(unique_visits, uv=1))
+        parts["unique_visits"] = row(unique_visits, uv=1)
     if jumps is not None:
-        parts.append(row(jumps, uj=1))
+        parts["jumps"] = row(jumps, uj=1)
     return _union(parts, watermark)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens import schemas
+from storelens.functions.json_text import object_size
 
 
 def parse_records(raw: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = ("offset",)) -> DataFrame:
@@ -28,6 +29,9 @@ def _non_empty(struct_col: str, df: DataFrame) -> Column:
 
 
 def is_start(log: DataFrame) -> Column:
+    """A non-empty ``start`` object: by its keys, known or not, where the record's text is at hand (``value``)."""
+    if "value" in log.columns:
+        return object_size("value", "start") > 0
     return _non_empty("start", log)
 
 

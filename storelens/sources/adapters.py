@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens import schemas
-from storelens.functions.time import epoch_ms, format_ts
+from storelens.functions.time import epoch_ms, format_ts, local_time
 from storelens.sources.tables import Tables
 
 # Fixed values of the stand-in rules.
@@ -298,6 +298,51 @@ def change_log_json(t: Tables) -> DataFrame:
     return ch.select(F.to_json(F.struct("table", "type", "data", "ts")).alias("value"), "offset")
 
 
+# The stand-in rules of the order chain. Dimensions go to the store, orders, lines and payments to a topic per table.
+SHOP_RULES = (
+    ("user_info", "insert", "hbase", "dim_user_info", "id,birthday,gender", "id", None),
+    ("base_province", "insert", "hbase", "dim_base_province", "id,name,area_code,iso_code,iso_3166_2", "id", None),
+    ("sku_info", "insert", "hbase", "dim_sku_info", "id,sku_name,price,spu_id,tm_id,category3_id", "id", None),
+    ("spu_info", "insert", "hbase", "dim_spu_info", "id,spu_name", "id", None),
+    ("base_trademark", "insert", "hbase", "dim_base_trademark", "id,tm_name", "id", None),
+    ("base_category3", "insert", "hbase", "dim_base_category3", "id,name", "id", None),
+    ("order_info", "insert", "kafka", "dwd_order_info", "id,province_id,user_id,order_status,total_amount,create_time", "id", None),
+    ("order_detail", "insert", "kafka", "dwd_order_detail",
+     "detail_id,order_id,sku_id,sku_num,order_price,split_total_amount,create_time", "detail_id", None),
+    ("payment_info", "insert", "kafka", "dwd_payment_info",
+     "id,order_id,user_id,total_amount,payment_type,create_time,callback_time", "id", None),
+)
+
+
+def shop_rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(SHOP_RULES), schemas.RULE)
+
+
+def as_changes(df: DataFrame, table: str, offset: Column, ts: Column) -> DataFrame:
+    """Inserts of a table: every column as text, nulls kept as nulls."""
+    data = F.map_from_arrays(F.array(*[F.lit(c) for c in df.columns]), F.array(*[F.col(c).cast("string") for c in df.columns]))
+    return df.select(F.lit(table).alias("table"), F.lit("insert").alias("type"), data.alias("data"),
+                     ts.cast("long").alias("ts"), offset.cast("long").alias("offset"))
+
+
+def shop_changes(t: Tables) -> DataFrame:
+    """Change records of every table of the order chain: the dimensions (at time 0), then orders, lines and payments at their
+    own times. A line's ``create_time`` keeps its milliseconds; no epoch ms travels."""
+    start = F.lit(0)
+    parts = [as_changes(df, name, F.col("id"), start) for name, df in (
+        ("user_info", dim_user(t)), ("base_province", dim_province(t)), ("sku_info", dim_sku(t)), ("spu_info", dim_spu(t)),
+        ("base_trademark", dim_trademark(t)), ("base_category3", dim_category3(t)))]
+    line = order_detail(t)
+    at = local_time("create_ts").cast("string")
+    parts += [as_changes(df.withColumn("create_time", at) if name == "order_detail" else df, name, F.col(key), F.col(ts)) for name, df, key, ts in (
+        ("order_info", order_info(t), "id", "create_ts"), ("order_detail", line, "detail_id", "create_ts"),
+        ("payment_info", payment_info(t), "id", "callback_ts"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ------------------------------------------------------------------------------------ keyword text
 
 def documents(t: Tables) -> DataFrame:

@@ -8,6 +8,7 @@
     payment_info + order_wide --(J2)--> payment_wide
     page + order_wide + payment_wide + favor + cart + refund + comment --(P13, W3, A1, J5)--> product_stats
     changes --(P4-P8, rules re-read per batch)--> dimension store (S9) + routed facts (S8)
+    facts of orders and lines --(J1; J3, J4 on the store)--> order_wide; facts of payments --(J2)--> payment_wide
 
 Every query has its own checkpoint under ``<root>/_checkpoints``. Topics between jobs are written by
 Spark's file sink, whose ``_spark_metadata`` log commits each micro-batch's files together with the
@@ -18,18 +19,19 @@ folder (nothing streams from them). ``trigger`` defaults to ``availableNow``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens import schemas
-from storelens.functions.time import event_time
+from storelens.functions.json_text import array_of, with_key
+from storelens.functions.time import epoch_ms, event_time
 from storelens.operators import aggregates as agg
 from storelens.operators import clean, joins, route, upsert
 from storelens.streaming import state
-from storelens.streaming.topics import as_records, read_rules, stats_writer
+from storelens.streaming.topics import as_records, read_facts, read_rules, stats_writer, write_batch
 
 # The shop's watermark delays (T4, T5).
 DELAY_ORDER = "3 seconds"
@@ -49,18 +51,41 @@ FAVOR_SCHEMA = "sku_id long, create_time string"
 COMMENT_SCHEMA = "sku_id long, appraise string, create_time string"
 REFUND_SCHEMA = "sku_id long, order_id long, refund_amount decimal(18,2), create_time string"
 
+# The sink tables of the change chain and the columns read from them. Changed rows carry texts only; event
+# times come from their time texts.
+FACT_ORDER, FACT_DETAIL, FACT_PAYMENT = "dwd_order_info", "dwd_order_detail", "dwd_payment_info"
+FACT_COLUMNS = {
+    FACT_ORDER: "id long, province_id long, user_id long, order_status string, total_amount decimal(18,2), create_time string",
+    FACT_DETAIL: "detail_id long, order_id long, sku_id long, sku_num long, order_price decimal(18,2), "
+                 "split_total_amount decimal(18,2), create_time string",
+    FACT_PAYMENT: "id long, order_id long, user_id long, total_amount decimal(18,2), payment_type string, create_time string, "
+                  "callback_time string",
+}
+DIM_COLUMNS = {
+    "dim_user_info": "id long, birthday string, gender string",
+    "dim_base_province": "id long, name string, area_code string, iso_code string, iso_3166_2 string",
+    "dim_sku_info": "id long, sku_name string, price decimal(18,2), spu_id long, tm_id long, category3_id long",
+    "dim_spu_info": "id long, spu_name string",
+    "dim_base_trademark": "id long, tm_name string",
+    "dim_base_category3": "id long, name string",
+}
+
 
 @dataclass
 class Layout:
     """Folder layout of one deployment: topics, statistics, dimension store and checkpoints.
 
-    ``max_files`` caps the topic files per micro-batch in every reader (None = all available). ``spread_ms`` is the
-    largest event-time span of one upstream micro-batch: its files may reach a reader in several
-    micro-batches, so every reader of a topic that another job writes adds it to its watermark delay.
-    Source topics are read in file order and need none while their files follow event time."""
+    ``max_files`` caps the files per micro-batch of source topics, ``derived_files`` those (of one kind of record) of topics that
+    another job writes (None = all available, which is whole micro-batches of the writer). ``lateness`` holds for each topic how far, in ms of
+    event time, a record may come behind a record of an earlier file (``measured_lateness``): its readers add that to their
+    watermark delay. Source topics whose files follow event time need none."""
     root: str
     max_files: int | None = None
-    spread_ms: int = 0
+    derived_files: int | None = None
+    lateness: dict[str, int] = field(default_factory=dict)
+
+    def late(self, topic: str) -> int:
+        return self.lateness.get(topic, 0)
 
     def topic(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/topics/{name}"
@@ -89,10 +114,26 @@ def watermarked(df: DataFrame, delay: str, ts: str = "ts", extra_ms: int = 0) ->
     return df.withColumn("event_time", event_time(ts)).withWatermark("event_time", f"{ms} milliseconds")
 
 
+def measured_lateness(spark: SparkSession, path: str, ts, kind: str | None = None, before: int | None = None) -> int:
+    """How far a record of a topic may come behind a record of a file no younger than its own, in ms of event time: the bound
+    its readers need, however they cut its files into micro-batches. ``ts``: the epoch ms as an expression over ``value``;
+    ``before`` leaves out records from that time on (sentinels). One row per file goes through a running maximum."""
+    raw = T.StructType([*schemas.RAW.fields, *([T.StructField("kind", T.StringType())] if kind else [])])
+    src = spark.read.schema(raw).json(path)
+    if kind:
+        src = src.where(F.col("kind") == kind)
+    rows = src.select(F.unix_millis("_metadata.file_modification_time").alias("m"), F.col("_metadata.file_path").alias("f"), ts.alias("ts"))
+    if before is not None:
+        rows = rows.where(F.col("ts") < before)
+    files = rows.groupBy("m", "f").agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    seen = F.max("high").over(Window.orderBy("m").rangeBetween(Window.unboundedPreceding, 0))
+    return files.select((seen - F.col("low")).alias("d")).agg(F.max("d")).first()[0] or 0
+
+
 def read_records(spark: SparkSession, path: str, schema, stream: bool = True, max_files: int | None = None,
-                 kind: str | None = None) -> DataFrame:
+                 kind: str | None = None, whole: bool = False) -> DataFrame:
     """A topic's records parsed with ``schema`` (P1), keeping ``offset``; ``kind`` picks one record
-    kind of a topic partitioned by kind (the base-log topic)."""
+    kind of a topic partitioned by kind (the base-log topic); ``whole`` keeps the record's text as ``value``."""
     raw = schemas.RAW if kind is None else T.StructType(list(schemas.RAW.fields) + [T.StructField("kind", T.StringType())])
     if stream:
         r = spark.readStream.schema(raw)
@@ -103,7 +144,8 @@ def read_records(spark: SparkSession, path: str, schema, stream: bool = True, ma
         src = spark.read.schema(raw).json(path)
     if kind is not None:
         src = src.where(F.col("kind") == kind)
-    return clean.parse_records(src, schema if not isinstance(schema, str) else T.StructType.fromDDL(schema))
+    return clean.parse_records(src, schema if not isinstance(schema, str) else T.StructType.fromDDL(schema),
+                               keep=("offset", "value") if whole else ("offset",))
 
 
 def topic_sink(records: DataFrame, lay: Layout, topic: str, name: str, trigger: dict | None,
@@ -122,59 +164,68 @@ def _start(df: DataFrame, name: str, lay: Layout, fn, trigger: dict | None, mode
 
 
 def _log_records(df: DataFrame) -> DataFrame:
-    return as_records(df, "offset", ["common", "start", "page", "displays", "ts"])
+    """The records' own texts, so that keys no schema names go on through the chain (F2)."""
+    return df.select(F.col("offset").cast("long").alias("offset"), "value")
 
 
 # ------------------------------------------------------------------------------------------- jobs
 
-def base_log_job(spark: SparkSession, lay: Layout, zone: str = "UTC", trigger: dict | None = None):
+def base_log_job(spark: SparkSession, lay: Layout, zone: str = "UTC", trigger: dict | None = None, ttl_ms: int | None = None):
     """T1 + P9 + P10 in one query: each repaired record becomes its start or page record plus one
-    display record per display, all in the ``dwd`` topic partitioned by ``kind``."""
-    log = read_records(spark, lay.topic("log"), schemas.LOG, max_files=lay.max_files)
-    fixed = state.repair_is_new_stream(log, zone)
-    body = F.to_json(F.struct("common", "start", "page", "displays", "ts"))
+    display record per display, all in the ``dwd`` topic partitioned by ``kind``. Records keep their text but for ``is_new``
+    and a display's added ``page_id``. ``ttl_ms`` bounds the state (see ``repair_is_new_stream``)."""
+    log = read_records(spark, lay.topic("log"), schemas.LOG, max_files=lay.max_files, whole=True)
+    if ttl_ms is not None:
+        log = watermarked(log, DELAY_MONOTONIC, extra_ms=lay.late("log"))
+    fixed = state.repair_is_new_stream(log, zone, ttl_ms)
 
     def rec(kind: str, value):
         return F.struct(F.lit(kind).alias("kind"), F.col("offset").alias("offset"), value.alias("value"))
-    shown = F.transform(F.coalesce(F.col("displays"), F.array()), lambda d: rec("display", F.to_json(F.struct(
-        d["item_type"].alias("item_type"), d["item"].alias("item"), F.col("page.page_id").alias("page_id")))))
-    records = F.when(clean.is_start(fixed), F.array(rec("start", body))) \
-        .otherwise(F.concat(F.array(rec("page", body)), shown))
+    elements = F.when(F.contains("value", F.lit('"displays"')), array_of("value", "displays"))
+    shown = F.filter(F.transform(elements, lambda d: rec("display", with_key(d, "page_id", F.col("page.page_id")))),
+                     lambda r: r["value"].isNotNull())
+    records = F.when(clean.is_start(fixed), F.array(rec("start", F.col("value")))) \
+        .otherwise(F.concat(F.array(rec("page", F.col("value"))), F.coalesce(shown, F.array())))
     out = fixed.select(F.explode(records).alias("r")).select("r.kind", "r.offset", "r.value")
     return topic_sink(out, lay, "dwd", "base_log", trigger, partition_by="kind")
 
 
+KINDS = 3  # start, page and display records
+
+
 def _pages(spark: SparkSession, lay: Layout) -> DataFrame:
-    return read_records(spark, lay.topic("dwd"), schemas.LOG, max_files=lay.max_files, kind="page")
+    files = lay.derived_files and KINDS * lay.derived_files  # a micro-batch leaves files of each kind
+    return read_records(spark, lay.topic("dwd"), schemas.LOG, max_files=files, kind="page", whole=True)
 
 
-def _records_of(spark: SparkSession, lay: Layout, topic: str, schema=schemas.LOG) -> DataFrame:
+def _source(spark: SparkSession, lay: Layout, topic: str, schema=schemas.LOG) -> DataFrame:
     return read_records(spark, lay.topic(topic), schema, max_files=lay.max_files)
 
 
+def _derived(spark: SparkSession, lay: Layout, topic: str, schema=schemas.LOG) -> DataFrame:
+    return read_records(spark, lay.topic(topic), schema, max_files=lay.derived_files)
+
+
 def unique_visit_job(spark: SparkSession, lay: Layout, zone: str = "UTC", trigger: dict | None = None):
     """T2 + T7 on the page topic."""
-    pages = watermarked(_pages(spark, lay), DELAY_MONOTONIC, extra_ms=lay.spread_ms)
+    pages = watermarked(_pages(spark, lay), DELAY_MONOTONIC, extra_ms=lay.late("dwd"))
     out = state.daily_unique_stream(pages, zone)
     return topic_sink(_log_records(out), lay, "unique_visit", "unique_visit", trigger)
 
 
-def user_jump_job(spark: SparkSession, lay: Layout, within: int = 10_000, trigger: dict | None = None,
-                  impl: str = "group_state"):
-    """T3 on the page topic, monotonic watermark (T5) but for the topic's spread; ``impl`` picks the state API."""
-    pages = watermarked(_pages(spark, lay), DELAY_MONOTONIC, extra_ms=lay.spread_ms)
-    out = state.bounces_stream(pages, within, impl=impl)
+def user_jump_job(spark: SparkSession, lay: Layout, within: int = 10_000, trigger: dict | None = None):
+    """T3 on the page topic, monotonic watermark (T5) but for the topic's lateness."""
+    out = state.bounces_stream(_pages(spark, lay), within, delay_ms=agg.size_ms(DELAY_MONOTONIC) + lay.late("dwd"))
     return topic_sink(_log_records(out), lay, "user_jump", "user_jump", trigger)
 
 
 def visitor_stats_job(spark: SparkSession, lay: Layout, window: str = "10 seconds", zone: str = "UTC",
-                      delay: str = DELAY_VISITOR_CHAINED, trigger: dict | None = None, side_files: int | None = -1):
-    """P14 + W3 + A2. The jump records leave ``within`` after their time, so the delay must exceed
-    ``within`` (Q12); the shop's 3 s would drop most of them as late."""
-    side = lay if side_files == -1 else Layout(lay.root, side_files, lay.spread_ms)
-    # jumps and unique visits leave their job up to a spread after the pages they come from
-    ev = agg.visitor_events(_pages(spark, lay), _records_of(spark, side, "unique_visit"), _records_of(spark, side, "user_jump"),
-                            watermark=lambda d: watermarked(d, delay, extra_ms=3 * lay.spread_ms))
+                      delay: str = DELAY_VISITOR_CHAINED, trigger: dict | None = None):
+    """P14 + W3 + A2. Each input has its own watermark with its topic's lateness and the slowest decides, so jumps, which
+    leave their job later than the pages they come from, hold the windows open until they are read."""
+    topics = {"pages": "dwd", "unique_visits": "unique_visit", "jumps": "user_jump"}
+    ev = agg.visitor_events(_pages(spark, lay), _derived(spark, lay, "unique_visit"), _derived(spark, lay, "user_jump"),
+                            watermark=lambda d, name: watermarked(d, delay, extra_ms=lay.late(topics[name])))
     stats = agg.visitor_stats(ev, window, zone, time_col="event_time")
     return _start(stats, "visitor_stats", lay, stats_writer(lay.stats("visitor_stats"), schemas.VISITOR_STATS_COLUMNS), trigger)
 
@@ -182,7 +233,7 @@ def visitor_stats_job(spark: SparkSession, lay: Layout, window: str = "10 second
 def keyword_stats_job(spark: SparkSession, lay: Layout, window: str = "10 seconds", zone: str = "UTC",
                       as_of: str | None = None, trigger: dict | None = None):
     """P11 + U1 + A4 (+ P12, T9 append: each window once)."""
-    pages = watermarked(_pages(spark, lay), DELAY_KEYWORD, extra_ms=lay.spread_ms)
+    pages = watermarked(_pages(spark, lay), DELAY_KEYWORD, extra_ms=lay.late("dwd"))
     kw = agg.keyword_stats(clean.keyword_pages(pages, keep=("event_time",)), window, agg.KEYWORD_SEARCH, as_of,
                            zone, time_col="event_time")
     return _start(kw, "keyword_stats", lay, stats_writer(lay.stats("keyword_stats"), schemas.KEYWORD_STATS_COLUMNS), trigger)
@@ -191,18 +242,65 @@ def keyword_stats_job(spark: SparkSession, lay: Layout, window: str = "10 second
 def order_wide_job(spark: SparkSession, lay: Layout, user: DataFrame, province: DataFrame, products: DataFrame,
                    as_of: str | None = None, bounds: tuple[int, int] = (-5, 5), trigger: dict | None = None):
     """J1 (stream-stream interval join, state evicted by watermark + bounds) + J4 (stream-static)."""
-    o = watermarked(_records_of(spark, lay, "order_info", ORDER_INFO_SCHEMA), DELAY_ORDER, "create_ts")
-    d = watermarked(_records_of(spark, lay, "order_detail", ORDER_DETAIL_SCHEMA), DELAY_ORDER, "create_ts")
+    o = watermarked(_source(spark, lay, "order_info", ORDER_INFO_SCHEMA), DELAY_ORDER, "create_ts")
+    d = watermarked(_source(spark, lay, "order_detail", ORDER_DETAIL_SCHEMA), DELAY_ORDER, "create_ts")
     wide = joins.order_wide(o, d, *bounds, time_cols=("event_time", "event_time"))
     wide = joins.enrich_order_wide(wide, user, province, products, as_of)
     return topic_sink(as_records(wide, "detail_id"), lay, "order_wide", "order_wide", trigger)
 
 
+def _fact_stream(spark: SparkSession, lay: Layout, table: str, time: str, ts: str) -> DataFrame:
+    """A routed table as a stream: its columns, the epoch ms ``ts`` of its time text (P3) and a watermark."""
+    rows = read_facts(spark, lay.topic("facts"), table, FACT_COLUMNS[table], max_files=lay.derived_files)
+    return watermarked(rows.withColumn(ts, epoch_ms(F.col(time).try_cast("timestamp_ntz"))), DELAY_ORDER, ts, lay.late(table))
+
+
+def store_products(store: upsert.DimensionStore, until: int | None = None) -> DataFrame:
+    """The product snowflake from the store's tables, folded on the dimension side."""
+    return joins.product_dimension(*[store.table(n, DIM_COLUMNS[n], until) for n in (
+        "dim_sku_info", "dim_spu_info", "dim_base_trademark", "dim_base_category3")])
+
+
+def fact_order_wide_job(spark: SparkSession, lay: Layout, as_of: str | None = None, bounds: tuple[int, int] = (-5, 5),
+                        trigger: dict | None = None):
+    """J1 on the routed orders and lines, J3/J4 against the dimension store that the change stream writes.
+
+    Point in time: a micro-batch looks its rows up in the store as it stands when the batch runs (the store's committed
+    batches are listed once for it), so a dimension change is seen by the next micro-batch and never by an earlier one.
+    A batch that runs again before its folder of the ``order_wide`` topic was in place looks up anew; nobody has read its first try."""
+    o = _fact_stream(spark, lay, FACT_ORDER, "create_time", "create_ts")
+    d = _fact_stream(spark, lay, FACT_DETAIL, "create_time", "create_ts")
+    wide = joins.order_wide(o, d, *bounds, time_cols=("event_time", "event_time"))
+    store = upsert.DimensionStore(spark, lay.dims)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        until = max(store.batches(), default=None)
+        rows = joins.enrich_order_wide(batch, store.table("dim_user_info", DIM_COLUMNS["dim_user_info"], until),
+                                       store.table("dim_base_province", DIM_COLUMNS["dim_base_province"], until),
+                                       store_products(store, until), as_of)
+        write_batch(as_records(rows, "detail_id"), lay.topic("order_wide"), batch_id)
+    return _start(wide, "order_wide", lay, handle, trigger)
+
+
+def batches_of(lay: Layout, topic: str) -> str:
+    """The path of a topic that a job writes folder by folder, one per micro-batch."""
+    return f"{lay.topic(topic)}/batch-*"
+
+
+def fact_payment_wide_job(spark: SparkSession, lay: Layout, wide_schema, bounds: tuple[int, int] = (-1_800_000, 0),
+                          trigger: dict | None = None):
+    """Routed payments x the order-wide records of ``fact_order_wide_job``."""
+    p = _fact_stream(spark, lay, FACT_PAYMENT, "callback_time", "callback_ts")
+    w = read_records(spark, batches_of(lay, "order_wide"), wide_schema, max_files=lay.derived_files)
+    pw = joins.payment_wide(p, watermarked(w, DELAY_ORDER, "create_ts", lay.late("order_wide")), *bounds, time_cols=("event_time", "event_time"))
+    return topic_sink(as_records(pw, "detail_id"), lay, "payment_wide", "payment_wide", trigger)
+
+
 def payment_wide_job(spark: SparkSession, lay: Layout, wide_schema, bounds: tuple[int, int] = (-1_800_000, 0),
                      trigger: dict | None = None):
     """Payments x order-wide records, both watermarked."""
-    p = watermarked(_records_of(spark, lay, "payment_info", PAYMENT_SCHEMA), DELAY_ORDER, "callback_ts")
-    w = watermarked(_records_of(spark, lay, "order_wide", wide_schema), DELAY_ORDER, "create_ts", lay.spread_ms)
+    p = watermarked(_source(spark, lay, "payment_info", PAYMENT_SCHEMA), DELAY_ORDER, "callback_ts")
+    w = watermarked(_derived(spark, lay, "order_wide", wide_schema), DELAY_ORDER, "create_ts", lay.late("order_wide"))
     pw = joins.payment_wide(p, w, *bounds, time_cols=("event_time", "event_time"))
     return topic_sink(as_records(pw, "detail_id"), lay, "payment_wide", "payment_wide", trigger)
 
@@ -210,7 +308,7 @@ def payment_wide_job(spark: SparkSession, lay: Layout, wide_schema, bounds: tupl
 def province_stats_job(spark: SparkSession, lay: Layout, wide_schema, window: str = "10 seconds",
                        zone: str = "UTC", as_of: str | None = None, trigger: dict | None = None):
     """A3 on the order-wide topic; distinct orders in two levels."""
-    w = watermarked(_records_of(spark, lay, "order_wide", wide_schema), DELAY_MONOTONIC, "create_ts", lay.spread_ms)
+    w = watermarked(_derived(spark, lay, "order_wide", wide_schema), DELAY_MONOTONIC, "create_ts", lay.late("order_wide"))
     stats = agg.province_stats(w, window, as_of, zone, time_col="event_time")
     return _start(stats, "province_stats", lay,
                   stats_writer(lay.stats("province_stats"), schemas.PROVINCE_STATS_COLUMNS), trigger)
@@ -221,7 +319,7 @@ def province_stats_sql_job(spark: SparkSession, lay: Layout, wide_schema, window
     """A3 as SQL text over a streaming view (the shop's SQL entry on a dynamic table): the watermarked
     order-wide stream is a temp view and the statement groups by ``window(event_time, ...)``. Distinct
     orders are counted in two nested ``GROUP BY``: streams refuse ``COUNT(DISTINCT)``."""
-    w = watermarked(_records_of(spark, lay, "order_wide", wide_schema), DELAY_MONOTONIC, "create_ts", lay.spread_ms)
+    w = watermarked(_derived(spark, lay, "order_wide", wide_schema), DELAY_MONOTONIC, "create_ts", lay.late("order_wide"))
     view = f"order_wide_stream_{abs(hash(lay.root)) % 10**8}"
     w.createOrReplaceTempView(view)
     fmt = ("substring(CAST(timestampadd(MILLISECOND, unix_millis(w.{}), TIMESTAMP_NTZ '1970-01-01 00:00:00') "
@@ -239,31 +337,39 @@ def province_stats_sql_job(spark: SparkSession, lay: Layout, wide_schema, window
                   stats_writer(lay.stats("province_stats_sql"), schemas.PROVINCE_STATS_COLUMNS), trigger)
 
 
-def product_stats_job(spark: SparkSession, lay: Layout, wide_schema, payment_schema, products: DataFrame,
+def product_stats_job(spark: SparkSession, lay: Layout, wide_schema, payment_schema, products: DataFrame | None = None,
                       window: str = "10 seconds", zone: str = "UTC", as_of: str | None = None,
                       trigger: dict | None = None):
-    """P13 + W3 (seven topics) + A1 in two levels + J5 (stream-static lookup after the aggregate)."""
+    """P13 + W3 (seven topics) + A1 in two levels + J5 after the aggregate: against the static ``products``, or, where none is
+    given, against the dimension store as it stands when the micro-batch runs."""
+    topics = {"pages": "dwd"}
     ev = agg.product_events(
         pages=_pages(spark, lay),
-        order_wide=_records_of(spark, lay, "order_wide", wide_schema),
-        payment_wide=_records_of(spark, lay, "payment_wide", payment_schema),
-        favor=_records_of(spark, lay, "favor", FAVOR_SCHEMA),
-        cart=_records_of(spark, lay, "cart", FAVOR_SCHEMA),
-        refund=_records_of(spark, lay, "refund", REFUND_SCHEMA),
-        comment=_records_of(spark, lay, "comment", COMMENT_SCHEMA), zone=zone,
-        watermark=lambda d: watermarked(d, DELAY_PRODUCT, extra_ms=3 * lay.spread_ms))
+        order_wide=_derived(spark, lay, "order_wide", wide_schema),
+        payment_wide=_derived(spark, lay, "payment_wide", payment_schema),
+        favor=_source(spark, lay, "favor", FAVOR_SCHEMA),
+        cart=_source(spark, lay, "cart", FAVOR_SCHEMA),
+        refund=_source(spark, lay, "refund", REFUND_SCHEMA),
+        comment=_source(spark, lay, "comment", COMMENT_SCHEMA), zone=zone,
+        watermark=lambda d, name: watermarked(d, DELAY_PRODUCT, extra_ms=lay.late(topics.get(name, name))))
     stats = agg.product_stats(ev, window, as_of, products, zone, time_col="event_time")
-    return _start(stats, "product_stats", lay,
-                  stats_writer(lay.stats("product_stats"), schemas.PRODUCT_STATS_COLUMNS), trigger)
+    write = stats_writer(lay.stats("product_stats"), schemas.PRODUCT_STATS_COLUMNS)
+    if products is not None:
+        return _start(stats, "product_stats", lay, write, trigger)
+    store = upsert.DimensionStore(spark, lay.dims)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write(agg.with_product(batch, store_products(store, max(store.batches(), default=None))), batch_id)
+    return _start(stats, "product_stats", lay, handle, trigger)
 
 
 def change_routing_job(spark: SparkSession, lay: Layout, trigger: dict | None = None):
     """P4-P8 + S8 + S9: change records routed per micro-batch with the rules re-read each time (a
-    rule change applies from the next batch; no rules at all is an error); the dimension branch is
-    merged into the versioned dimension store, the fact branch goes to a topic per sink table."""
-    changes = _records_of(spark, lay, "changes", schemas.CHANGE)
-    store = upsert.VersionedStore(spark, lay.dims)
-    facts_path = lay.topic("facts")
+    rule change applies from the next batch; no rules at all is an error); the dimension branch goes to the
+    dimension store, the fact branch to a folder per sink table (``read_facts``). Each sink writes a batch once, so a failure
+    between the two leaves nothing out and nothing twice."""
+    changes = _source(spark, lay, "changes", schemas.CHANGE)
+    store = upsert.DimensionStore(spark, lay.dims)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rules = read_rules(spark, lay.rules)
@@ -271,9 +377,9 @@ def change_routing_job(spark: SparkSession, lay: Layout, trigger: dict | None =
         routed = route.route(batch, rules).persist()   # feeds two sinks: route once per micro-batch
         try:
             store.merge(routed.where(F.col("sink_type") == route.SINK_DIMENSION), batch_id)
-            routed.where(F.col("sink_type") == route.SINK_FACT) \
-                .select("sink_table", F.col("offset").cast("long").alias("offset"), F.to_json("data").alias("value")) \
-                .write.mode("overwrite").partitionBy("sink_table").json(f"{facts_path}/batch-{batch_id:012d}")
+            facts = routed.where(F.col("sink_type") == route.SINK_FACT).select(
+                "sink_table", F.col("offset").cast("long").alias("offset"), F.to_json("data").alias("value"))
+            write_batch(facts, lay.topic("facts"), batch_id, partition_by="sink_table")
         finally:
             routed.unpersist()
     return _start(changes, "change_routing", lay, handle, trigger)

@@ -1,6 +1,6 @@
 """Publish the stand-in records of the driver's tables to topic directories (batch S7), so the
-streaming jobs run over the whole tables. A topic's files follow event time, and their modification times follow
-their order, which is the order a file stream reads them in. Far-future sentinel records, one source batch of their
+streaming jobs run over the whole tables. A topic's files are slices of event time, and their modification times follow
+their order, which is the order a file stream reads them in. Far-future sentinel records, files of their
 own, move every input's watermark past the last real window; their own windows stay open and are never emitted."""
 
 from __future__ import annotations
@@ -25,11 +25,10 @@ SENTINEL_ID = -1
 ALL_TOPICS = ("log", "order_info", "order_detail", "payment_info", "favor", "cart", "refund", "comment", "changes")
 
 
-def _write(records: DataFrame, path: str, ts: str, files: int, end: DataFrame | None) -> int:
-    """Write ``offset, value, ts`` rows as ``files`` files in time order and ``end`` as a file after them; the
-    largest time span of one file."""
+def _write(records: DataFrame, path: str, ts: str, files: int, end: DataFrame | None) -> None:
+    """Write ``offset, value, ts`` rows as ``files`` slices of time, in order, and ``end`` as a file after them."""
     spark = records.sparkSession
-    records.repartitionByRange(files, ts).sortWithinPartitions(ts).select("offset", "value", F.col(ts).alias("ts")) \
+    records.repartitionByRange(files, ts).sortWithinPartitions(ts).select("offset", "value") \
         .write.mode("overwrite").json(path)
     jvm = spark._jvm
     fs_path = jvm.org.apache.hadoop.fs.Path(path)
@@ -38,27 +37,38 @@ def _write(records: DataFrame, path: str, ts: str, files: int, end: DataFrame |
                    key=lambda p: p.getName())
     now = int(time.time() * 1000)
     for i, part in enumerate(parts):
-        fs.setTimes(part, now - (len(parts) - i) * 2000, -1)
-    spread = spark.read.schema("ts long").json(path).groupBy(F.input_file_name()).agg(
-        (F.max("ts") - F.min("ts")).alias("s")).agg(F.max("s")).first()[0]
+        fs.setTimes(part, now - (len(parts) - i + 1) * 2000, -1)
     if end is not None:
         end.select("offset", "value").coalesce(1).write.mode("append").json(path)
-    return spread or 0
+
+
+def _log_row(spark, log: DataFrame, mid: str, page_id: str, last: str | None, item: str | None, ts: int) -> DataFrame:
+    return spark.range(1).select(
+        F.struct(F.lit(mid).alias("mid"), F.lit("v0").alias("vc"), F.lit("c0").alias("ch"),
+                 F.lit("a0").alias("ar"), F.lit("0").alias("is_new")).alias("common"),
+        F.lit(None).cast(log.schema["start"].dataType).alias("start"),
+        F.struct(F.lit(page_id).alias("page_id"), F.lit(last).cast("string").alias("last_page_id"),
+                 F.lit(item).cast("string").alias("item"), F.lit(0).cast("long").alias("during_time")).alias("page"),
+        F.lit(None).cast(log.schema["displays"].dataType).alias("displays"),
+        F.lit(ts).alias("ts"), F.lit(SENTINEL_ID).cast("long").alias("offset"))
 
 
 def _log_end(spark, log: DataFrame) -> DataFrame:
-    """The sentinel of the log: a detail page without a previous one (a click, a unique visit and, once it times out, a jump)
-    and, ten years on, a search page whose text keeps it through filters pushed below a watermark."""
-    def row(page_id: str, last: str | None, item: str | None, ts: int) -> DataFrame:
-        return spark.range(1).select(
-            F.struct(F.lit("__end__").alias("mid"), F.lit("v0").alias("vc"), F.lit("c0").alias("ch"),
-                     F.lit("a0").alias("ar"), F.lit("0").alias("is_new")).alias("common"),
-            F.lit(None).cast(log.schema["start"].dataType).alias("start"),
-            F.struct(F.lit(page_id).alias("page_id"), F.lit(last).cast("string").alias("last_page_id"),
-                     F.lit(item).cast("string").alias("item"), F.lit(0).cast("long").alias("during_time")).alias("page"),
-            F.lit(None).cast(log.schema["displays"].dataType).alias("displays"),
-            F.lit(ts).alias("ts"), F.lit(SENTINEL_ID).cast("long").alias("offset"))
-    return row("good_detail", None, str(SENTINEL_ID), SENTINEL_MS).unionByName(row("good_list", "home", "end", SENTINEL_MS + TEN_YEARS_MS))
+    """The sentinel of the log: a detail page (a click) and a search page, both with a previous page. They close every real
+    window and bucket; no unique visit and no jump comes of them."""
+    return _log_row(spark, log, "__end__", "good_detail", "home", str(SENTINEL_ID), SENTINEL_MS).unionByName(
+        _log_row(spark, log, "__end__", "good_list", "home", "end", SENTINEL_MS))
+
+
+def publish_last(t: Tables, lay: Layout) -> None:
+    """A further file of the log: an entry page of another device, which becomes the sentinel of the unique visits and, once
+    a page ten years on has settled its bucket, of the jumps. It goes out after the jobs have written their last real
+    records, or, with all jobs running, last: its visit and jump are in later files than any real one."""
+    spark, log = t.spark, ad.behaviour_log(t)
+    rows = _log_row(spark, log, "__last__", "good_detail", None, str(SENTINEL_ID), SENTINEL_MS).unionByName(
+        _log_row(spark, log, "__last__", "home", "home", None, SENTINEL_MS + TEN_YEARS_MS))
+    rows.select(F.to_json(F.struct("common", "start", "page", "displays", "ts")).alias("value"), "offset").coalesce(1) \
+        .write.mode("append").json(lay.topic("log"))
 
 
 def _end_row(df: DataFrame, keys: tuple[str, ...], times: tuple[str, ...], texts: tuple[str, ...]) -> DataFrame:
@@ -74,18 +84,16 @@ def _end_row(df: DataFrame, keys: tuple[str, ...], times: tuple[str, ...], texts
 
 def publish(t: Tables, lay: Layout, sentinel: bool = True, timing: str = "offset", topics: tuple[str, ...] = ALL_TOPICS,
             files: int = 1) -> None:
-    """Write the named source topics (what a chain reads, and no others), plus the routing rules table where the
-    changes go out. ``files`` per topic; the layout's ``spread_ms`` becomes the largest time span of one micro-batch."""
+    """Write the named source topics (what a chain reads, and no others) in ``files`` slices each, plus the routing rules table
+    where changes go out (``changes``: customers and parts; ``shop_changes``: every table of the order chain, to the same topic)."""
     spark = t.spark
-    spread = 0
 
     def put(name: str, df: DataFrame, offset, end: DataFrame | None, ts, payload: list[str] | None = None) -> None:
-        nonlocal spread
         cols = payload or df.columns
         keep = df.select(F.to_json(F.struct(*cols)).alias("value"), offset.cast("long").alias("offset"), ts.cast("long").alias("_at"))
         last = end.select(F.to_json(F.struct(*cols)).alias("value"), F.lit(SENTINEL_ID).cast("long").alias("offset")) \
             if end is not None and sentinel else None
-        spread = max(spread, _write(keep, lay.topic(name), "_at", files, last))
+        _write(keep, lay.topic(name), "_at", files, last)
 
     if "log" in topics:
         log = ad.behaviour_log(t)
@@ -108,4 +116,7 @@ def publish(t: Tables, lay: Layout, sentinel: bool = True, timing: str = "offset
         df = ad.change_log(t)
         put("changes", df, F.col("offset"), None, F.col("offset"), ["table", "type", "data", "ts"])
         ad.rules(spark).write.mode("overwrite").parquet(lay.rules)
-    lay.spread_ms = spread * max(1, lay.max_files or files) if files > 1 else 0
+    if "shop_changes" in topics:
+        df = ad.shop_changes(t)
+        put("changes", df, F.col("offset"), None, F.col("ts"), ["table", "type", "data", "ts"])
+        ad.shop_rules(spark).write.mode("overwrite").parquet(lay.rules)

@@ -8,20 +8,28 @@ import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from storelens import schemas
+from storelens.functions.time import epoch_ms
+from storelens.operators.upsert import DimensionStore
 from storelens.plans import jobs as batch
 from storelens.session import checkpoint_root
 from storelens.sources import adapters as ad
 from storelens.sources.tables import Tables
 from storelens.streaming import jobs as sj
-from storelens.streaming.publish import publish
+from storelens.streaming.publish import SENTINEL_MS, publish, publish_last
+from storelens.streaming.topics import late_rows
 
 
 def _await(q) -> None:
+    """Wait for the end of a query. The bounds of a registered chain are measured on its own topics, so a late row there is
+    an error, not a loss (T8)."""
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced to the caller
         raise RuntimeError(str(q.exception()))
+    if late_rows(q):
+        raise RuntimeError(f"{q.name}: {late_rows(q)} rows behind the watermark")
 
 
 @contextlib.contextmanager
@@ -49,24 +57,39 @@ def _sized(fn):
     return run
 
 
-# The registered chains read their sources in several micro-batches: SOURCE_FILES files in time order, MAX_FILES at a time
-# (a multiple, so that the sentinel file is a micro-batch of its own).
-SOURCE_FILES, MAX_FILES = 16, 8
+# The registered chains read their sources in several micro-batches: SOURCE_FILES slices of event time, one at a time, and a
+# sentinel file; topics between jobs are read a file per state partition at a time, what one micro-batch of the writer leaves.
+SOURCE_FILES, MAX_FILES = 4, 1
 LOG_TOPICS = ("log",)
 ORDER_TOPICS = ("order_info", "order_detail")
 PRODUCT_TOPICS = (*LOG_TOPICS, *ORDER_TOPICS, "payment_info", "favor", "cart", "refund", "comment")
 
 
-def new_layout(spark: SparkSession, name: str, max_files: int | None = None) -> sj.Layout:
-    return sj.Layout(f"{checkpoint_root(spark).rstrip('/')}/storelens-stream/{name}-{uuid.uuid4().hex}", max_files)
+def new_layout(spark: SparkSession, name: str, max_files: int | None = None, derived_files: int | None = None) -> sj.Layout:
+    return sj.Layout(f"{checkpoint_root(spark).rstrip('/')}/storelens-stream/{name}-{uuid.uuid4().hex}", max_files, derived_files)
 
 
 def _chain(spark: SparkSession, t: Tables, name: str, topics: tuple[str, ...], sentinel: bool = True) -> sj.Layout:
-    lay = new_layout(spark, name, MAX_FILES)
+    lay = new_layout(spark, name, MAX_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
     publish(t, lay, sentinel, topics=topics, files=SOURCE_FILES)
     return lay
 
 
+# The field that holds a topic's event time, and whether it is epoch ms (else a time text).
+EVENT_TIMES = {"dwd": ("ts", True), "unique_visit": ("ts", True), "user_jump": ("ts", True), "order_wide": ("create_ts", True),
+               "payment_wide": ("payment_create_time", False), sj.FACT_ORDER: ("create_time", False),
+               sj.FACT_DETAIL: ("create_time", False), sj.FACT_PAYMENT: ("callback_time", False)}
+
+
+def measure(spark: SparkSession, lay: sj.Layout, *topics: str, path: str | None = None) -> None:
+    """Set the lateness bounds of topics that a finished job has written, from their files (sentinels left out)."""
+    for topic in topics:
+        name, ms = EVENT_TIMES[topic]
+        text = F.get_json_object("value", f"$.{name}")
+        at = text.cast("long") if ms else epoch_ms(text.try_cast("timestamp_ntz"))
+        lay.lateness[topic] = sj.measured_lateness(spark, path or lay.topic(topic), at, "page" if topic == "dwd" else None, SENTINEL_MS)
+
+
 def _drop(spark: SparkSession, lay: sj.Layout, *kept: str) -> None:
     """Delete a finished chain's folders but for the ``kept`` ones, which its result is read from."""
     jvm = spark._jvm
@@ -84,29 +107,43 @@ def _read_stats(spark: SparkSession, path: str, columns) -> DataFrame:
 @_sized
 def visitor_stats_stream(spark: SparkSession, sf_dir: str, within: int = batch.JUMP_WITHIN) -> DataFrame:
     """log -> base log (T1) -> unique visit (T2), jump (T3) -> visitor statistics (A2), all streaming."""
-    lay = _chain(spark, Tables(spark, sf_dir), "visitor", LOG_TOPICS)
-    _await(sj.base_log_job(spark, lay))
-    _await(sj.unique_visit_job(spark, lay))
-    _await(sj.user_jump_job(spark, lay, within))
-    # Unique visits and jumps are read whole in the first micro-batch: the sentinel's jump leaves its job together with the
-    # last real ones, and pages, the slowest input, hold the watermark back meanwhile.
-    _await(sj.visitor_stats_job(spark, lay, batch.WINDOW, side_files=None))
+    t = Tables(spark, sf_dir)
+    lay = _chain(spark, t, "visitor", LOG_TOPICS)
+    for last in (False, True):  # the jobs go on from their checkpoints with the last file
+        if last:
+            publish_last(t, lay)
+        _await(sj.base_log_job(spark, lay))
+        measure(spark, lay, "dwd")
+        _await(sj.unique_visit_job(spark, lay))
+        _await(sj.user_jump_job(spark, lay, within))
+    measure(spark, lay, "unique_visit", "user_jump")
+    _await(sj.visitor_stats_job(spark, lay, batch.WINDOW))
     _drop(spark, lay, "stats")
     return _read_stats(spark, lay.stats("visitor_stats"), schemas.VISITOR_STATS_COLUMNS)
 
 
+def _base_log_chain(spark: SparkSession, lay: sj.Layout) -> None:
+    _await(sj.base_log_job(spark, lay))
+    measure(spark, lay, "dwd")
+
+
 @_sized
 def keyword_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lay = _chain(spark, Tables(spark, sf_dir), "keyword", LOG_TOPICS)
-    _await(sj.base_log_job(spark, lay))
+    _base_log_chain(spark, lay)
     _await(sj.keyword_stats_job(spark, lay, batch.WINDOW, as_of=batch.AS_OF))
     _drop(spark, lay, "stats")
     return _read_stats(spark, lay.stats("keyword_stats"), schemas.KEYWORD_STATS_COLUMNS)
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def _order_wide_chain(spark: SparkSession, t: Tables, lay: sj.Layout) -> str:
     _await(sj.order_wide_job(spark, lay, ad.dim_user(t), ad.dim_province(t), batch.products(t), batch.AS_OF))
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.order_wide_enriched(t).schema.fields)
+    measure(spark, lay, "order_wide")
+    return _ddl(batch.order_wide_enriched(t))
 
 
 @_sized
@@ -138,11 +175,11 @@ def product_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seven product topics (order wide and payment wide produced by streaming joins) -> A1 + J5."""
     t = Tables(spark, sf_dir)
     lay = _chain(spark, t, "product", PRODUCT_TOPICS)
-    _await(sj.base_log_job(spark, lay))
+    _base_log_chain(spark, lay)
     wide_schema = _order_wide_chain(spark, t, lay)
     _await(sj.payment_wide_job(spark, lay, wide_schema))
-    pay_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.payment_wide_of(t).schema.fields)
-    _await(sj.product_stats_job(spark, lay, wide_schema, pay_schema, batch.products(t), batch.WINDOW,
+    measure(spark, lay, "payment_wide")
+    _await(sj.product_stats_job(spark, lay, wide_schema, _ddl(batch.payment_wide_of(t)), batch.products(t), batch.WINDOW,
                                 as_of=batch.AS_OF))
     _drop(spark, lay, "stats")
     return _read_stats(spark, lay.stats("product_stats"), schemas.PRODUCT_STATS_COLUMNS)
@@ -150,18 +187,45 @@ def product_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_sized
 def dim_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """changes -> routing with rules re-read per batch -> versioned dimension store."""
+    """changes -> routing with rules re-read per batch -> dimension store."""
     lay = _chain(spark, Tables(spark, sf_dir), "dims", ("changes",), sentinel=False)
     _await(sj.change_routing_job(spark, lay))
-    from storelens.operators.upsert import VersionedStore
     _drop(spark, lay, "dims")
-    return VersionedStore(spark, lay.dims).current().select("sink_table", "pk", "column", "value")
+    return DimensionStore(spark, lay.dims).current().select("sink_table", "pk", "column", "value")
+
+
+def _change_chain(spark: SparkSession, t: Tables, name: str) -> tuple[sj.Layout, str]:
+    """changes -> routing (S8, S9) -> order wide from the routed orders and lines, enriched from the store."""
+    lay = _chain(spark, t, name, ("shop_changes",), sentinel=False)
+    _await(sj.change_routing_job(spark, lay))
+    for table in (sj.FACT_ORDER, sj.FACT_DETAIL, sj.FACT_PAYMENT):
+        measure(spark, lay, table, path=f"{sj.batches_of(lay, 'facts')}/sink_table={table}")
+    _await(sj.fact_order_wide_job(spark, lay, batch.AS_OF))
+    return lay, _ddl(batch.order_wide_enriched(t))
+
+
+@_sized
+def order_wide_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change chain: database changes -> routing -> J1 on the routed facts, J4 on the dimension store."""
+    lay, schema = _change_chain(spark, Tables(spark, sf_dir), "order-wide")
+    _drop(spark, lay, "topics")
+    return sj.read_records(spark, sj.batches_of(lay, "order_wide"), schema, stream=False).drop("offset")
+
+
+@_sized
+def payment_wide_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change chain one step on: J2 of the routed payments with the streamed order-wide records."""
+    t = Tables(spark, sf_dir)
+    lay, schema = _change_chain(spark, t, "payment-wide")
+    measure(spark, lay, "order_wide", path=sj.batches_of(lay, "order_wide"))
+    _await(sj.fact_payment_wide_job(spark, lay, schema))
+    _drop(spark, lay, "topics")
+    return sj.read_records(spark, lay.topic("payment_wide"), _ddl(batch.payment_wide_of(t)), stream=False).drop("offset")
 
 
 @_sized
 def token_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 on a stream: every document text as one record, running comma-token counts (update mode)."""
-    from pyspark.sql import functions as F
     lay = new_layout(spark, "tokens")
     Tables(spark, sf_dir).documents.select(F.col("text").alias("value")).write.mode("overwrite").json(lay.topic("lines"))
     lines = spark.readStream.schema("value string").json(lay.topic("lines"))
@@ -177,6 +241,8 @@ STREAM_QUERIES = {
     "province_stats_sql_stream": province_stats_sql_stream,
     "product_stats_stream": product_stats_stream,
     "dim_upsert_stream": dim_upsert_stream,
+    "order_wide_stream": order_wide_stream,
+    "payment_wide_stream": payment_wide_stream,
     "token_counts_stream": token_counts_stream,
 }
 

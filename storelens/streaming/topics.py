@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storelens import schemas
 
@@ -67,6 +68,65 @@ def write_routed(df: DataFrame, path: str, checkpoint: str | None = None, trigge
             .partitionBy("sink_table").outputMode("append").trigger(**(trigger or {"availableNow": True})).start())
 
 
+# ------------------------------------------------------------------ one folder per micro-batch
+
+def batch_folder(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/batch-{batch_id:012d}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """The micro-batches that have a folder under ``path``."""
+    p, fs = _file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n[len("batch-"):]) for n in names if n.startswith("batch-"))
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "json", partition_by: str | None = None) -> bool:
+    """Inside ``foreachBatch``: the rows as the folder ``batch-<id>`` of ``path``. They are written beside it and moved into
+    place by one rename (atomic on HDFS and local disks), so that readers see all of a batch or nothing; a batch that runs
+    again after a failure finds its folder and writes nothing (returns False)."""
+    spark = df.sparkSession
+    target, fs = _file_system(spark, batch_folder(path, batch_id))
+    if fs.exists(target):
+        return False
+    aside = f"{path.rstrip('/')}-staging/batch-{batch_id:012d}"
+    w = df.write.mode("overwrite").format(fmt)
+    (w.partitionBy(partition_by) if partition_by else w).save(aside)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(_file_system(spark, aside)[0], target):
+        raise RuntimeError(f"cannot move {aside} into place")
+    return True
+
+
+def read_facts(spark: SparkSession, path: str, table: str, columns: str, stream: bool = True,
+               max_files: int | None = None) -> DataFrame:
+    """S8 read back: the routed records of one sink table with that table's schema.
+
+    A routed record is the changed row's ``data``, a map of texts. ``columns`` (DDL) names and types the table's columns: each
+    is cast from its text, null where it is missing or no such value; keys beyond them are left out. ``offset`` is the
+    change record's."""
+    folder = f"{path.rstrip('/')}/batch-*/sink_table={table}"
+    if stream:
+        r = spark.readStream.schema(schemas.RAW)
+        src = (r.option("maxFilesPerTrigger", max_files) if max_files else r).json(folder)
+    else:
+        src = spark.read.schema(schemas.RAW).json(folder)
+    data = src.select(F.from_json("value", "map<string,string>").alias("_d"), "offset")
+    return data.select(*[F.col("_d")[f.name].try_cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(columns).fields], "offset")
+
+
+def late_rows(query) -> int:
+    """How many rows a streaming query has dropped behind its watermark so far, by its recent progress (rows are counted as
+    they reach the state, after the map-side combine of an aggregate). Spark keeps the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
 def write_kafka(df: DataFrame, servers: str, topic_col: str | None = None, topic: str | None = None,
                 checkpoint: str | None = None):
     """S7/S8 on a broker: ``value`` text, topic fixed or taken from a column."""
