@@ -13,7 +13,6 @@ and a merge group hold a fixed number of narrow rows, whatever the input.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 
 from pyspark.sql import DataFrame
@@ -28,27 +27,36 @@ PART = 16_384
 MERGE = 32  # parts whose leftovers are merged together
 END_ID = 2
 _NO_ID = -(1 << 63)
-_WORDS = 300_000  # words remembered per Python worker
+_WORDS = 600_000  # words remembered per task
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
 
 
 #: After a (Latin) letter, symbols up to a blank: the vocabulary's splitter cuts there too, so a blank changes no id.
-_SYMBOL = r"[!-&(-/:-@\[-`{-~]"
-_TAIL = re.compile(rf"{_SYMBOL}(?<=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]{_SYMBOL}){_SYMBOL}*(?=[ \n]|\Z)")
+_TAIL = (r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}])"
+         r"([!-&(-/:-@\[-`{-~]+)([ \n]|\z)")
 
 
-def _words(text: str) -> list[str]:
-    """Words whose ids in a row are the text's; as they stand if a special token's text could be among them."""
-    if "<|" not in text:
-        text = _TAIL.sub(r" \g<0>", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
-    return text.replace("\n", " ").split(" ")
+def _words(texts):
+    """The words of each text (an Arrow array of texts), whose ids in a row are the text's, as a list array; null texts are empty.
+    A text that might hold a special token's text keeps its capitals and symbols as they stand."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if texts.offset:  # a slice is copied: ``ascii_lower`` reads past a slice's start
+        texts = texts.take(pa.array(range(len(texts)), pa.int64()))
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    spaced = pc.replace_substring_regex(pc.ascii_lower(texts), _TAIL, r"\1 \2\3")
+    special = pc.match_substring(texts, "<|")
+    if pc.any(special).as_py():
+        spaced = pc.if_else(special, texts, spaced)
+    return pc.split_pattern(pc.replace_substring(spaced, "\n", " "), " ")
 
 
 class Encoder:
     """Ids of whole texts. The vocabulary drops white space and never joins across it, so a text's ids are its
-    blank-separated words' ids in a row; it lower-cases, so A-Z may be lowered first. Words are remembered (up to a bound) as slices of one flat array, and
-    a batch's ids are gathered from it at once."""
+    blank-separated words' ids in a row; it lower-cases, so A-Z may be lowered first. A batch's texts are split and their distinct
+    words found by Arrow's kernels; words are remembered (up to a bound) as slices of one flat array, which ids are gathered from."""
 
     def __init__(self, path: str):
         import numpy as np
@@ -89,24 +97,29 @@ class Encoder:
         self.size = np.concatenate([self.size, size])
         self.flat = np.concatenate([self.flat, *ids])
 
-    def __call__(self, texts: list[str | None]) -> list:
-        """The ids of each text with the end id, as arrays of little-endian 32-bit numbers."""
+    def __call__(self, texts) -> list:
+        """The ids of each text (a list or an Arrow array) with the end id, as arrays of little-endian 32-bit numbers."""
         import numpy as np
+        import pyarrow as pa
 
-        words = [_words(t) if t else [] for t in texts]
+        words = _words(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        bounds = np.asarray(words.offsets)
+        coded = words.values.dictionary_encode()
+        distinct, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices)
         if len(self.known) > _WORDS:
             self.forget()
-        new = set().union(*words).difference(self.known)
+        new = [w for w in distinct if w not in self.known]
         if new:
             self.learn(sorted(new))
-        known, out = self.known, []
-        for ws in words:
-            at = np.array(list(map(known.__getitem__, ws)), "i8")
-            size = self.size[at]
+        place = np.fromiter(map(self.known.__getitem__, distinct), "i8", len(distinct))
+        starts, sizes, out = self.start[place], self.size[place], []
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            at = codes[low:high]
+            size = sizes[at]
             total = int(size.sum())
             ids = np.empty(total + 1, "<u4")
             if total:
-                ids[:-1] = self.flat[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(total)]
+                ids[:-1] = self.flat[np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(total)]
             ids[-1] = END_ID
             out.append(ids)
         return out
@@ -138,7 +151,7 @@ def tokenised(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = Non
                 ids, texts = batch.column(0).to_pylist(), batch.column(1)
                 for at in range(0, len(ids), 1000):
                     rows = []
-                    for doc, seq in zip(ids[at:at + 1000], encode(texts[at:at + 1000].to_pylist()), strict=True):
+                    for doc, seq in zip(ids[at:at + 1000], encode(texts[at:at + 1000]), strict=True):
                         for s in range(0, len(seq), length):
                             piece = seq[s:s + length]
                             rows.append((doc, s, len(piece), zlib.crc32(piece.tobytes()), len(seq), piece))
