@@ -66,9 +66,9 @@ def keyword_pages(page: DataFrame, page_id: str = "good_list", keep: tuple[str,
 
 
 def flatten_log(log: DataFrame) -> DataFrame:
-    """Nested fields as top-level columns (for sinks and checks)."""
+    """Nested fields as top-level columns (for sinks and checks), with ``offset`` where the log has it."""
     return log.select(
-        "offset",
+        *(["offset"] if "offset" in log.columns else []),
         F.col("common.mid").alias("mid"), F.col("common.vc").alias("vc"), F.col("common.ch").alias("ch"),
         F.col("common.ar").alias("ar"), F.col("common.is_new").alias("is_new"),
         is_start(log).alias("is_start"),

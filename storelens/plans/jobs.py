@@ -5,14 +5,17 @@ statistics) as batch DataFrame plans. Each ``q_*`` takes (spark, sf_dir) and ret
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.operators import aggregates as agg
 from storelens.operators import clean, joins, route, stateful, upsert
 from storelens.sources import adapters as ad
-from storelens.session import materialize
+from storelens.session import checkpoint_root, materialize
 from storelens.sources.tables import Tables
+from storelens.streaming.topics import read_log_archive, write_log_archive
 
 # Fixed parameters of the registered jobs (the shop's values unless said otherwise).
 AS_OF = "2025-01-01 00:00:00"        # replaces the wall clock in stamps and ages (Q17)
@@ -156,6 +159,15 @@ def q_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.flatten_log(clean.parse_log(raw))
 
 
+def q_log_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log archived as JSON lines by day, and its last day read back from the archive (that day's folder only)."""
+    t = Tables(spark, sf_dir)
+    path = f"{checkpoint_root(spark).rstrip('/')}/storelens-archive/{uuid.uuid4().hex}"
+    write_log_archive(ad.behaviour_log_json(t).select("value"), path)
+    last = t.events.agg(F.max("ts").cast("date").cast("string")).first()[0]
+    return clean.flatten_log(clean.parse_log(read_log_archive(spark, path, last, last))).drop("offset")
+
+
 def q_log_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start and page records, labelled by stream in one pass."""
     log = ad.behaviour_log(Tables(spark, sf_dir))
@@ -230,6 +242,7 @@ QUERIES = {
     "user_jump": q_user_jump,
     "user_jump_1h": q_user_jump_1h,
     "log_parse": q_log_parse,
+    "log_archive": q_log_archive,
     "log_split": q_log_split,
     "display_explode": q_display_explode,
     "route_changes": q_route_changes,

@@ -280,6 +280,9 @@ UNION ALL SELECT keyword, order_ct, 'ORDER', stt, edt, {AS_OF_MS} FROM kwa WHERE
         "log_parse": _with(LOG, """
 SELECT "offset", mid, vc, ch, ar, is_new, is_start, page_id, last_page_id, item, during_time,
        CAST(n_displays AS INTEGER) AS n_displays, ts FROM log"""),
+        "log_archive": _with(LOG, """
+SELECT mid, vc, ch, ar, is_new, is_start, page_id, last_page_id, item, during_time,
+       CAST(n_displays AS INTEGER) AS n_displays, ts FROM log WHERE day = (SELECT max(day) FROM log)"""),
         "log_split": _with(LOG, """
 SELECT CASE WHEN is_start THEN 'start' ELSE 'page' END AS stream, "offset", mid, page_id, ts FROM log"""),
         "display_explode": _with(LOG, """

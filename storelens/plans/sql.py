@@ -35,6 +35,25 @@ def _as_of_ms(as_of: str) -> str:
     return f"CAST({int(stamp.timestamp() * 1000)} AS BIGINT)"
 
 
+#: U1, U2 as SQL table functions, under the names that the shop's statements call.
+TABLE_FUNCTIONS = (
+    f"""CREATE OR REPLACE TEMPORARY FUNCTION ik_analyze(text STRING) RETURNS TABLE (word STRING)
+        RETURN SELECT explode(regexp_extract_all(lower(text), r'{KEYWORD_PATTERN}', 0))""",
+    """CREATE OR REPLACE TEMPORARY FUNCTION keywordProductC2R(click BIGINT, cart BIGINT, orders BIGINT)
+        RETURNS TABLE (ct BIGINT, source STRING)
+        RETURN SELECT u.ct, u.source FROM (SELECT explode(filter(array(
+          named_struct('ct', click, 'source', 'CLICK'), named_struct('ct', cart, 'source', 'CART'),
+          named_struct('ct', orders, 'source', 'ORDER')), x -> x.ct > 0)) AS u)""",
+)
+
+
+def create_table_functions(spark: SparkSession) -> None:
+    """Register the table functions in the session. They are SQL text, inlined where they are called: a ``LATERAL`` call
+    becomes a plain ``Generate`` of the JVM, also on streams."""
+    for text in TABLE_FUNCTIONS:
+        spark.sql(text)
+
+
 def province_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 as SQL text: ``COUNT(DISTINCT order_id)`` and ``sum`` per province and 10 s window."""
     t = Tables(spark, sf_dir)
@@ -53,29 +72,34 @@ def province_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
                  province_area_code, province_iso_code, province_3166_2_code""")
 
 
-def keyword_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P11 + U1 + A4 as SQL text: filter, ``LATERAL VIEW explode`` of the tokens, windowed count."""
-    v = _view(jobs.page_records(Tables(spark, sf_dir)), "page_view")
-    return spark.sql(f"""
+#: P11 + J7 + A4: ``{rows}`` has ``page`` and ``rowtime``.
+KEYWORD_STATS = """
         WITH fullword AS (
-          SELECT page.item AS fullword, ts FROM {v}
+          SELECT page.item AS fullword, rowtime FROM {rows}
           WHERE page.page_id = 'good_list' AND page.item IS NOT NULL)
-        SELECT keyword, count(*) AS ct, 'SEARCH' AS source,
-               {_fmt('window.start')} AS stt, {_fmt('window.end')} AS edt, {_as_of_ms(jobs.AS_OF)} AS ts
-        FROM fullword LATERAL VIEW explode(regexp_extract_all(lower(fullword), r'{KEYWORD_PATTERN}', 0)) kw AS keyword
-        GROUP BY window(timestamp_millis(ts), '{jobs.WINDOW}'), keyword""")
+        SELECT k.word AS keyword, count(*) AS ct, 'SEARCH' AS source, {stt} AS stt, {edt} AS edt, {ts} AS ts
+        FROM fullword, LATERAL ik_analyze(fullword) AS k
+        GROUP BY window(rowtime, '{window}'), k.word"""
+
+
+def keyword_stats_text(rows: str, window: str, as_of: str) -> str:
+    return KEYWORD_STATS.format(rows=rows, window=window, stt=_fmt("window.start"), edt=_fmt("window.end"), ts=_as_of_ms(as_of))
+
+
+def keyword_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 + U1 + A4 as SQL text: filter, lateral call of the token function, windowed count."""
+    create_table_functions(spark)
+    pages = jobs.page_records(Tables(spark, sf_dir)).selectExpr("page", "timestamp_millis(ts) AS rowtime")
+    return spark.sql(keyword_stats_text(_view(pages, "page_view"), jobs.WINDOW, jobs.AS_OF))
 
 
 def keyword_actions_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A6 as SQL text: two chained lateral joins (name tokens, then the positive action counts)."""
+    """A6 as SQL text: two chained lateral calls (name tokens, then the positive action counts)."""
+    create_table_functions(spark)
     v = _view(jobs.q_product_stats(spark, sf_dir), "product_stats")
     return spark.sql(f"""
-        SELECT keyword, a.ct AS ct, a.source AS source, stt, edt, {_as_of_ms(jobs.AS_OF)} AS ts
-        FROM {v}
-        LATERAL VIEW explode(regexp_extract_all(lower(spu_name), r'{KEYWORD_PATTERN}', 0)) kw AS keyword
-        LATERAL VIEW explode(filter(array(named_struct('ct', click_ct, 'source', 'CLICK'),
-                                          named_struct('ct', cart_ct, 'source', 'CART'),
-                                          named_struct('ct', order_ct, 'source', 'ORDER')), x -> x.ct > 0)) u AS a""")
+        SELECT k.word AS keyword, a.ct, a.source, stt, edt, {_as_of_ms(jobs.AS_OF)} AS ts
+        FROM {v}, LATERAL ik_analyze(spu_name) AS k, LATERAL keywordProductC2R(click_ct, cart_ct, order_ct) AS a""")
 
 
 SQL_QUERIES = {
@@ -86,8 +110,10 @@ SQL_QUERIES = {
 
 
 def create_topic_table(spark: SparkSession, name: str, path: str, columns: str, fmt: str = "json") -> DataFrame:
-    """S2 in SQL: a topic folder declared as a table with its columns, as the shop's DDL does with a
-    connector. Returns the table; queries can name it in SQL text. ``columns`` is a DDL column list,
-    e.g. ``"offset BIGINT, value STRING"``."""
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} ({columns}) USING {fmt} OPTIONS (path '{path}')")
+    """S2 in SQL: a topic folder declared as a catalogue table with its columns, as the shop's DDL does with a
+    connector. Statements and ``spark.readStream.table`` can name it; dropping it leaves the files. ``columns`` is a DDL
+    column list of the records, e.g. ``"offset BIGINT, value STRING"``; columns that folders are named by (``kind=page``)
+    come after them by themselves and are not listed. Returns the table for batch reading."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} LOCATION '{path}'")
     return spark.table(name)

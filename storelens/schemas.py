@@ -33,7 +33,8 @@ CHANGE = T.StructType([
 
 # Routing rule table, snake_case as stored.
 RULE = T.StructType([T.StructField(n, S) for n in (
-    "source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk", "sink_extend")])
+    "source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk", "sink_extend")]
+    + [T.StructField("rule_order", L)])  # the order in which the rules were stored: of several for a table and type the last counts
 
 # Raw topic record: payload text plus its position in the topic (arrival order).
 RAW = T.StructType([T.StructField("value", S), T.StructField("offset", L)])

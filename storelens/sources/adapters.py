@@ -252,7 +252,7 @@ CHANGE_TYPES = ("insert", "update", "bootstrap-insert", "delete")
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(RULES), schemas.RULE)
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(RULES)], schemas.RULE)
 
 
 def change_log(t: Tables) -> DataFrame:
@@ -315,7 +315,7 @@ SHOP_RULES = (
 
 
 def shop_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(SHOP_RULES), schemas.RULE)
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(SHOP_RULES)], schemas.RULE)
 
 
 def as_changes(df: DataFrame, table: str, offset: Column, ts: Column) -> DataFrame:

@@ -31,7 +31,7 @@ from storelens.functions.time import epoch_ms, event_time
 from storelens.operators import aggregates as agg
 from storelens.operators import clean, joins, route, upsert
 from storelens.streaming import state
-from storelens.streaming.topics import as_records, read_facts, read_rules, stats_writer, write_batch
+from storelens.streaming.topics import as_records, latest_position, read_facts, read_rules, stats_writer, write_batch
 
 # The shop's watermark delays (T4, T5).
 DELAY_ORDER = "3 seconds"
@@ -239,6 +239,37 @@ def keyword_stats_job(spark: SparkSession, lay: Layout, window: str = "10 second
     return _start(kw, "keyword_stats", lay, stats_writer(lay.stats("keyword_stats"), schemas.KEYWORD_STATS_COLUMNS), trigger)
 
 
+def page_table(spark: SparkSession, lay: Layout, table: str) -> None:
+    """The base-log topic declared as the catalogue table ``table``, as the shop's DDL does; its records' ``kind`` is a column."""
+    from storelens.plans.sql import create_topic_table
+    create_topic_table(spark, table, lay.topic("dwd"), "offset BIGINT, value STRING")
+
+
+def keyword_stats_sql_job(spark: SparkSession, lay: Layout, table: str, window: str, as_of: str, start: str = "earliest",
+                          trigger: dict | None = None):
+    """A4 as SQL text over a streaming catalogue table (S2): the declared table is read with ``readStream.table``; its row time
+    and watermark are set in SQL's place (Spark's DDL has no watermark clause), the statement is the batch one.
+
+    ``start="latest"`` takes only files that are newer than all that the topic held when the query first started."""
+    from storelens.plans.sql import create_table_functions, keyword_stats_text
+    create_table_functions(spark)
+    r = spark.readStream
+    if lay.derived_files:
+        r = r.option("maxFilesPerTrigger", KINDS * lay.derived_files)
+    rows = r.table(table)
+    if start == "latest":
+        since = latest_position(spark, lay.topic("dwd"), f"{lay.root.rstrip('/')}/_positions/{table}")
+        rows = rows.where(F.unix_millis("_metadata.file_modification_time") > since)
+    elif start != "earliest":
+        raise ValueError(start)
+    pages = rows.where("kind = 'page'").selectExpr("from_json(value, 'page MAP<STRING,STRING>, ts BIGINT') AS r").selectExpr("r.page", "r.ts")
+    timed = watermarked(pages, DELAY_KEYWORD, extra_ms=lay.late("dwd")).withColumnRenamed("event_time", "rowtime")
+    view = f"{table}_stream"
+    timed.createOrReplaceTempView(view)
+    stats = spark.sql(keyword_stats_text(view, window, as_of))
+    return _start(stats, "keyword_stats_sql", lay, stats_writer(lay.stats("keyword_stats_sql"), schemas.KEYWORD_STATS_COLUMNS), trigger)
+
+
 def order_wide_job(spark: SparkSession, lay: Layout, user: DataFrame, province: DataFrame, products: DataFrame,
                    as_of: str | None = None, bounds: tuple[int, int] = (-5, 5), trigger: dict | None = None):
     """J1 (stream-stream interval join, state evicted by watermark + bounds) + J4 (stream-static)."""

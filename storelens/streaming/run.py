@@ -19,7 +19,7 @@ from storelens.sources import adapters as ad
 from storelens.sources.tables import Tables
 from storelens.streaming import jobs as sj
 from storelens.streaming.publish import SENTINEL_MS, publish, publish_last
-from storelens.streaming.topics import late_rows
+from storelens.streaming.topics import late_rows, read_json_lines
 
 
 def _await(q) -> None:
@@ -136,6 +136,19 @@ def keyword_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_stats(spark, lay.stats("keyword_stats"), schemas.KEYWORD_STATS_COLUMNS)
 
 
+@_sized
+def keyword_stats_sql_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword statistics as SQL text over the page topic, declared by DDL as a table and read as a stream."""
+    lay = _chain(spark, Tables(spark, sf_dir), "keyword-sql", LOG_TOPICS)
+    _base_log_chain(spark, lay)
+    table = f"page_log_{uuid.uuid4().hex[:12]}"
+    sj.page_table(spark, lay, table)
+    _await(sj.keyword_stats_sql_job(spark, lay, table, batch.WINDOW, batch.AS_OF))
+    spark.sql(f"DROP TABLE {table}")
+    _drop(spark, lay, "stats")
+    return _read_stats(spark, lay.stats("keyword_stats_sql"), schemas.KEYWORD_STATS_COLUMNS)
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
 
@@ -225,10 +238,11 @@ def payment_wide_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_sized
 def token_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A5 on a stream: every document text as one record, running comma-token counts (update mode)."""
+    """S3 + A5 on a stream: a text-line source, every line the JSON text of one document, and running comma-token counts
+    (update mode)."""
     lay = new_layout(spark, "tokens")
     Tables(spark, sf_dir).documents.select(F.col("text").alias("value")).write.mode("overwrite").json(lay.topic("lines"))
-    lines = spark.readStream.schema("value string").json(lay.topic("lines"))
+    lines = read_json_lines(spark, lay.topic("lines"), "value string")
     _await(sj.token_count_job(spark, lines, lay.stats("token_counts"), lay.checkpoint("token_counts")))
     _drop(spark, lay, "stats")
     return sj.latest_counts(spark, lay.stats("token_counts"))
@@ -237,6 +251,7 @@ def token_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "visitor_stats_stream": visitor_stats_stream,
     "keyword_stats_stream": keyword_stats_stream,
+    "keyword_stats_sql_stream": keyword_stats_sql_stream,
     "province_stats_stream": province_stats_stream,
     "province_stats_sql_stream": province_stats_sql_stream,
     "product_stats_stream": product_stats_stream,

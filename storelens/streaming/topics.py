@@ -68,7 +68,7 @@ def write_routed(df: DataFrame, path: str, checkpoint: str | None = None, trigge
             .partitionBy("sink_table").outputMode("append").trigger(**(trigger or {"availableNow": True})).start())
 
 
-# ------------------------------------------------------------------ one folder per micro-batch
+# ------------------------------------------------------------------ one folder per micro-batch
 
 def batch_folder(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/batch-{batch_id:012d}"
@@ -173,10 +173,41 @@ def write_console(df: DataFrame, output_mode: str = "append"):
 def write_log_archive(raw: DataFrame, path: str, ts: str = "ts", zone: str = "UTC") -> None:
     """Log lines kept as one JSON per line, one folder per day (``dt=yyyy-MM-dd``).
 
-    ``raw`` has the JSON text in ``value``; the day comes from the record's epoch-ms ``ts``."""
+    ``raw`` has the JSON text in ``value``; the day comes from the record's epoch-ms ``ts``. The days that ``raw`` holds are
+    replaced, all others stay (dynamic partition overwrite), so a day may be archived again. Lines without a time go to the
+    folder of the null day. Files of a day are as many as the tasks that write it; a hot day is not gathered."""
     from storelens.functions.time import day_of
     day = day_of(F.get_json_object("value", f"$.{ts}").cast("long"), zone, "yyyy-MM-dd")
-    raw.select("value", day.alias("dt")).write.mode("append").partitionBy("dt").text(path)
+    (raw.select("value", day.alias("dt")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dt").text(path))
+
+
+def read_log_archive(spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
+    """The archive's lines, ``value`` and ``dt``; of the days asked for only those folders are listed and read."""
+    lines = spark.read.schema("value string, dt string").text(path)
+    if first_day is not None:
+        lines = lines.where(F.col("dt") >= first_day)
+    return lines if last_day is None else lines.where(F.col("dt") <= last_day)
+
+
+def newest_file_ms(spark: SparkSession, path: str) -> int:
+    """The latest modification time (epoch ms) of a topic's files; 0 for an empty or missing topic."""
+    p, fs = _file_system(spark, path)
+    if not fs.exists(p):
+        return 0
+    newest, files = 0, fs.listFiles(p, True)
+    while files.hasNext():
+        newest = max(newest, files.next().getModificationTime())
+    return newest
+
+
+def latest_position(spark: SparkSession, path: str, kept_at: str) -> int:
+    """S2 "latest offset": the position at which a query first started on a topic, the newest file it had then. It is kept in
+    the folder ``kept_at``, so that a restart goes on from the query's checkpoint instead of skipping what came meanwhile."""
+    p, fs = _file_system(spark, kept_at)
+    if not fs.exists(p):
+        write_batch(spark.createDataFrame([(newest_file_ms(spark, path),)], "ms long"), kept_at, 0, "parquet")
+    return spark.read.parquet(batch_folder(kept_at, 0)).first()["ms"]
 
 
 def read_rules(spark: SparkSession, path: str | None = None, jdbc_url: str | None = None,

@@ -123,17 +123,6 @@ def test_token_count_stream_updates(spark):
     assert got == {"a": 2, "b": 2, "c": 2}
 
 
-def test_log_archive_by_day(spark):
-    from storelens.streaming.topics import read_json_lines, write_log_archive
-    d = tempfile.mkdtemp(prefix="archive-", dir="/tmp")
-    raw = spark.createDataFrame([('{"ts": 1000, "common": {"mid": "1"}}',), ('{"ts": 90000000, "common": {"mid": "2"}}',)],
-                                "value string")
-    write_log_archive(raw, d)
-    back = read_json_lines(spark, d, schemas.LOG, stream=False)
-    assert sorted(r["ts"] for r in back.collect()) == [1000, 90000000]
-    assert sorted(str(r["dt"]) for r in spark.read.text(d).select("dt").distinct().collect()) == ["1970-01-01", "1970-01-02"]
-
-
 def test_order_wide_stream_interval_join(spark):
     """J1 stream-stream: lines within +-5 ms of their order join; state evicted by watermark + bounds."""
     lay = _layout()

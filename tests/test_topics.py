@@ -1,5 +1,6 @@
 """Sinks and sources: routed topics (S8), statistics writer replay (S10), rule table (S5), console."""
 
+import json
 import tempfile
 
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ def test_stats_writer_replay_replaces_batch(spark):
 
 def test_rule_table_reader(spark):
     d = _tmp("rules-")
-    spark.createDataFrame([("t", "insert", "hbase", "dim_t", "id", "id", None)], schemas.RULE).write.mode("overwrite").parquet(d)
+    spark.createDataFrame([("t", "insert", "hbase", "dim_t", "id", "id", None, 0)], schemas.RULE).write.mode("overwrite").parquet(d)
     rules = topics.read_rules(spark, d)
     assert rules.columns == list(schemas.RULE.fieldNames()) and rules.count() == 1
 
@@ -68,3 +69,71 @@ def test_materialize_and_clear(spark):
     assert df.count() == 10
     clear_materialized(spark)
     assert materialize(spark.range(3), "t").count() == 3
+
+
+def test_stored_rules_last_one_counts(spark):
+    """Two stored rules for one table and type: the later by ``rule_order`` routes, whatever its values and file order."""
+    from storelens.operators import route
+    d = _tmp("rules-")
+    rows = [("t", "insert", "hbase", "dim_z", "", "id", None, 1), ("t", "insert", "kafka", "dwd_a", "", "id", None, 2)]
+    for r in reversed(rows):
+        spark.createDataFrame([r], schemas.RULE).write.mode("append").parquet(d)
+    changes = spark.createDataFrame([("t", "insert", {"id": "1"}, 0)], "table string, type string, data map<string,string>, ts long")
+    got = route.route(changes, topics.read_rules(spark, d)).collect()
+    assert [(r["sink_type"], r["sink_table"]) for r in got] == [("kafka", "dwd_a")]
+
+
+def test_log_archive_replaces_days_and_reads_one(spark):
+    d = _tmp("archive-")
+    line = lambda day, x: (json.dumps({"ts": day * 86_400_000 + 5, "x": x}),)
+    put = lambda rows: topics.write_log_archive(spark.createDataFrame(rows, "value string"), d)
+    put([line(0, "a"), line(1, "b"), line(1, "c"), ("no json",)])
+    put([line(1, "B")])   # day 1 again; day 0 stays
+    day = topics.read_log_archive(spark, d, "1970-01-02", "1970-01-02")
+    assert [json.loads(r["value"])["x"] for r in day.collect()] == ["B"]
+    assert sorted(str(r["dt"]) for r in topics.read_log_archive(spark, d).collect()) == ["1970-01-01", "1970-01-02", "None"]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "1970-01-02" in plan
+
+
+def test_stream_table_by_ddl_from_the_latest_position(spark):
+    """A declared table as a stream source; "latest" skips what the topic holds at the first start, and a restart skips
+    nothing more."""
+    import time
+
+    from storelens.streaming import jobs as sj
+    lay = sj.Layout(_tmp("latest-"))
+
+    def put(word, ts):
+        time.sleep(1.1)
+        page = {"page": {"page_id": "good_list", "item": word}, "ts": ts}
+        spark.createDataFrame([(0, json.dumps(page), "page")], "offset long, value string, kind string").coalesce(1) \
+            .write.mode("append").partitionBy("kind").json(lay.topic("dwd"))
+
+    def run():
+        q = sj.keyword_stats_sql_job(spark, lay, "page_log_latest", "10 seconds", "2025-01-01 00:00:00", start="latest")
+        q.awaitTermination()
+        assert q.exception() is None
+
+    put("old", 1_000)
+    sj.page_table(spark, lay, "page_log_latest")
+    run()
+    put("new words", 20_000)
+    run()
+    put("more", 40_000)
+    put("end", 900_000)
+    run()
+    spark.sql("DROP TABLE page_log_latest")
+    got = sorted((r["keyword"], r["ct"]) for r in spark.read.parquet(lay.stats("keyword_stats_sql")).collect())
+    assert got == [("more", 1), ("new", 1), ("words", 1)]
+
+
+def test_lateral_functions_stay_generates(spark):
+    from storelens.plans import sql
+    sql.create_table_functions(spark)
+    df = spark.sql("""SELECT k.word, a.ct, a.source FROM VALUES ('Red ball', 2L, 0L, 1L), ('', 1L, 1L, 1L), (NULL, 1L, 1L, 1L)
+                      AS t(name, c, b, o), LATERAL ik_analyze(name) AS k, LATERAL keywordProductC2R(c, b, o) AS a""")
+    assert sorted(map(tuple, df.collect())) == [("ball", 1, "ORDER"), ("ball", 2, "CLICK"), ("red", 1, "ORDER"), ("red", 2, "CLICK")]
+    big = spark.sql("SELECT k.word FROM range(10) AS r, LATERAL ik_analyze(CAST(r.id AS STRING)) AS k")
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Join" not in plan and "Python" not in plan
