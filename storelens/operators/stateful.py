@@ -27,20 +27,28 @@ def _mid(key: str) -> Column:
     return F.col(key)
 
 
-def repair_is_new(log: DataFrame, key: str = "common.mid", order_by: Sequence[str] = ORDER,
-                  zone: str = "UTC") -> DataFrame:
-    """The first record (in ``order_by``) with is_new='1' fixes the device's day; a later is_new='1'
-    on another day becomes '0'. Records with '0' neither read nor set the state."""
+def first_days(log: DataFrame, key: str = "common.mid", order_by: Sequence[str] = ORDER, zone: str = "UTC") -> DataFrame:
+    """T1's state: per device (``_k``) the day of its first record (in ``order_by``) with is_new='1' (``_first_day``)."""
     day = day_of(F.col("ts"), zone)
     flagged = log.where(F.col("common.is_new") == "1")
     if order_by[0] == "ts":
         # Days never go back along time: the first record's day is the day of the smallest ts
         # (a fixed-width min, so a hash aggregate).
-        first = flagged.groupBy(_mid(key).alias("_k")).agg(F.min("ts").alias("_t")) \
+        return flagged.groupBy(_mid(key).alias("_k")).agg(F.min("ts").alias("_t")) \
             .select("_k", day_of(F.col("_t"), zone).alias("_first_day"))
-    else:
-        first = flagged.select(_mid(key).alias("_k"), F.struct(*[F.col(c) for c in order_by], day.alias("day")).alias("_o")) \
-            .groupBy("_k").agg(F.min("_o").alias("_o")).select("_k", F.col("_o.day").alias("_first_day"))
+    return flagged.select(_mid(key).alias("_k"), F.struct(*[F.col(c) for c in order_by], day.alias("day")).alias("_o")) \
+        .groupBy("_k").agg(F.min("_o").alias("_o")).select("_k", F.col("_o.day").alias("_first_day"))
+
+
+def repair_is_new(log: DataFrame, key: str = "common.mid", order_by: Sequence[str] = ORDER,
+                  zone: str = "UTC", history: DataFrame | None = None) -> DataFrame:
+    """The first record (in ``order_by``) with is_new='1' fixes the device's day; a later is_new='1'
+    on another day becomes '0'. Records with '0' neither read nor set the state.
+
+    ``history``: the log that the first days are taken from, where ``log`` holds some of its records only. T2 and T3 never
+    look at is_new, so a job may pick its records first and repair those few."""
+    day = day_of(F.col("ts"), zone)
+    first = first_days(log if history is None else history, key, order_by, zone)
     j = log.join(first, _mid(key) == first["_k"], "left")
     fixed = F.when((F.col("common.is_new") == "1") & (day != F.col("_first_day")), F.lit("0")) \
         .otherwise(F.col("common.is_new"))
@@ -65,9 +73,9 @@ def daily_unique(pages: DataFrame, key: str = "common.mid", order_by: Sequence[s
     if method != "first_per_day":
         raise ValueError(method)
     payload = [c for c in pages.columns if c not in order_by]
-    # Dealt out by (device, day): without this exchange the aggregate would reuse the partitioning of a join by
-    # device before it, and neither that join's hot device nor this aggregate's could be split.
-    entry = entry.withColumn("_k", _mid(key)).repartition("_k", "_day")
+    # Combined where the rows are read: a task sends one record per (device, day). On the output of a join by device the
+    # aggregate would reuse that partitioning instead, so take the visits before such a join (see ``repair_is_new``).
+    entry = entry.withColumn("_k", _mid(key))
     firsts = entry.groupBy("_k", "_day").agg(
         F.min(F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in payload])).alias("_r"))
     return firsts.select(*[F.col(f"_r.{c}").alias(c) for c in pages.columns])

@@ -139,8 +139,10 @@ def q_new_visitor_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_unique_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First entry page per device and day."""
-    return _log_rows(stateful.daily_unique(log_pages(Tables(spark, sf_dir))))
+    """First entry page per device and day, taken from the raw log; T1 then repairs those records only."""
+    t = Tables(spark, sf_dir)
+    visits = stateful.daily_unique(page_records(t))
+    return _log_rows(stateful.repair_is_new(visits, history=ad.behaviour_log(t)))
 
 
 def q_user_jump(spark: SparkSession, sf_dir: str) -> DataFrame:

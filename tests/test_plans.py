@@ -48,15 +48,20 @@ def test_routing_scans_changes_once(spark):
     assert p.count("FileScan parquet") == 2   # customer once, part once
 
 
-def test_unique_visit_is_dealt_by_device_and_day(spark):
-    """Without broadcasts the join by device is followed by an exchange, so its hot device can be split."""
+def test_unique_visits_combine_before_their_exchange(spark):
+    """A partial min per (device, day) below the exchange, straight over the log's rows, so a hot (device, day) sends one
+    record a task; the repair joins the few visits afterwards."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         p = QUERIES["unique_visit"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    above = p[:p.index("SortMergeJoin")]
-    assert "Exchange hashpartitioning(_k" in above and "_day" in above
+    lines = p.splitlines()
+    final = next(i for i, x in enumerate(lines) if "Aggregate(key=[_k" in x and "_day" in x and "functions=[min(" in x)
+    below = lines[final + 1:]
+    exchange = next(i for i, x in enumerate(below) if "Exchange hashpartitioning(_k" in x and "_day" in x)
+    partial = next(i for i, x in enumerate(below) if "partial_min(" in x and "_day" in x)
+    assert exchange < partial and "SortMergeJoin" in "".join(lines[:final])
 
 
 def test_bounces_read_the_log_once(spark):
