@@ -59,6 +59,7 @@ AGAINST = {
 }
 VOTES = ("strict", "wide", "gazetteer", "context", "against", "checksum")
 THRESHOLD = 0.5
+BLOCK = 64  # matches scanned together
 REACH = 40  # code points of context before a span that the context labelers see
 
 
@@ -88,28 +89,46 @@ def _passes(kind: str, m: Column) -> Column:
 
 
 def _found(text: Column, pattern: str, gate: Column) -> Column:
-    """array<struct<start, m>>: leftmost non-overlapping matches, start in code points."""
-    pieces = F.split(text, pattern, -1)
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(pieces.alias("p"), matches.alias("m"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,m:string>>").alias("out"))
-    found = F.aggregate(pairs, zero, lambda a, x: F.struct(
-        (a["at"] + F.length(x["p"]) + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"),
-        F.when(x["m"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(F.struct(
-            (a["at"] + F.length(x["p"])).alias("start"), x["m"].alias("m"))))).alias("out")), lambda a: a["out"])
-    empty = F.array().cast("array<struct<start:int,m:string>>")
-    return F.when(gate, F.when(text.rlike(pattern), found).otherwise(empty)).otherwise(empty)
+    """array<struct<start, m, before>>: leftmost non-overlapping matches, start in code points, and up to ``REACH`` code points
+    before each. Positions are running sums over the pieces between matches, in blocks of ``BLOCK``, so the time grows with
+    the matches and the text, not with their product."""
+    empty = F.array().cast("array<struct<start:int,m:string,before:string>>")
+    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
+
+    def in_blocks(pairs: Column) -> Column:
+        last = F.floor((F.size(pairs) - 1) / BLOCK).cast("int")
+        block = lambda j: F.slice(pairs, j * BLOCK + 1, F.lit(BLOCK))
+        whole = lambda x: F.concat(x["p"], F.coalesce(x["m"], F.lit("")))
+        ends = F.transform(F.sequence(F.lit(0), last), lambda j: F.struct(
+            F.aggregate(block(j), F.lit(0), lambda n, x: n + F.length(x["p"]) + F.coalesce(F.length(x["m"]), F.lit(0))).alias("size"),
+            F.aggregate(block(j), F.lit(""), lambda a, x: F.right(F.concat(a, whole(x)), F.lit(REACH))).alias("tail")))
+        begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast("array<struct<at:int,tail:string>>").alias("all"))
+        begins = F.aggregate(ends, begin, lambda a, e: F.struct(
+            (a["at"] + e["size"]).alias("at"), e["tail"].alias("tail"),
+            F.concat(a["all"], F.array(F.struct(a["at"].alias("at"), a["tail"].alias("tail")))).alias("all")), lambda a: a["all"])
+
+        def scan(b: Column, j: Column) -> Column:
+            zero = F.struct(b["at"].alias("at"), b["tail"].alias("tail"), empty.alias("out"))
+            return F.aggregate(block(j), zero, lambda a, x: F.struct(
+                (a["at"] + F.length(x["p"]) + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"),
+                F.right(F.concat(a["tail"], whole(x)), F.lit(REACH)).alias("tail"),
+                F.when(x["m"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(F.struct(
+                    (a["at"] + F.length(x["p"])).alias("start"), x["m"].alias("m"),
+                    F.right(F.concat(a["tail"], x["p"]), F.lit(REACH)).alias("before"))))).alias("out")), lambda a: a["out"])
+        return F.flatten(F.transform(begins, scan))
+
+    # the pieces are bound to a name: they are made once
+    return F.when(gate & text.rlike(pattern), F.transform(F.array(pieces), in_blocks)[0]).otherwise(empty)
 
 
 def _vote(yes: Column, no: Column | None = None) -> Column:
     return F.when(yes, F.lit(1)).when(no if no is not None else F.lit(False), F.lit(-1)).otherwise(F.lit(0))
 
 
-def _voter(text: Column, kind: str, rank: int, strict: bool):
+def _voter(kind: str, rank: int, strict: bool):
     """The votes of all labelers on one found match."""
     def vote(x):
-        m, start = x["m"], x["start"]
-        before = F.substring(text, F.greatest(start - REACH + 1, F.lit(1)), F.least(start, F.lit(REACH)))
+        m, start, before = x["m"], x["start"], x["before"]
         passed = _passes(kind, m) if strict or kind == "phone" else F.lit(True)
         return F.struct(
             start.alias("start"), (start + F.length(m)).alias("end"), F.lit(rank).alias("rank"),
@@ -140,7 +159,7 @@ def candidates(text: Column) -> Column:
             strict = form == "strict"
             found = _found(text, pattern, (gates if strict else wide_gates)[kind])
 
-            parts.append(F.transform(found, _voter(text, kind, rank, strict)))
+            parts.append(F.transform(found, _voter(kind, rank, strict)))
     return F.concat(*parts)
 
 
@@ -223,7 +242,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per input row: ``doc_id, found`` with the kept spans (start, rank, end, kind, base, p).
 
     Null and empty texts have no spans; an empty table gives no rows (the classifier then keeps its prior);
-    null ids are kept. Other columns are ignored.
+    null ids are kept. Repeated rows are found each, and their votes count each. Spans that begin together go by kind as listed,
+    then by end. Texts of any length are taken whole, in time that grows with text and matches (only added spans are held
+    against the base ones pair by pair). Other columns are ignored.
     """
     found = write_once(docs.select(F.col(id_col).alias("doc_id"), candidates(F.col(text_col)).alias("found")), "pii")
     model = fit(found.select(F.explode("found").alias("c")).select("c.kind", "c.votes"))
@@ -243,22 +264,48 @@ def digest(spans: DataFrame) -> DataFrame:
         F.coalesce(F.array_max(F.transform("found", lambda s: s["p"])), F.lit(0.0)).alias("max_probability"))
 
 
+def _fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _rewritten(text: Column, spans: Column) -> Column:
+    """``text`` with every span replaced by its kind, in blocks of ``BLOCK`` spans: each block cuts its own stretch first."""
+    merged = F.aggregate(spans, F.lit(-1), lambda a, s: F.greatest(a, s["end"]))  # where the last one ends
+
+    def piece(part: Column, begin: Column, end: Column) -> Column:
+        stretch = F.transform(F.array(F.substring(text, begin + 1, end - begin)), lambda x: F.aggregate(
+            part, F.struct(begin.alias("at"), F.lit("").alias("out")), lambda a, s: F.when(s["start"] < a["at"], F.struct(
+                F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(F.struct(
+                    s["end"].alias("at"), F.concat(a["out"], F.substring(x, a["at"] - begin + 1, s["start"] - a["at"]), F.lit("<"),
+                                                   s["kind"], F.lit(">")).alias("out"))), lambda a: a["out"]))
+        return stretch[0]
+
+    def blocks(all_: Column) -> Column:
+        last = F.floor((F.size(all_) - 1) / BLOCK).cast("int")
+        part = lambda j: F.slice(all_, j * BLOCK + 1, F.lit(BLOCK))
+        reach = F.transform(F.sequence(F.lit(0), last), lambda j: F.aggregate(part(j), F.lit(0), lambda a, s: F.greatest(a, s["end"])))
+
+        def joined(ends: Column) -> Column:
+            begin = lambda j: F.when(j == 0, F.lit(0)).otherwise(F.array_max(F.slice(ends, 1, j)))
+            return F.array_join(F.transform(ends, lambda end, j: piece(part(j), begin(j), F.greatest(begin(j), end))), "")
+        return F.transform(F.array(reach), joined)[0]
+
+    return F.concat(F.transform(F.array(spans), blocks)[0], F.substring(text, merged + 1, F.length(text)))
+
+
 def redact(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The same rows and columns with every kept span replaced by its kind in angle brackets.
 
-    Overlapping spans are replaced as one, under the first one's kind. Null texts stay null. The votes are
-    counted over all rows first; the texts are then rewritten in place, without a shuffle.
+    Overlapping spans are replaced as one, under the first one's kind. Null and empty texts stay, repeated rows are rewritten
+    each, an empty table gives no rows, columns of any name pass through. Spans are found once: the rows are written with their
+    candidates, whose votes are counted over all rows, and rewritten from there, without a shuffle.
     """
-    model = fit(docs.select(F.explode(candidates(F.col(text_col))).alias("c")).select("c.kind", "c.votes"))
-    text, spans = F.col(text_col), F.col("__pii_spans")
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(spans, zero, lambda a, s: F.when(s["start"] < a["at"], F.struct(
-        F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(F.struct(
-            s["end"].alias("at"),
-            F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit("<"), s["kind"],
-                     F.lit(">")).alias("out"))),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    staged = docs.withColumn("__pii_found", candidates(text)).withColumn(
-        "__pii_spans", classify(F.col("__pii_found"), model, threshold))
-    return staged.withColumn(text_col, F.when(F.size(spans) > 0, done).otherwise(text)).drop(
-        "__pii_found", "__pii_spans")
+    name = _fresh(docs, "pii_candidates")
+    staged = write_once(docs.withColumn(name, candidates(F.col(text_col))), "pii-rows")
+    model = fit(staged.select(F.explode(name).alias("c")).select("c.kind", "c.votes"))
+    spans = F.transform(F.array(classify(F.col(name), model, threshold)), lambda s: F.when(F.size(s) > 0, _rewritten(F.col(text_col), s)))[0]
+    return staged.withColumn(text_col, F.coalesce(spans, F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns])

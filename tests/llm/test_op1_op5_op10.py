@@ -74,6 +74,32 @@ def test_pii_empty(spark, edge):
     assert pii.redact(edge.limit(0)).columns == edge.columns
 
 
+def test_every_rule_text_passes_its_gate_and_is_found(spark):
+    """Each text of each rule, in plain Python: it holds one of the rule's keywords, and the rule matches it whole."""
+    from storelens.llm.license_scan import CLAUSES, FAMILIES, RULES, SENTENCES, _numbered, texts_of
+    assert len(RULES) > 500 and len({r[0] for r in RULES}) > 90
+    seen = 0
+    for words, key in [(r[4], r[1]) for r in (*SENTENCES, *CLAUSES)] + [(r[2], r[1]) for r in FAMILIES]:
+        rules = [r for r in RULES if r[4] == _numbered(words)]
+        for text in texts_of(words):
+            numbered = " ".join(f"{i}:{w}" for i, w in enumerate(text.split(" ")))
+            for r in rules:
+                assert any(k in f" {text}" for k in r[1]), (key, text)
+                assert re.fullmatch(r[4], numbered), (key, text)
+                seen += 1
+    assert seen > 700
+
+
+@pytest.mark.parametrize("text, label", [
+    ("under the Expat License", "mit"), ("the FreeBSD License", "bsd-2"), ("GNU Library General Public License version 2", "lgpl-2"),
+    ("GPL v3 or any later version", "gpl-3-or-later"), ("GNU General Public License, version 2 only", "gpl-2-only"),
+    ("with LLVM exceptions", "llvm-exception"), ("Blue Oak Model License", "blue-oak-1"), ("licensed under the Mulan PSL v2", "mulan-2"),
+])
+def test_labels_of_sentences(spark, text, label):
+    df = spark.createDataFrame([(1, f"This work is {text}.")], "doc_id long, text string")
+    assert license_scan.digest(license_scan.scan_licenses(df)).first()["labels"] == label
+
+
 def brute_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
 
@@ -148,3 +174,20 @@ def test_shards_hot_text_and_movement(spark):
     assert max(Counter(small.values()).values()) <= 1.25 * 6000 / 20 + 1
     big = {r.doc_id: r.shard for r in sharding.assign_shards(docs, 21, slack=0.25).collect()}
     assert sum(small[i] != big[i] for i in small) < 0.35 * len(small)  # hashing afresh would move 95 %
+
+
+def test_redact_takes_any_column_and_many_spans(spark):
+    """Caller's columns stay, spans in every block of a long text go, and the time grows with the text."""
+    import time
+    many = "mail a.b@mail.example.com now " * 700 + "ip 10.20.30.40, " * 700
+    rows = [(1, many, "own", 5), (1, many, "own", 5), (2, None, "x", 1), (3, "", "x", 1), (None, "call +1 415 555 2671", "y", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pii_candidates string, __pii_spans int")
+    got = pii.redact(docs)
+    assert got.columns == docs.columns and pii.redact(docs.limit(0)).count() == 0
+    by = sorted(((r[0] or 0, r[1], r[2], r[3]) for r in got.collect()), key=str)
+    want = many.replace("a.b@mail.example.com", "<email>").replace("10.20.30.40", "<ip>")
+    assert by == sorted([(1, want, "own", 5), (1, want, "own", 5), (2, None, "x", 1), (3, "", "x", 1), (0, "call <phone>", "y", 2)], key=str)
+    long = spark.createDataFrame([(1, "10.20.30.40 8.8.4.4 " * 50_000)], "doc_id long, text string")   # 1 MB of addresses
+    began = time.time()
+    assert pii.digest(pii.find_pii(long)).first()["n_ip"] == 100_000
+    assert time.time() - began < 60
