@@ -70,6 +70,51 @@ def test_frames_by_whole_attributes(page, want):
     assert [t for _, t in html_text.blocks(page)] == want
 
 
+@pytest.mark.parametrize("piece", ["<a ", "<a ='", "<a ='>'", "<b>x</i>", "<a<", "<!-", "<p a=\"", "</", "<a b=c ", "&lt", "<div><p>", "< a=>"])
+def test_hostile_markup_takes_linear_time(piece):
+    import time
+    page = piece * (1_000_000 // len(piece))
+    for tail in ("", ">", "'>", "</article>"):
+        began = time.process_time()
+        html_text.blocks(page + tail)
+        assert time.process_time() - began < 12, (piece, tail)
+
+
+TAG = __import__("re").compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?([a-zA-Z][^\s/>]*)"
+                               r"((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>", __import__("re").S)
+
+
+def test_tags_against_one_expression():
+    rng = random.Random(11)
+    for _ in range(4000):
+        page = "".join(rng.choices(["<", ">", "a", "/", "=", "'", '"', " ", "!", "--", "<p", "</p>", "<a b='", "\n", "<!--", "-->", "<![CDATA[", "]]>", "?"], k=rng.randrange(25)))
+        tags, at, got = html_text.Tags(page), 0, []
+        while (t := tags.next(at))[0] < len(page):
+            got.append(t)
+            at = t[1]
+        want = [(m.start(), m.end(), (m[1] or "").lower(), m[2] or "") for m in TAG.finditer(page)]
+        assert got == want, page
+
+
+def test_without_article_marks_the_article_stays(spark):
+    """The given pages without article elements, classes, ids and roles. Their menus and notices are made of words drawn page by
+    page, so few lines repeat on the nearest page; what differencing takes there must not be the article's."""
+    import re
+    from collections import Counter
+    rows = [(r.page_id, r.url, re.sub(r"</?(?:article|main|nav|header|footer|aside|section)\b", lambda m: ("</div" if "/" in m[0] else "<div"),
+             re.sub(r"\s(?:class|id|role)=(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", r.html))) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    truth = {r.page_id: Counter(r.text.split("\n")) for r in queries.op3_page_text(spark, "/root/testdata/sf0.01").collect()}
+    got = html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    kept = sum((Counter(r.text.split("\n")) & truth[r.page_id]).total() for r in got)
+    assert kept >= 0.99 * sum(c.total() for c in truth.values()) and sum(r.n_deleted for r in got) > 0
+
+
+def test_repeated_url_with_other_html(spark):
+    rows = [(1, "http://h.example.com/a", "<p>one</p><p>two</p><p>three</p><p>four</p>"), (1, "http://h.example.com/a", "<p>one</p><p>two</p><p>five</p><p>six</p>")]
+    got = sorted(r.text for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    assert got == ["five\nsix", "three\nfour"]
+
+
 def brute_lcs(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
