@@ -233,16 +233,24 @@ def visitor_stats(events: DataFrame, window: str = "10 seconds", zone: str = "UT
 
 # ----------------------------------------------------------------------------- province statistics
 
+PROVINCE_ATTRIBUTES = {"name": "province_name", "area_code": "province_area_code", "iso_code": "province_iso_code",
+                       "iso_3166_2": "province_3166_2_code"}
+
+
 def province_stats(order_wide: DataFrame, window: str = "10 seconds", as_of: str | None = None,
-                   zone: str = "UTC", ts_col: str = "create_ts", time_col: str | None = None) -> DataFrame:
+                   zone: str = "UTC", ts_col: str = "create_ts", time_col: str | None = None,
+                   province: DataFrame | None = None) -> DataFrame:
     """A3: per province and window, distinct orders and the sum of line amounts.
 
     In two levels, (window, province, order) then (window, province): both combine map-side, and on streams
-    (``time_col``) the state holds a fixed-width row per order, never a set of ids."""
+    (``time_col``) the state holds a fixed-width row per order, never a set of ids. With ``province``, the dimension, the
+    lines need only carry ``province_id``: the aggregates run on that one key and their few rows are looked up."""
     w, stt, edt = _tumbling(window, zone, time_col, ts_col)
-    keys = ["province_id", "province_name", "province_area_code", "province_iso_code", "province_3166_2_code"]
+    keys = ["province_id"] if province is not None else ["province_id", *PROVINCE_ATTRIBUTES.values()]
     orders = order_wide.groupBy(w, *keys, "order_id").agg(F.sum(_cents("split_total_amount").cast("long")).alias("_c"))
     agg = orders.groupBy("_w", *keys).agg(F.count("order_id").alias("order_count"), _from_cents(F.sum("_c")).alias("order_amount"))
+    if province is not None:
+        agg = lookup(agg, province, {"province_id": "id"}, PROVINCE_ATTRIBUTES)
     return agg.select(stt, edt, "province_id", "province_name", F.col("province_area_code").alias("area_code"),
                       F.col("province_iso_code").alias("iso_code"), F.col("province_3166_2_code").alias("iso_3166_2"),
                       "order_amount", "order_count", stamp_ms(as_of).alias("ts"))

@@ -63,12 +63,9 @@ def payment_wide_of(t: Tables, wide: DataFrame | None = None) -> DataFrame:
 # ------------------------------------------------------------------------------------------ queries
 
 def q_province_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: orders x lines (J1) -> province lookup (J3) -> province statistics (A3)."""
+    """Flagship: orders x lines (J1) -> province statistics (A3) by province id -> province lookup (J3) of the result."""
     t = Tables(spark, sf_dir)
-    wide = joins.lookup(order_wide_core(t), ad.dim_province(t), {"province_id": "id"},
-                        {"name": "province_name", "area_code": "province_area_code",
-                         "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code"})
-    return agg.province_stats(wide, WINDOW, AS_OF)
+    return agg.province_stats(order_wide_core(t), WINDOW, AS_OF, province=ad.dim_province(t))
 
 
 def q_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
