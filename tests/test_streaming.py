@@ -3,7 +3,6 @@
 import json
 import tempfile
 
-import pytest
 
 from pyspark.sql import functions as F
 
