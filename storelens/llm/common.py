@@ -20,12 +20,23 @@ def lower_ascii(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+SALTS = 256
+
+
+def _lowest(rows: DataFrame) -> DataFrame:
+    """``rows`` (u, v) with ``m``, the smallest of u and its v. A node's rows are dealt by a hash of v over ``SALTS`` join keys, and its
+    minimum goes to those keys that occur, so a hub's rows spread over tasks and no other node's minimum is copied in vain."""
+    salt = F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")
+    low = rows.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.collect_set(salt).alias("salts"))
+    return rows.withColumn("salt", salt).join(low.select("u", "m", F.explode("salts").alias("salt")), ["u", "salt"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> DataFrame:
     """Connected components of the undirected edges ``(a, b)``: one row ``(node, component)`` per node
     that has an edge to another node; ``component`` is the smallest node reachable.
 
     Alternating large-star / small-star rounds: each round is two minima per node (combined map-side) and
-    two equi-joins, which AQE can split at hubs; a round is written to the shared folder, so a lost
+    two equi-joins, salted so that a hub spreads over tasks; a round is written to the shared folder, so a lost
     executor replays one round. Every round keeps connectivity; it ends when the edge set is stable,
     which is when every node hangs on its component's minimum. Self-edges, repeated edges and null ends
     are dropped; no edges give an empty table.
@@ -42,13 +53,9 @@ def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> Data
             break
         seen = tuple(state)
         both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u != v").distinct())
+        large = _lowest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         # small star: each node's lower neighbours, and itself, move to the lowest of them
-        mins = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(mins, "u").select(F.explode(F.array(F.col("u"), F.col("v"))).alias("u"),
-                                              F.col("m").alias("v"))
+        small = (_lowest(large).select(F.explode(F.array(F.col("u"), F.col("v"))).alias("u"), F.col("m").alias("v"))
                  .where("u != v").distinct())
         e = write_once(small, f"{name}-{i + 1}")
     else:

@@ -76,7 +76,9 @@ def mix(docs: DataFrame, max_repetition: float | None = MAX_REPETITION, target_e
     table gives no rows. A source's tokens exceed its quota by less than one row.
     """
     spark = docs.sparkSession
-    rows = docs.withColumns({
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}  # no column of docs can meet a helper's name
+    id_col, source_col, text_col = names[id_col], names[source_col], names[text_col]
+    rows = docs.toDF(*names.values()).withColumns({
         "__source": F.coalesce(F.col(source_col), F.lit("")),
         "mix_tokens": F.size(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"),
                                                   F.lit(0))).cast("long"),
@@ -113,4 +115,4 @@ def mix(docs: DataFrame, max_repetition: float | None = MAX_REPETITION, target_e
     place = F.pmod(F.xxhash64("mix_block", "mix_epoch", F.lit(seed + 1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     out = out.withColumn("mix_order", (F.col("mix_epoch") + place) / (F.col("__epochs") + F.when(
         F.col("__rest") > 0, F.lit(1)).otherwise(F.lit(0))))
-    return out.select(*[F.col(c) for c in docs.columns if c not in OWN], *OWN)
+    return out.select(*[F.col(n).alias(c) for c, n in names.items() if c not in OWN], *OWN)

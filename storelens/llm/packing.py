@@ -26,10 +26,9 @@ OPEN_WINDOWS = 64
 PART = 16_384
 MERGE = 32  # parts whose leftovers are merged together
 END_ID = 2
-_NO_ID = -(1 << 63)
 _WORDS = 600_000  # words remembered per task
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_PACKED = _PIECES + ", sequence_id long, offset long"
+_PACKED = _PIECES + ", no_id boolean, sequence_id long, offset long"
 
 
 #: After a (Latin) letter, symbols up to a blank: the vocabulary's splitter cuts there too, so a blank changes no id.
@@ -229,14 +228,14 @@ def pack(docs: DataFrame, length: int = LENGTH, open_windows: int = OPEN_WINDOWS
     length is cut every ``length`` ids; an empty table gives no rows. Other columns are ignored. Which ids lie in
     which sequence depends on the rows alone, not on tasks. ``sequences`` gives the padded ids.
     """
-    # pandas has no null integers: a null id travels as the smallest long
-    pieces = write_once(tokenised(docs, length, tokenizer, id_col, text_col)
-                        .withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID))), "pieces")
+    # pandas has no null integers: a null id travels as a zero and a mark
+    pieces = write_once(tokenised(docs, length, tokenizer, id_col, text_col).withColumns(
+        {"no_id": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0))}), "pieces")
     parts = max(1, math.ceil(pieces.count() / PART))
     names = [f.split()[0] for f in _PACKED.split(", ")]
 
     def online(key, frame):
-        frame = frame.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
+        frame = frame.sort_values(["no_id", "doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)
         emitted, left = pack_online(frame["length"].tolist(), length, open_windows)
         first = key[0] << 24
         a, b = _rows(frame, emitted, first), _rows(frame, left, first + len(emitted))
@@ -254,7 +253,7 @@ def pack(docs: DataFrame, length: int = LENGTH, open_windows: int = OPEN_WINDOWS
     merged = packed.where("left").withColumn("grp", F.floor(F.col("part") / MERGE)).groupBy("grp").applyInPandas(
         merge, _PACKED)
     return packed.where("not left").select(*names).unionAll(merged).withColumn(
-        "doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
+        "doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
 
 
 def sequences(docs: DataFrame, pieces: DataFrame, length: int = LENGTH, pad_id: int = 0, tokenizer: str | None = None,

@@ -50,6 +50,17 @@ def test_pack_equals_tokenizer(spark):
     assert total / (n * 4096) > 0.97
 
 
+def test_smallest_id_and_clashing_names(spark):
+    low = -(1 << 63)
+    rows = [(low, "a b c", "s"), (None, "a b c", "s"), (0, "a b c", "t"), (1, None, "t")]
+    docs = spark.createDataFrame([(*r, 1, 2, "h", None) for r in rows],
+                                 "doc_id long, text string, source string, no_id int, part int, __hash string, __source string")
+    check_pack([r[:2] for r in rows], packing.pack(docs, length=64).collect(), 64)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [*docs.columns, *mixing.OWN]
+    assert {tuple(r)[:7] for r in mixed.collect()} == {tuple(r) for r in docs.collect()}
+
+
 def test_pack_edges_parts_and_sequences(spark, edge, monkeypatch):
     n, total = check_pack([r[:2] for r in ROWS], packing.pack(edge, length=64).collect(), 64)
     monkeypatch.setattr(packing, "PART", 10)  # many parts, so leftovers are merged across parts
