@@ -369,3 +369,23 @@ def test_first_day_state_expires(spark):
     assert max(sizes) >= 20 and sizes[-1] <= 2
     flags = {(r["mid"], r["ts"]): r["is_new"] for r in _read(spark, lay, "dwd", "page").select("common.mid", "ts", "common.is_new").collect()}
     assert flags["0", 11 * day] == "1"   # forgotten; kept for good it would be 0
+
+
+def test_devices_share_state_rows(spark):
+    """Devices are gathered in buckets, so a micro-batch makes no call and no state row per device; a null id is one too."""
+    day = 86_400_000
+    mids = [None, *range(3_000)]
+    recs = [{"mid": m, "ts": 1_000 + i, "offset": i, "is_new": "1", "last_page_id": None} for i, m in enumerate(mids)]
+    recs += [{**r, "ts": r["ts"] + d, "offset": r["offset"] + 10_000 * k} for k, d in ((1, 5), (2, day)) for r in recs]
+    lay = _layout(max_files=1)
+    rows = log_rows(spark, recs)
+    rows = rows.withColumn("common", F.col("common").withField("mid", F.when(F.col("common.mid") != "None", F.col("common.mid"))))
+    for part in ("offset < 5000", "offset >= 5000"):
+        _publish(rows.where(part), lay.topic("log"))
+    for q in (sj.base_log_job(spark, lay), sj.unique_visit_job(spark, lay)):
+        _run(q)
+        assert 0 < max(op.numRowsTotal for p in q.recentProgress for op in p.stateOperators) <= 1_000
+    flags = _read(spark, lay, "dwd", "page").groupBy(F.col("ts") >= day, "common.is_new").count().collect()
+    assert sorted(tuple(r) for r in flags) == [(False, "1", 6_002), (True, "0", 3_001)]
+    visits = _read(spark, lay, "unique_visit").select("common.mid", "ts").collect()
+    assert sorted(r["ts"] for r in visits) == sorted([1_000 + i for i in range(3_001)] + [1_000 + i + day for i in range(3_001)])
