@@ -382,7 +382,8 @@ def test_devices_share_state_rows(spark):
     rows = rows.withColumn("common", F.col("common").withField("mid", F.when(F.col("common.mid") != "None", F.col("common.mid"))))
     for part in ("offset < 5000", "offset >= 5000"):
         _publish(rows.where(part), lay.topic("log"))
-    for q in (sj.base_log_job(spark, lay), sj.unique_visit_job(spark, lay)):
+    for job in (sj.base_log_job, sj.unique_visit_job):
+        q = job(spark, lay)
         _run(q)
         assert 0 < max(op.numRowsTotal for p in q.recentProgress for op in p.stateOperators) <= 1_000
     flags = _read(spark, lay, "dwd", "page").groupBy(F.col("ts") >= day, "common.is_new").count().collect()
