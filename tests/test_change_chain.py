@@ -152,3 +152,27 @@ def test_a_batch_is_written_once(spark):
     assert topics.write_batch(rows, path, 3) and not topics.write_batch(rows.union(rows), path, 3)
     assert topics.batch_ids(spark, path) == [3] and spark.read.json(f"{path}/batch-*").count() == 1
     assert topics.batch_ids(spark, path + "-none") == []
+
+
+def test_chains_hold_little_on_disk(spark, monkeypatch):
+    """Topics are compressed, go when they are read, and are read a slice (a file per core) at a time, the sentinel alone."""
+    import os
+
+    from storelens.sources.tables import Tables
+    from storelens.streaming import run
+    from storelens.streaming.publish import publish
+    sf = "/root/testdata/sf0.001"
+    seen = {}
+    monkeypatch.setattr(run, "_drop", lambda spark, lay, *kept: seen.update(lay=lay))
+    run.payment_wide_stream(spark, sf).count()
+    lay = seen["lay"]
+    files = [os.path.join(d, f) for d, _, fs in os.walk(lay.root.removeprefix("file:")) for f in fs]
+    assert not [f for f in files if "/topics/changes/" in f or "/topics/facts/" in f and ".json" in f or "_checkpoints/change_routing" in f]
+    topics = [f for f in files if "/topics/" in f and f.endswith((".json", ".json.gz"))]
+    assert topics and all(f.endswith(".gz") for f in topics)
+    lay = run.new_layout(spark, "slices", 3, 4)
+    publish(Tables(spark, sf), lay, topics=("order_info",), files=2, parts=3)
+    info = lay.topic("order_info").removeprefix("file:")
+    names = sorted((f for f in os.listdir(info) if f.startswith("part-")), key=lambda f: os.stat(f"{info}/{f}").st_mtime)
+    assert len(names) == 7 and spark.read.json(f"{lay.topic('order_info')}/{names[-1]}").count() == 1
+    assert spark.read.json(lay.topic("order_info")).count() == Tables(spark, sf).orders.count() + 1
