@@ -176,3 +176,56 @@ def test_chains_hold_little_on_disk(spark, monkeypatch):
     names = sorted((f for f in os.listdir(info) if f.startswith("part-")), key=lambda f: os.stat(f"{info}/{f}").st_mtime)
     assert len(names) == 7 and spark.read.json(f"{lay.topic('order_info')}/{names[-1]}").count() == 1
     assert spark.read.json(lay.topic("order_info")).count() == Tables(spark, sf).orders.count() + 1
+
+
+def _files(spark, path):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return sorted(((s.getModificationTime(), s.getPath().toString()) for s in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+                   if s.getPath().getName().startswith("part-")))
+
+
+def test_published_span_by_span_in_time_order(spark):
+    """Frames staged one after another give every record once, in slices of time of ``parts`` files, and leave nothing staged."""
+    import os
+    from storelens.streaming import publish
+    lay, parts = _layout(), 2
+    frame = lambda lo, hi: spark.range(lo, hi).select(
+        F.col("id").cast("string").alias("k"), F.col("id").alias("_offset"), F.when(F.col("id") % 50 != 0, (F.col("id") * 37 % 1000)).alias("_at"))
+    path = lay.topic("t")
+    publish._write([frame(0, 300), frame(300, 1000)], frame(0, 1000).select("_at"), ["k"], path, 6, parts, None)
+    files = _files(spark, path)
+    assert not os.path.exists(f"{path}-staged") and len(files) % parts == 0
+    seen, before = [], -1
+    for i in range(0, len(files), parts):
+        ids = [r["offset"] for _, f in files[i:i + parts] for r in spark.read.schema(schemas.RAW).json(f).collect()]
+        at = [i * 37 % 1000 for i in ids if i % 50]
+        if at:
+            assert min(at) > before
+            before = max(at)
+        seen += ids
+    assert sorted(seen) == list(range(1000))
+
+
+def test_topics_read_once_are_deleted_as_they_are_read(spark):
+    lay = _layout()
+    lay.once, lay.max_files = True, 1
+    _rules(spark, lay)
+    for k in range(4):
+        _changes(spark, lay, [_order(k + 1, 1), _line(k + 1, f"{T0}1.004")])
+    assert len(_files(spark, lay.topic("changes"))) == 4
+    _run(sj.change_routing_job(spark, lay))
+    assert len(_files(spark, lay.topic("changes"))) < 4
+    assert topics.read_facts(spark, lay.topic("facts"), sj.FACT_ORDER, sj.FACT_COLUMNS[sj.FACT_ORDER], stream=False).count() == 4
+
+
+def test_registered_chains_keep_state_on_disk_whatever_the_session_says(spark):
+    from storelens.streaming import run
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        with run._state_partitions(spark):
+            assert "RocksDB" in spark.conf.get(key) and spark.conf.get("spark.sql.streaming.stateStore.rocksdb.compression") == "zstd"
+        assert "HDFSBacked" in spark.conf.get(key)
+    finally:
+        spark.conf.set(key, old)
