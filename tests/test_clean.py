@@ -49,3 +49,19 @@ def test_stand_in_log_facts(spark):
     start, page, display = clean.split_log(ad.behaviour_log(t))
     assert display.count() == 1913
     assert start.count() + page.count() == 10000
+
+
+def test_start_key_however_spelled(spark):
+    texts = {'{"start":{"entry":"icon"}}': True, '{"\\u0073tart":{"entry":"icon"}}': True, '{"start":{}}': False, '{"page":{"item":"start"}}': False,
+             '{"page":{}}': False, 'no json': False, None: False}
+    rows = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = {r["value"]: r["s"] for r in rows.select("value", clean.is_start(rows).alias("s")).collect()}
+    assert got == texts
+
+
+def test_a_text_is_parsed_once_to_set_a_key(spark):
+    from storelens.functions.json_text import set_key
+    rows = spark.createDataFrame([('{"common":{"is_new":"1","x":2},"y":[1]}',), ("[1]",)], "value string")
+    out = rows.select(set_key("value", ("common", "is_new"), F.lit("0")).alias("v"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("parseJson(value") <= 1
+    assert [r["v"] for r in out.collect()] == ['{"common":{"is_new":"0","x":2},"y":[1]}', "[1]"]
