@@ -137,3 +137,33 @@ def test_lateral_functions_stay_generates(spark):
     big = spark.sql("SELECT k.word FROM range(10) AS r, LATERAL ik_analyze(CAST(r.id AS STRING)) AS k")
     plan = big._jdf.queryExecution().executedPlan().toString()
     assert "Generate" in plan and "Join" not in plan and "Python" not in plan
+
+
+def test_lateness_of_wall_clocks_is_that_of_their_ms(spark, tmp_path):
+    """Time texts are compared as wall clocks and only a file's ends become ms: the same bound, sentinels and bad texts left out."""
+    import os
+
+    from storelens.functions.time import epoch_ms
+    from storelens.streaming.jobs import measured_lateness
+    from storelens.streaming.publish import SENTINEL_MS, SENTINEL_TEXT
+    files = (["2024-01-01 00:00:10", "2024-01-01 00:00:20.0075"], ["2024-01-01 00:00:05.0025", "no time", SENTINEL_TEXT],
+             ["2024-01-01 00:00:30"], [SENTINEL_TEXT, None])
+    path = f"{tmp_path}/t"
+    os.makedirs(path)
+    for i, times in enumerate(files):
+        with open(f"{path}/{i}.json", "w") as f:
+            f.writelines(json.dumps({"offset": i, "value": json.dumps({"at": t})}) + "\n" for t in times)
+        os.utime(f"{path}/{i}.json", (1000 + i, 1000 + i))
+    text = F.get_json_object("value", "$.at").try_cast("timestamp_ntz")
+    as_ms = measured_lateness(spark, path, epoch_ms(text), before=SENTINEL_MS)
+    assert as_ms == 15_005 and measured_lateness(spark, path, text, before=SENTINEL_MS, to_ms=epoch_ms) == as_ms
+
+
+def test_chains_write_state_without_reading_it(spark):
+    """The registered chains do not look every state row up before it is written, and put the session's settings back."""
+    from storelens.streaming import run
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    before = spark.conf.get(key, None)
+    with run._state_partitions(spark):
+        assert spark.conf.get(key) == "false"
+    assert spark.conf.get(key, None) == before
